@@ -93,14 +93,19 @@ def latest_lines(lines: DataFrame) -> DataFrame:
     return lines.withColumn("rn", F.row_number().over(newest)).filter("rn = 1").drop("_period_start")
 
 
+def rule_lines(sources: dict[str, DataFrame], as_of: dt.date) -> DataFrame:
+    """The latest invoice lines with their checked JSON, before they are repeated per client."""
+    return latest_lines(priced_lines(sources, as_of)).distinct().withColumns({
+        "property_filters_json": valid_json("property_filters"),
+        "price_structure_json": valid_json("price_structure"),
+    })
+
+
+def per_client(lines: DataFrame) -> DataFrame:
+    """One row per client alias; customers without aliases drop out."""
+    return lines.select(F.explode(F.array_distinct(F.split("raw_client_id", ","))).alias("client_id"), "*")
+
+
 def invoice_rules(sources: dict[str, DataFrame], as_of: dt.date) -> DataFrame:
-    """One row per client alias and latest invoice line; customers without aliases drop out."""
-    rules = latest_lines(priced_lines(sources, as_of))
-    return (
-        rules.select(F.explode(F.split("raw_client_id", ",")).alias("client_id"), "*")
-        .distinct()
-        .withColumns({
-            "property_filters_json": valid_json("property_filters"),
-            "price_structure_json": valid_json("price_structure"),
-        })
-    )
+    """The pricing rules in force: one row per client and latest invoice line."""
+    return per_client(rule_lines(sources, as_of))

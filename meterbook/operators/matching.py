@@ -6,37 +6,36 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.columns import all_of, any_of, array_lists, month_of, pricing, row_key
 from ..sources.schemas import PROPERTIES, RULE_ROW, conform
+from .invoice_rules import per_client
 
 NON_USAGE_PRODUCTS = ["DISCOUNT", "PLATFORM FEE", "TRUE UP CHARGE"]
 
 MERGE_KEY = ["mm_id", "sequence_customer_id", "matched_product_name", "local_created_at", "amount"]
 
 
-def compile_rules(invoice_rules: DataFrame) -> DataFrame:
+def compile_rules(lines: DataFrame) -> DataFrame:
     """The distinct usage rules with their filter lists and negation flags.
 
-    Filter lists are kept as one upper-case text per property, because a movement's value only has to occur
-    somewhere in that text. JSON is parsed here, once per rule.
+    Takes rules per client or, better, the invoice lines before that step: JSON is then parsed once per contract line
+    and the result repeated per client. Filter lists are kept as one upper-case text per property, because a
+    movement's value only has to occur somewhere in that text.
     """
-    rules = invoice_rules.filter(
+    client = "client_id" if "client_id" in lines.columns else "raw_client_id"
+    rules = lines.filter(
         F.col("price_structure_json").isNotNull() & ~F.upper("product_name").isin(NON_USAGE_PRODUCTS)
     ).select(
-        "client_id", "sequence_customer_id", "group_id", "product_name", "price_structure_json",
-        "price_minimum_amount", "consumes_saas", "property_filters_json", "properties_to_negate",
+        client, "sequence_customer_id", "group_id", "product_name", "price_structure_json",
+        "price_minimum_amount", "consumes_saas", "property_filters_json",
+        F.array_join(F.from_json("properties_to_negate", "array<string>"), ",").alias("properties_to_negate_str"),
         "price_structure_month", "currency",
     ).distinct()
-    negated = F.array_join(F.from_json("properties_to_negate", "array<string>"), ",")
-    parsed = rules.withColumns({
-        "_lists": array_lists("property_filters_json"),
-        "properties_to_negate_str": negated,
-        "pricing": pricing("price_structure_json"),
-    })
-    compiled = parsed.withColumns({
+    compiled = rules.withColumns({
+        "_lists": array_lists("property_filters_json"), "pricing": pricing("price_structure_json"),
+    }).withColumns({
         **{f"{p}_filters": F.upper(F.array_join(F.col("_lists")[p], ",")) for p in PROPERTIES},
         **{f"negate_{p}": F.contains("properties_to_negate_str", F.lit(p)) for p in PROPERTIES},
-    })
-    # two spellings of one negate list are one rule
-    return compiled.drop("_lists", "properties_to_negate").distinct()
+    }).drop("_lists")
+    return compiled if client == "client_id" else per_client(compiled).drop(client)
 
 
 def _matches(prop: str) -> Column:
