@@ -28,6 +28,10 @@ def _join_same(left: DataFrame, right: DataFrame, keys: list[str], how: str) ->
     return left.join(renamed, condition, how).drop(*[f"_r_{k}" for k in keys])
 
 
+def ascending(columns: list[str]) -> list[Column]:
+    return [F.col(c).asc_nulls_last() for c in columns]
+
+
 class Groups:
     """The rows of some groups, and how to run sums over them."""
 
@@ -38,10 +42,10 @@ class Groups:
     def _window(self, keys: list[str]):
         return Window.partitionBy(*keys, *([_CHUNK] if self.chunked else []))
 
-    def running(self, df: DataFrame, within: list[str], order: list[Column], sums: dict[str, Column]) -> DataFrame:
+    def running(self, df: DataFrame, within: list[str], order: list[str], sums: dict[str, Column]) -> DataFrame:
         """Add for each sum `name` (up to and with the row) and `name_before` (up to the row, NULL on the first)."""
-        upto = self._window(within).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        before = self._window(within).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+        upto = self._window(within).orderBy(*ascending(order)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        before = self._window(within).orderBy(*ascending(order)).rowsBetween(Window.unboundedPreceding, -1)
         if self.chunked:
             df = checkpoint(df)  # read twice below
         local = df.withColumns({
@@ -68,14 +72,14 @@ class Groups:
         totals = df.groupBy(*within).agg(*[value.alias(name) for name, value in aggregates.items()])
         return _join_same(df, totals, within, "left")
 
-    def among_peers(self, df: DataFrame, within: list[str], key: list[Column], name: str, value: Column) -> DataFrame:
+    def among_peers(self, df: DataFrame, within: list[str], key: list[str], name: str, value: Column) -> DataFrame:
         """Add an aggregate over the rows that share the row's ordering key (they always lie in one chunk)."""
-        peers = self._window(within).orderBy(*key).rangeBetween(Window.currentRow, Window.currentRow)
+        peers = self._window(within).orderBy(*ascending(key)).rangeBetween(Window.currentRow, Window.currentRow)
         return df.withColumn(name, value.over(peers))
 
 
 def split_by_size(
-    df: DataFrame, keys: list[str], order: list[Column], max_rows: int = MAX_GROUP_ROWS
+    df: DataFrame, keys: list[str], order: list[str], max_rows: int = MAX_GROUP_ROWS
 ) -> list[tuple[DataFrame, Groups]]:
     """The rows of small groups, placed by group, and (if there are any) those of large groups, placed by chunk.
 
@@ -88,10 +92,9 @@ def split_by_size(
         return [(df.repartition(*keys), Groups(keys, chunked=False))]
     large = large.select(*keys)
     small_rows = _join_same(df, large, keys, "left_anti").repartition(*keys)
-    ordered = [F.col(k).asc_nulls_last() for k in keys] + order
     chunks = (
         _join_same(df, large, keys, "left_semi")
-        .repartitionByRange(math.ceil(rows / max_rows), *ordered)
+        .repartitionByRange(math.ceil(rows / max_rows), *ascending([*keys, *order]))
         .withColumn(_CHUNK, F.spark_partition_id())
     )
     # stored before use, so that a chunk keeps its rows whatever is recomputed

@@ -14,18 +14,11 @@ from .ordered import MAX_GROUP_ROWS, Groups, split_by_size
 GROUP = ["sequence_customer_id", "transaction_month"]
 PRODUCT = [*GROUP, "matched_product_name"]
 
-_PERCENT = F.lit("0.01").cast("decimal(3,2)")
-
-
-def _ascending(*columns: str) -> list[Column]:
-    return [F.col(c).asc_nulls_last() for c in columns]
-
-
-# Rows that agree on these, within one customer-month, are copies of one match.
-KEY_ORDER = _ascending("local_created_at", "mm_id", "matched_product_name", "amount")
-GROUP_ORDER = KEY_ORDER + _ascending("price_structure_json", "client_id")
-PRODUCT_KEY_ORDER = _ascending("local_created_at", "mm_id", "amount")
-PRODUCT_ORDER = PRODUCT_KEY_ORDER + _ascending("price_structure_json", "client_id")
+# Order of a customer-month and of one of its products; rows that agree up to the amount are copies of one match.
+KEY_ORDER = ["local_created_at", "mm_id", "matched_product_name", "amount"]
+GROUP_ORDER = [*KEY_ORDER, "price_structure_json", "client_id"]
+PRODUCT_KEY_ORDER = ["local_created_at", "mm_id", "amount"]
+PRODUCT_ORDER = [*PRODUCT_KEY_ORDER, "price_structure_json", "client_id"]
 
 RATED_COLUMNS = [
     *RULE_ROW.fieldNames(), "transaction_count", "global_transaction_order", "cumulative_amount",
@@ -123,7 +116,7 @@ def reprice_volume(selected: DataFrame, groups: Groups) -> DataFrame:
 
 def _revenue() -> Column:
     linear = F.col("pricing_type") == "LINEAR"
-    percent_of = F.col("amount") * _PERCENT
+    percent_of = F.col("amount") * F.lit("0.01").cast("decimal(3,2)")
     fee = F.coalesce("eff_tier_fee", F.lit(0).cast("decimal(18,6)"))
     priced = (
         F.when(linear & F.col("linear_is_percentage"), (F.col("linear_price_per_unit") * percent_of).cast(REVENUE))

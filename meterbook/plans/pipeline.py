@@ -10,7 +10,7 @@ from ..operators import allocation, line_revenue, line_rules, matching, rating,
 from ..operators.invoice_rules import per_client, rule_lines
 from ..operators.ordered import MAX_GROUP_ROWS
 from ..sources.feeds import merge_horizon, movement_union
-from .upsert import MONTH, upsert_table, write_table
+from .upsert import MONTH, existing_table, upsert_table, write_table
 
 LINES = {
     "fee": "int_revenue_platform_fee_base",
@@ -39,14 +39,14 @@ def run_pipeline(
     def table(name: str, df: DataFrame) -> DataFrame:
         return keep(name, write_table(df, f"{out}/{name}"))
 
-    horizon = merge_horizon(as_of)
-
-    def merge(name: str, df: DataFrame, keys: list[str], duplicates: str = "keep") -> DataFrame:
-        written = upsert_table(df.filter(F.col(MONTH) >= F.lit(horizon)), f"{out}/{name}", keys, duplicates)
-        return keep(name, written)
+    some_source = next(iter(sources.values()))
+    first_run = existing_table(some_source.sparkSession, f"{out}/mart_rules") is None
 
     def recent(df: DataFrame) -> DataFrame:
-        return df.filter(F.col(MONTH) >= F.lit(horizon))
+        return df if first_run else df.filter(F.col(MONTH) >= F.lit(merge_horizon(as_of)))
+
+    def merge(name: str, df: DataFrame, keys: list[str], duplicates: str = "keep") -> DataFrame:
+        return keep(name, upsert_table(recent(df), f"{out}/{name}", keys, duplicates))
 
     lines = table("stg_invoice_lines", rule_lines(sources, as_of))
     rules_per_client = keep("stg_invoice_pricing", per_client(lines))

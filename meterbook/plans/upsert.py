@@ -43,7 +43,7 @@ def upsert(old: DataFrame, new: DataFrame, keys: list[str], on_duplicate: str =
     return old.join(replaced, condition, "left_anti").unionByName(new)
 
 
-def _existing(spark: SparkSession, path: str) -> DataFrame | None:
+def existing_table(spark: SparkSession, path: str) -> DataFrame | None:
     try:
         return spark.read.parquet(path)
     except AnalysisException as error:
@@ -64,7 +64,7 @@ def upsert_table(new: DataFrame, path: str, keys: list[str], on_duplicate: str =
     The merged months are checkpointed before the table they were read from is overwritten.
     """
     spark = new.sparkSession
-    old = _existing(spark, path)
+    old = existing_table(spark, path)
     if old is None:
         merged = _only_unique(new, keys, on_duplicate)
     else:

@@ -9,47 +9,55 @@ RATE = T.DecimalType(18, 6)
 REVENUE = T.DecimalType(28, 8)
 LINE_PRICE = T.DecimalType(10, 2)
 
+_TYPES = {
+    "string": T.StringType(), "boolean": T.BooleanType(), "bigint": T.LongType(), "date": T.DateType(),
+    "time": T.TimestampNTZType(), "money": MONEY, "rate": RATE, "revenue": REVENUE, "line": LINE_PRICE,
+    "total": T.DecimalType(28, 2), "running": T.DecimalType(38, 8),
+}
+
 
-def _struct(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+def _struct(columns: str) -> T.StructType:
+    """A row type from words `name:type`."""
+    pairs = [word.split(":") for word in columns.split()]
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
 _FEED = (
-    "id string, client_id string, client_id_edit string, total_amount decimal(18,2), utc_created_at timestamp_ntz,"
-    " updated_at timestamp_ntz, eventtype string, eventtimestamp timestamp_ntz, flow string, transaction_type string,"
-    " origination_system string, source_account_type string, transfer_method string, destination_bank string,"
-    " origin_bank string, country string, status string"
+    "id:string client_id:string client_id_edit:string total_amount:money utc_created_at:time"
+    " updated_at:time eventtype:string eventtimestamp:time flow:string transaction_type:string"
+    " origination_system:string source_account_type:string transfer_method:string destination_bank:string"
+    " origin_bank:string country:string status:string"
 )
 
 SOURCES: dict[str, T.StructType] = {
     "invoices": _struct(
-        "id string, customer_id string, billing_period_start timestamp_ntz, billing_period_end timestamp_ntz,"
-        " calculated_at timestamp_ntz, status string"
+        "id:string customer_id:string billing_period_start:time billing_period_end:time"
+        " calculated_at:time status:string"
     ),
     "invoice_line_items": _struct(
-        "id string, invoice_id string, price_id string, billing_schedule_id string, title string, currency string,"
-        " net_total decimal(18,2), gross_total decimal(18,2), quantity decimal(18,2), rate decimal(18,6),"
-        " calculated_at timestamp_ntz, modified_at timestamp_ntz, deleted_at timestamp_ntz,"
-        " billing_period_start timestamp_ntz"
+        "id:string invoice_id:string price_id:string billing_schedule_id:string title:string currency:string"
+        " net_total:money gross_total:money quantity:money rate:rate"
+        " calculated_at:time modified_at:time deleted_at:time"
+        " billing_period_start:time"
     ),
-    "prices": _struct("id string, product_name string"),
+    "prices": _struct("id:string product_name:string"),
     "billing_schedule_phase_prices": _struct(
-        "price_id string, billing_schedule_id string, status string, price_minimum_amount decimal(18,2),"
-        " price_structure string, phase_start_date date, phase_end_date date, phase_archived_at timestamp_ntz"
+        "price_id:string billing_schedule_id:string status:string price_minimum_amount:money"
+        " price_structure:string phase_start_date:date phase_end_date:date phase_archived_at:time"
     ),
-    "usage_metrics": _struct("id string, name string, property_filters string, properties_to_negate string"),
-    "customers": _struct("id string, legal_name string, customer_aliases string"),
-    "sales_customers": _struct("sequence_id string, group_id string"),
+    "usage_metrics": _struct("id:string name:string property_filters:string properties_to_negate:string"),
+    "customers": _struct("id:string legal_name:string customer_aliases:string"),
+    "sales_customers": _struct("sequence_id:string group_id:string"),
     "payout_transactions": _struct(_FEED),
     "payin_transactions": _struct(_FEED),
     "dac_transactions": _struct(_FEED),
     "balance_recharges": _struct(_FEED),
     "money_movements": _struct(
-        "id string, client_id string, type string, status_state string, source_geography string, origin_channel string,"
-        " supplier string, source_account_provider_id string, source_account_institution_code string,"
-        " source_account_institution_name string, destination_account_institution_code string,"
-        " destination_account_institution_name string, underlying_institution string, amount decimal(18,2),"
-        " created_at timestamp_ntz"
+        "id:string client_id:string type:string status_state:string source_geography:string origin_channel:string"
+        " supplier:string source_account_provider_id:string source_account_institution_code:string"
+        " source_account_institution_name:string destination_account_institution_code:string"
+        " destination_account_institution_name:string underlying_institution:string amount:money"
+        " created_at:time"
     ),
 }
 
@@ -59,39 +67,46 @@ PROPERTIES = [
     "country", "origin_bank", "destination_bank", "status",
 ]
 
-PRICE_STRUCTURE = _struct(
-    "pricingType string, pricePerUnit string, isPricePercentage string, price string, usageMetricId string,"
-    " tiers array<struct<fee: string, isPricePercentage: string, price: string, upperBound: string>>"
+def _nested(**fields: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
+
+
+_TEXT, _FLAG = T.StringType(), T.BooleanType()
+
+# Values stay text here, since sources write numbers both as JSON numbers and as strings.
+PRICE_STRUCTURE = _nested(
+    pricingType=_TEXT, pricePerUnit=_TEXT, isPricePercentage=_TEXT, price=_TEXT, usageMetricId=_TEXT,
+    tiers=T.ArrayType(_nested(fee=_TEXT, isPricePercentage=_TEXT, price=_TEXT, upperBound=_TEXT)),
 )
 
 # Parsed once per rule, carried next to the JSON text so that no movement row ever parses JSON.
-PRICING = _struct(
-    "pricing_type string, unit_price decimal(18,6), is_percentage boolean, line_price string,"
-    " tiers array<struct<price: decimal(18,6), fee: decimal(18,6), upper_bound: bigint, is_percentage: boolean>>"
+PRICING = _nested(
+    pricing_type=_TEXT, unit_price=RATE, is_percentage=_FLAG, line_price=_TEXT,
+    tiers=T.ArrayType(_nested(price=RATE, fee=RATE, upper_bound=T.LongType(), is_percentage=_FLAG)),
 )
 
 RULE_ROW = _struct(
-    "mm_id string, amount decimal(18,2), client_id string, sequence_customer_id string, group_id string,"
-    " local_created_at timestamp_ntz, matched_product_name string, price_structure_json string,"
-    " price_minimum_amount decimal(18,2), consumes_saas boolean, should_be_charged boolean, currency string,"
-    " flow string, transaction_type string, origination_system string, source_account_type string, country string,"
-    " origin_bank string, destination_bank string, status string, property_filters_json string,"
-    " properties_to_negate string, transaction_month date, local_updated_at timestamp_ntz, hash_match string"
+    "mm_id:string amount:money client_id:string sequence_customer_id:string group_id:string"
+    " local_created_at:time matched_product_name:string price_structure_json:string"
+    " price_minimum_amount:money consumes_saas:boolean should_be_charged:boolean currency:string"
+    " flow:string transaction_type:string origination_system:string source_account_type:string country:string"
+    " origin_bank:string destination_bank:string status:string property_filters_json:string"
+    " properties_to_negate:string transaction_month:date local_updated_at:time hash_match:string"
 )
 
 REVENUE_ROW = _struct(
-    "mm_id string, client_id string, sequence_customer_id string, group_id string, matched_product_name string,"
-    " local_created_at timestamp_ntz, transaction_month date, transaction_count bigint, amount decimal(18,2),"
-    " cumulative_amount decimal(28,2), cumulative_amount_before decimal(28,2), price_structure_json string,"
-    " price_minimum_revenue decimal(10,2), pricing_type string, consumes_saas boolean, should_be_charged boolean,"
-    " is_percentage boolean, price_per_unit decimal(18,6), tier_application_basis string, currency string,"
-    " revenue decimal(28,8), cumulative_revenue decimal(38,8), cumulative_revenue_before decimal(38,8),"
-    " saas_revenue decimal(28,8), not_saas_revenue decimal(28,8), revenue_type string,"
-    " remaining_minimum decimal(28,8), flow string, transaction_type string, origination_system string,"
-    " source_account_type string, country string, origin_bank string, destination_bank string, status string,"
-    " property_filters_json string, properties_to_negate string, local_updated_at timestamp_ntz,"
-    " platform_fee_share decimal(28,8), remaining_minimum_saas_share decimal(28,8),"
-    " revenue_total_adjusted decimal(28,8)"
+    "mm_id:string client_id:string sequence_customer_id:string group_id:string matched_product_name:string"
+    " local_created_at:time transaction_month:date transaction_count:bigint amount:money"
+    " cumulative_amount:total cumulative_amount_before:total price_structure_json:string"
+    " price_minimum_revenue:line pricing_type:string consumes_saas:boolean should_be_charged:boolean"
+    " is_percentage:boolean price_per_unit:rate tier_application_basis:string currency:string"
+    " revenue:revenue cumulative_revenue:running cumulative_revenue_before:running"
+    " saas_revenue:revenue not_saas_revenue:revenue revenue_type:string"
+    " remaining_minimum:revenue flow:string transaction_type:string origination_system:string"
+    " source_account_type:string country:string origin_bank:string destination_bank:string status:string"
+    " property_filters_json:string properties_to_negate:string local_updated_at:time"
+    " platform_fee_share:revenue remaining_minimum_saas_share:revenue"
+    " revenue_total_adjusted:revenue"
 )
 
 
