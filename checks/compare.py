@@ -29,14 +29,16 @@ def rows(columns: list[str], records) -> Counter:
 
 def compare(spark, con, name: str, folder: str) -> tuple[bool, str]:
     df = queries.queries()[name](spark, folder)
+    started = time.time()
     ours = rows(df.columns, [tuple(r) for r in df.collect()])
+    spent = f"{time.time() - started:.1f}s collected,"
     result = con.execute(oracle.oracle_sql()[name])
     names = [d[0] for d in result.description]
     if sorted(names) != sorted(df.columns):
         return False, f"columns differ: {set(names) ^ set(df.columns)}"
     theirs = rows(names, result.fetchall())
     if ours == theirs:
-        return True, f"{sum(ours.values())} rows"
+        return True, f"{spent} {sum(ours.values())} rows"
     only, missing = ours - theirs, theirs - ours
     sample = f"\n  columns  {sorted(names)}\n  spark    {next(iter(sorted(only, key=str)), None)}\n  expected {next(iter(sorted(missing, key=str)), None)}"
     return False, f"{sum(ours.values())} rows, {sum(only.values())} only in Spark, {sum(missing.values())} only expected{sample}"

@@ -9,6 +9,7 @@ from functools import cached_property, reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from meterbook.functions.columns import array_lists, greatest_or_null, pricing, row_key, valid_json
+from meterbook.functions.storage import stored
 from meterbook.operators import (
     allocation, invoice_rules, line_revenue, line_rules, match_exact, matching, payouts, rating, summaries,
 )
@@ -36,18 +37,18 @@ def plain(df: DataFrame) -> DataFrame:
 
 
 class Stages:
-    """The steps of one data set. Those that the pipeline would store as tables are kept for the next query."""
+    """The steps of one data set. Those that the pipeline stores as tables are stored here too, once."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
 
     @cached_property
     def sources(self) -> dict[str, DataFrame]:
-        return {name: df.persist() for name, df in sample_sources(self.spark, self.sf_dir).items()}
+        return {name: stored(df) for name, df in sample_sources(self.spark, self.sf_dir).items()}
 
     @cached_property
     def lines(self) -> DataFrame:
-        return invoice_rules.rule_lines(self.sources, AS_OF).persist()
+        return stored(invoice_rules.rule_lines(self.sources, AS_OF))
 
     @cached_property
     def rules(self) -> DataFrame:
@@ -67,11 +68,11 @@ class Stages:
 
     @cached_property
     def all_rules(self) -> DataFrame:
-        return line_rules.all_rules(self.rules, self.matches).persist()
+        return stored(line_rules.all_rules(self.rules, self.matches))
 
     @cached_property
     def rated(self) -> DataFrame:
-        return rating.rate_transactions(self.all_rules).persist()
+        return stored(rating.rate_transactions(self.all_rules))
 
     def base(self, kind: str) -> DataFrame:
         return line_revenue.fixed_line_revenue(self.all_rules, kind)
@@ -82,7 +83,7 @@ class Stages:
 
     @cached_property
     def shares(self) -> DataFrame:
-        return allocation.month_shares(self.rated).persist()
+        return stored(allocation.month_shares(self.rated))
 
     @cached_property
     def fee_counts(self) -> DataFrame:
@@ -107,9 +108,9 @@ class Stages:
 
     @cached_property
     def calculated(self) -> DataFrame:
-        return allocation.revenue_calculated(
+        return stored(allocation.revenue_calculated(
             self.allocated, self.fee_mart, self.discount_mart, self.true_up_mart
-        ).persist()
+        ))
 
     @cached_property
     def invoiced(self) -> DataFrame:
@@ -131,7 +132,7 @@ class Stages:
 
     @cached_property
     def exact_rated(self) -> DataFrame:
-        return match_exact.revenue_by_match_count(self.exact, CLIENT_MONTH).persist()
+        return stored(match_exact.revenue_by_match_count(self.exact, CLIENT_MONTH))
 
     @cached_property
     def orders(self) -> DataFrame:

@@ -1,24 +1,30 @@
-"""Cutting lineage through the cluster's shared checkpoint folder."""
+"""Storing intermediate rows in the cluster's shared folder."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: the rows are stored once and survive the loss of executors.
+def shared_folder(spark: SparkSession) -> str:
+    """The session's `spark.checkpoint.dir`; only a local session without one gets a temporary folder."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="meterbook-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder
 
-    The folder is the session's `spark.checkpoint.dir`. Only a local session without one gets a temporary folder.
+
+def stored(df: DataFrame) -> DataFrame:
+    """Write the rows to a table of their own in the shared folder and read them from there.
+
+    This cuts the lineage: what follows is planned from a plain scan, with column pruning, and neither lost executors
+    nor a second reader repeat the work before it.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-            folder = tempfile.mkdtemp(prefix="meterbook-checkpoint-")
-        context.setCheckpointDir(folder)
-    return df.checkpoint()
+    path = f"{shared_folder(df.sparkSession)}/meterbook-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

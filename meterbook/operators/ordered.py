@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.columns import add_skipping_null, same
-from ..functions.storage import checkpoint
+from ..functions.storage import stored
 
 MAX_GROUP_ROWS = 2_000_000
 
@@ -47,7 +47,7 @@ class Groups:
         upto = self._window(within).orderBy(*ascending(order)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         before = self._window(within).orderBy(*ascending(order)).rowsBetween(Window.unboundedPreceding, -1)
         if self.chunked:
-            df = checkpoint(df)  # read twice below
+            df = stored(df)  # read twice below
         local = df.withColumns({
             **{name: F.sum(value).over(upto) for name, value in sums.items()},
             **{f"{name}_before": F.sum(value).over(before) for name, value in sums.items()},
@@ -98,4 +98,4 @@ def split_by_size(
         .withColumn(_CHUNK, F.spark_partition_id())
     )
     # stored before use, so that a chunk keeps its rows whatever is recomputed
-    return [(small_rows, Groups(keys, chunked=False)), (checkpoint(chunks), Groups(keys, chunked=True))]
+    return [(small_rows, Groups(keys, chunked=False)), (stored(chunks), Groups(keys, chunked=True))]

@@ -8,7 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..functions.columns import same
-from ..functions.storage import checkpoint
+from ..functions.storage import stored
 
 MONTH = "transaction_month"
 
@@ -61,19 +61,19 @@ def write_table(df: DataFrame, path: str) -> DataFrame:
 def upsert_table(new: DataFrame, path: str, keys: list[str], on_duplicate: str = "error") -> DataFrame:
     """Upsert into the table at `path`, rewriting only the months that occur in `new`.
 
-    The merged months are checkpointed before the table they were read from is overwritten.
+    The merged months are stored apart before the table they were read from is overwritten.
     """
     spark = new.sparkSession
     old = existing_table(spark, path)
     if old is None:
         merged = _only_unique(new, keys, on_duplicate)
     else:
-        new = checkpoint(new)  # read for its months, its keys and its rows
+        new = stored(new)  # read for its months, its keys and its rows
         months = [r[0] for r in new.select(MONTH).distinct().collect()]  # one row per calendar month
         present = F.col(MONTH).isin([m for m in months if m is not None])
         if None in months:
             present = present | F.col(MONTH).isNull()
-        merged = checkpoint(upsert(old.filter(present).select(*new.columns), new, keys, on_duplicate))
+        merged = stored(upsert(old.filter(present).select(*new.columns), new, keys, on_duplicate))
     (
         merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(MONTH).parquet(path)
     )
