@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -32,37 +33,59 @@ def ascending(columns: list[str]) -> list[Column]:
     return [F.col(c).asc_nulls_last() for c in columns]
 
 
+class Sums(NamedTuple):
+    """Running sums in one order, within the rows that agree on some keys."""
+
+    within: list[str]
+    order: list[str]
+    values: dict[str, Column]
+
+
 class Groups:
-    """The rows of some groups, and how to run sums over them."""
+    """The rows of some groups, placed for windows, and how to run sums over them."""
 
-    def __init__(self, keys: list[str], chunked: bool):
-        self.keys = keys
+    def __init__(self, rows: DataFrame, chunked: bool):
+        self.rows = rows
         self.chunked = chunked
 
-    def _window(self, keys: list[str]):
-        return Window.partitionBy(*keys, *([_CHUNK] if self.chunked else []))
+    def _window(self, keys: list[str], order: list[str]):
+        return Window.partitionBy(*keys, *([_CHUNK] if self.chunked else [])).orderBy(*ascending(order))
 
-    def running(self, df: DataFrame, within: list[str], order: list[str], sums: dict[str, Column]) -> DataFrame:
-        """Add for each sum `name` (up to and with the row) and `name_before` (up to the row, NULL on the first)."""
-        upto = self._window(within).orderBy(*ascending(order)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        before = self._window(within).orderBy(*ascending(order)).rowsBetween(Window.unboundedPreceding, -1)
-        if self.chunked:
-            df = stored(df)  # read twice below
-        local = df.withColumns({
-            **{name: F.sum(value).over(upto) for name, value in sums.items()},
-            **{f"{name}_before": F.sum(value).over(before) for name, value in sums.items()},
+    def _local(self, df: DataFrame, sums: Sums) -> DataFrame:
+        window = self._window(sums.within, sums.order)
+        upto = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        before = window.rowsBetween(Window.unboundedPreceding, -1)
+        return df.withColumns({
+            **{name: F.sum(value).over(upto) for name, value in sums.values.items()},
+            **{f"{name}_before": F.sum(value).over(before) for name, value in sums.values.items()},
         })
-        if not self.chunked:
-            return local
-        totals = df.groupBy(*within, _CHUNK).agg(*[F.sum(value).alias(f"_c_{name}") for name, value in sums.items()])
-        earlier = Window.partitionBy(*within).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-        carried = totals.withColumns({f"_c_{name}": F.sum(f"_c_{name}").over(earlier) for name in sums})
-        joined = _join_same(local, carried, [*within, _CHUNK], "left")
+
+    def _carried(self, local: DataFrame, rows: DataFrame, sums: Sums) -> DataFrame:
+        """Add the sums of the earlier chunks; `rows` are the input rows, `local` has the sums within each chunk."""
+        names = list(sums.values)
+        totals = rows.groupBy(*sums.within, _CHUNK).agg(
+            *[F.sum(value).alias(f"_c_{name}") for name, value in sums.values.items()]
+        )
+        # one row per chunk and key: a short window
+        earlier = Window.partitionBy(*sums.within).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+        carried = totals.withColumns({f"_c_{name}": F.sum(f"_c_{name}").over(earlier) for name in names})
+        joined = _join_same(local, carried, [*sums.within, _CHUNK], "left")
         ends = {
             end: add_skipping_null(F.col(f"_c_{name}"), F.col(end)).cast(local.schema[end].dataType)
-            for name in sums for end in (name, f"{name}_before")
+            for name in names for end in (name, f"{name}_before")
         }
-        return joined.withColumns(ends).drop(*[f"_c_{name}" for name in sums])
+        return joined.withColumns(ends).drop(*[f"_c_{name}" for name in names])
+
+    def running(self, df: DataFrame, *specs: Sums) -> DataFrame:
+        """Add for each sum `name` (up to and with the row) and `name_before` (up to the row, NULL on the first)."""
+        if self.chunked and df is not self.rows:
+            df = stored(df)  # read for the rows and for the sums of each chunk
+        rows = df
+        for sums in specs:
+            df = self._local(df, sums)
+            if self.chunked:
+                df = self._carried(df, rows, sums)
+        return df
 
     def total(self, df: DataFrame, within: list[str], aggregates: dict[str, Column]) -> DataFrame:
         """Add aggregates of the whole group to each of its rows."""
@@ -74,22 +97,20 @@ class Groups:
 
     def among_peers(self, df: DataFrame, within: list[str], key: list[str], name: str, value: Column) -> DataFrame:
         """Add an aggregate over the rows that share the row's ordering key (they always lie in one chunk)."""
-        peers = self._window(within).orderBy(*ascending(key)).rangeBetween(Window.currentRow, Window.currentRow)
+        peers = self._window(within, key).rangeBetween(Window.currentRow, Window.currentRow)
         return df.withColumn(name, value.over(peers))
 
 
-def split_by_size(
-    df: DataFrame, keys: list[str], order: list[str], max_rows: int = MAX_GROUP_ROWS
-) -> list[tuple[DataFrame, Groups]]:
+def split_by_size(df: DataFrame, keys: list[str], order: list[str], max_rows: int = MAX_GROUP_ROWS) -> list[Groups]:
     """The rows of small groups, placed by group, and (if there are any) those of large groups, placed by chunk.
 
-    Counts are summed before the shuffle, and only one number comes to the driver. `order` has to decide which rows
-    are peers; rows equal in it stay together.
+    Counts are summed before the shuffle, and only one number comes to the driver. Rows equal in `order` are peers and
+    stay together.
     """
     large = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > max_rows)
     rows = large.agg(F.sum("_n")).first()[0]
     if not rows:
-        return [(df.repartition(*keys), Groups(keys, chunked=False))]
+        return [Groups(df.repartition(*keys), chunked=False)]
     large = large.select(*keys)
     small_rows = _join_same(df, large, keys, "left_anti").repartition(*keys)
     chunks = (
@@ -98,4 +119,4 @@ def split_by_size(
         .withColumn(_CHUNK, F.spark_partition_id())
     )
     # stored before use, so that a chunk keeps its rows whatever is recomputed
-    return [(small_rows, Groups(keys, chunked=False)), (stored(chunks), Groups(keys, chunked=True))]
+    return [Groups(small_rows, chunked=False), Groups(stored(chunks), chunked=True)]

@@ -9,9 +9,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.columns import pricing
 from ..sources.schemas import REVENUE, RULE_ROW
 from .matching import NON_USAGE_PRODUCTS
-from .ordered import MAX_GROUP_ROWS, Groups, split_by_size
+from .ordered import MAX_GROUP_ROWS, Groups, Sums, split_by_size
 
-GROUP = ["sequence_customer_id", "transaction_month"]
+# The month comes first: rated rows leave the windows in the order in which a table of months is written.
+GROUP = ["transaction_month", "sequence_customer_id"]
 PRODUCT = [*GROUP, "matched_product_name"]
 
 # Order of a customer-month and of one of its products; rows that agree up to the amount are copies of one match.
@@ -37,9 +38,13 @@ def charged_usage(rules: DataFrame) -> DataFrame:
     return usage if "pricing" in usage.columns else usage.withColumn("pricing", pricing("price_structure_json"))
 
 
-def count_transactions(rows: DataFrame, groups: Groups) -> DataFrame:
+def count_transactions(groups: Groups, *more: Sums) -> DataFrame:
     """Running count and amount per customer, month and product."""
-    counted = groups.running(rows, PRODUCT, PRODUCT_ORDER, {"transaction_count": F.lit(1), "cumulative_amount": F.col("amount")})
+    counted = groups.running(
+        groups.rows,
+        Sums(PRODUCT, PRODUCT_ORDER, {"transaction_count": F.lit(1), "cumulative_amount": F.col("amount")}),
+        *more,
+    )
     return counted.drop("transaction_count_before").withColumns({
         "cumulative_amount": F.col("cumulative_amount").cast("decimal(28,2)"),
         "cumulative_amount_before": F.col("cumulative_amount_before").cast("decimal(28,2)"),
@@ -128,16 +133,25 @@ def _revenue() -> Column:
     return F.when(F.col("kept"), priced)  # NULL: the row takes no part in any revenue sum
 
 
-def apply_minimum(priced: DataFrame, groups: Groups) -> DataFrame:
-    """Use up the customer's monthly minimum in time order and split revenue at the point where it is met."""
+def accumulate(priced: DataFrame, groups: Groups) -> DataFrame:
+    """Running revenue per product, and per customer in time order over all products."""
     saas = F.col("consumes_saas") & F.col("should_be_charged")
     nothing = F.lit(0).cast(REVENUE)
-    ordered = groups.running(priced, GROUP, GROUP_ORDER, {
-        "global_transaction_order": F.lit(1),
-        "cumulative_revenue_global": F.col("revenue"),
-        "cumulative_saas_revenue_global": F.when(F.col("kept"), F.when(saas, F.col("revenue")).otherwise(nothing)),
-    }).drop("global_transaction_order_before")
-    ordered = groups.total(ordered, GROUP, {"price_minimum_revenue": F.max("price_minimum_amount")}).withColumn(
+    return groups.running(
+        priced,
+        Sums(PRODUCT, PRODUCT_ORDER, {"cumulative_revenue": F.col("revenue")}),
+        Sums(GROUP, GROUP_ORDER, {
+            "global_transaction_order": F.lit(1),
+            "cumulative_revenue_global": F.col("revenue"),
+            "cumulative_saas_revenue_global": F.when(F.col("kept"), F.when(saas, F.col("revenue")).otherwise(nothing)),
+        }),
+    ).drop("global_transaction_order_before")
+
+
+def apply_minimum(accumulated: DataFrame, groups: Groups) -> DataFrame:
+    """Use up the customer's monthly minimum in time order and split revenue at the point where it is met."""
+    nothing = F.lit(0).cast(REVENUE)
+    ordered = groups.total(accumulated, GROUP, {"price_minimum_revenue": F.max("price_minimum_amount")}).withColumn(
         # an unknown customer or month has no minimum
         "price_minimum_revenue",
         F.when(F.col(GROUP[0]).isNotNull() & F.col(GROUP[1]).isNotNull(), F.col("price_minimum_revenue")),
@@ -164,47 +178,40 @@ def apply_minimum(priced: DataFrame, groups: Groups) -> DataFrame:
     )
 
 
-def _rate(rows: DataFrame, groups: Groups) -> DataFrame:
-    priced = reprice_volume(select_tiers(count_transactions(rows, groups), groups), groups)
-    priced = groups.running(
-        priced.withColumn("revenue", _revenue()), PRODUCT, PRODUCT_ORDER, {"cumulative_revenue": F.col("revenue")}
-    )
-    # rows without a price count in the order and in the minimum, then leave
-    return apply_minimum(priced, groups).filter("kept").select(*RATED_COLUMNS)
+def _tiers(groups: Groups) -> DataFrame:
+    return reprice_volume(select_tiers(count_transactions(groups), groups), groups)
 
 
 def _by_size(rules: DataFrame, max_group_rows: int, run) -> DataFrame:
     parts = split_by_size(charged_usage(rules), GROUP, KEY_ORDER, max_group_rows)
-    return reduce(DataFrame.unionByName, [run(rows, groups) for rows, groups in parts])
+    return reduce(DataFrame.unionByName, [run(groups) for groups in parts])
 
 
 def rate_transactions(rules: DataFrame, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
     """Rated usage with the minimum applied, one row per charged match.
 
-    One shuffle by customer and month serves every window; the product windows and the customer windows need one sort
+    One shuffle by month and customer serves every window; the product windows and the customer windows need one sort
     each. Customer-months above `max_group_rows` are spread over several tasks (see `ordered`).
     """
-    return _by_size(rules, max_group_rows, _rate)
+    def run(groups: Groups) -> DataFrame:
+        priced = accumulate(_tiers(groups).withColumn("revenue", _revenue()), groups)
+        # rows without a price count in the order and in the minimum, then leave
+        return apply_minimum(priced, groups).filter("kept").select(*RATED_COLUMNS)
+
+    return _by_size(rules, max_group_rows, run)
 
 
 def running_counts(rules: DataFrame, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
     """Only the running counts and amounts, per product and (the order) per customer-month."""
-    def run(rows: DataFrame, groups: Groups) -> DataFrame:
-        counted = groups.running(
-            count_transactions(rows, groups), GROUP, GROUP_ORDER, {"global_transaction_order": F.lit(1)}
-        )
-        return counted.select(
-            *RULE_ROW.fieldNames(), "transaction_count", "global_transaction_order", "cumulative_amount",
-            "cumulative_amount_before",
-        )
-
-    return _by_size(rules, max_group_rows, run)
+    order = Sums(GROUP, GROUP_ORDER, {"global_transaction_order": F.lit(1)})
+    return _by_size(rules, max_group_rows, lambda groups: count_transactions(groups, order).select(
+        *RULE_ROW.fieldNames(), "transaction_count", "global_transaction_order", "cumulative_amount",
+        "cumulative_amount_before",
+    ))
 
 
 def tier_selection(rules: DataFrame, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
     """The rated rows' tiers before revenue: own tier, effective tier and what its bound applies to."""
-    def run(rows: DataFrame, groups: Groups) -> DataFrame:
-        tiers = reprice_volume(select_tiers(count_transactions(rows, groups), groups), groups).filter("kept")
-        return tiers.drop("pricing", "kept", "_chunk")
-
-    return _by_size(rules, max_group_rows, run)
+    return _by_size(
+        rules, max_group_rows, lambda groups: _tiers(groups).filter("kept").drop("pricing", "kept", "_chunk")
+    )

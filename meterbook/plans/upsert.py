@@ -38,7 +38,7 @@ def upsert(old: DataFrame, new: DataFrame, keys: list[str], on_duplicate: str =
     on_duplicate, for new rows with one complete key: "error", "first" (in a fixed order) or "keep".
     """
     new = _only_unique(new, keys, on_duplicate)
-    replaced = new.select(*[F.col(k).alias(f"_k_{k}") for k in keys])
+    replaced = new.select(*[F.col(k).alias(f"_k_{k}") for k in keys]).distinct()  # copies leave before the shuffle
     condition = reduce(Column.__and__, [same(F.col(k), F.col(f"_k_{k}")) for k in keys])
     return old.join(replaced, condition, "left_anti").unionByName(new)
 
@@ -61,19 +61,20 @@ def write_table(df: DataFrame, path: str) -> DataFrame:
 def upsert_table(new: DataFrame, path: str, keys: list[str], on_duplicate: str = "error") -> DataFrame:
     """Upsert into the table at `path`, rewriting only the months that occur in `new`.
 
-    The merged months are stored apart before the table they were read from is overwritten.
+    Only the new rows are stored apart, as they are read for their months, their keys and themselves. Spark writes the
+    merged months beside the table and moves them into place when the job is complete, so it may read what it replaces.
     """
     spark = new.sparkSession
     old = existing_table(spark, path)
     if old is None:
         merged = _only_unique(new, keys, on_duplicate)
     else:
-        new = stored(new)  # read for its months, its keys and its rows
+        new = stored(new)
         months = [r[0] for r in new.select(MONTH).distinct().collect()]  # one row per calendar month
         present = F.col(MONTH).isin([m for m in months if m is not None])
         if None in months:
             present = present | F.col(MONTH).isNull()
-        merged = stored(upsert(old.filter(present).select(*new.columns), new, keys, on_duplicate))
+        merged = upsert(old.filter(present).select(*new.columns), new, keys, on_duplicate)
     (
         merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(MONTH).parquet(path)
     )
