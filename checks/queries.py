@@ -74,8 +74,12 @@ class Stages:
     def rated(self) -> DataFrame:
         return stored(rating.rate_transactions(self.all_rules))
 
+    @cached_property
+    def line_rows(self) -> DataFrame:
+        return stored(line_revenue.line_rule_rows(self.all_rules))
+
     def base(self, kind: str) -> DataFrame:
-        return line_revenue.fixed_line_revenue(self.all_rules, kind)
+        return line_revenue.fixed_line_revenue(self.line_rows, kind)
 
     @cached_property
     def fee_totals(self) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.columns import greatest_or_null, pricing, whole
+from ..functions.columns import any_of, greatest_or_null, pricing, whole
 from ..sources.schemas import LINE_PRICE, REVENUE, REVENUE_ROW, conform
 
 GROUP = ["sequence_customer_id", "transaction_month"]
@@ -25,6 +25,11 @@ def _belongs(kind: str) -> Column:
     return product.contains({"discount": "DISCOUNT", "true_up": "TRUE UP CHARGE"}[kind])
 
 
+def line_rule_rows(rules: DataFrame) -> DataFrame:
+    """The few rule rows that any of the three kinds uses, to be stored once instead of scanning all rules three times."""
+    return rules.filter(any_of([F.coalesce(_belongs(kind), F.lit(False)) for kind in _KINDS]))
+
+
 def fixed_line_revenue(rules: DataFrame, kind: str, exact_cents: bool = False) -> DataFrame:
     """Revenue rows of one kind of line: "fee", "discount" or "true_up".
 

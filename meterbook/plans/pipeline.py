@@ -56,8 +56,9 @@ def run_pipeline(
     rated = merge(
         "int_revenue_mms", rating.rate_transactions(recent(rules), max_group_rows), matching.MERGE_KEY
     )
+    line_rows = table("int_rules_lines", line_revenue.line_rule_rows(recent(rules)))
     base = {
-        kind: merge(name, line_revenue.fixed_line_revenue(recent(rules), kind, exact_cents), line_revenue.LINE_KEY)
+        kind: merge(name, line_revenue.fixed_line_revenue(line_rows, kind, exact_cents), line_revenue.LINE_KEY)
         for kind, name in LINES.items()
     }
     fee_totals = table("int_revenue_platform_fee_totals", line_revenue.platform_fee_totals(base["fee"]))

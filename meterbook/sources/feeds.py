@@ -49,7 +49,8 @@ def merge_horizon(as_of: dt.date) -> dt.date:
 
 
 def instant(day: dt.date) -> Column:
-    return F.lit(dt.datetime.combine(day, dt.time())).cast("timestamp_ntz")
+    """Midnight of the day, whatever the session's time zone."""
+    return F.lit(day).cast("timestamp_ntz")
 
 
 def on_days(column: str, first: dt.date, last: dt.date) -> Column:
