@@ -87,10 +87,13 @@ class Groups:
                 df = self._carried(df, rows, sums)
         return df
 
-    def total(self, df: DataFrame, within: list[str], aggregates: dict[str, Column]) -> DataFrame:
-        """Add aggregates of the whole group to each of its rows."""
+    def total(self, df: DataFrame, within: list[str], order: list[str], aggregates: dict[str, Column]) -> DataFrame:
+        """Add aggregates of the whole group to each of its rows.
+
+        `order` does not change them; in the order of the running sums Spark computes both in one pass.
+        """
         if not self.chunked:
-            whole = Window.partitionBy(*within)
+            whole = self._window(within, order).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
             return df.withColumns({name: value.over(whole) for name, value in aggregates.items()})
         totals = df.groupBy(*within).agg(*[value.alias(name) for name, value in aggregates.items()])
         return _join_same(df, totals, within, "left")

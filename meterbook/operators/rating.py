@@ -105,7 +105,7 @@ def reprice_volume(selected: DataFrame, groups: Groups) -> DataFrame:
     last = F.max_by(
         F.struct("tier_price", "tier_fee", "tier_is_percentage"), F.when(volume & F.col("kept"), F.col("transaction_count"))
     )
-    latest = groups.total(selected, PRODUCT, {"_latest": last})
+    latest = groups.total(selected, PRODUCT, PRODUCT_ORDER, {"_latest": last})
 
     def effective(name: str) -> Column:
         return F.when(volume, F.col(f"_latest.{name}")).otherwise(F.col(name))
@@ -151,7 +151,7 @@ def accumulate(priced: DataFrame, groups: Groups) -> DataFrame:
 def apply_minimum(accumulated: DataFrame, groups: Groups) -> DataFrame:
     """Use up the customer's monthly minimum in time order and split revenue at the point where it is met."""
     nothing = F.lit(0).cast(REVENUE)
-    ordered = groups.total(accumulated, GROUP, {"price_minimum_revenue": F.max("price_minimum_amount")}).withColumn(
+    ordered = groups.total(accumulated, GROUP, GROUP_ORDER, {"price_minimum_revenue": F.max("price_minimum_amount")}).withColumn(
         # an unknown customer or month has no minimum
         "price_minimum_revenue",
         F.when(F.col(GROUP[0]).isNotNull() & F.col(GROUP[1]).isNotNull(), F.col("price_minimum_revenue")),

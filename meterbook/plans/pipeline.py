@@ -10,71 +10,82 @@ from ..operators import allocation, line_revenue, line_rules, matching, rating,
 from ..operators.invoice_rules import per_client, rule_lines
 from ..operators.ordered import MAX_GROUP_ROWS
 from ..sources.feeds import merge_horizon, movement_union
-from .upsert import MONTH, existing_table, upsert_table, write_table
+from .upsert import MONTH, existing_table, replace_months, upsert_table, write_table
 
 LINES = {
-    "fee": "int_revenue_platform_fee_base",
-    "discount": "int_revenue_discount_base",
-    "true_up": "int_revenue_true_up_charge_base",
+    "fee": "fee_lines",
+    "discount": "discount_lines",
+    "true_up": "true_up_lines",
 }
 
 
 def run_pipeline(
     sources: dict[str, DataFrame], as_of: dt.date, out: str, *, exact_cents: bool = False,
     on_duplicate: str = "error", max_group_rows: int = MAX_GROUP_ROWS, views: bool = False,
+    names: dict[str, str] | None = None,
 ) -> dict[str, DataFrame]:
     """Run everything as of a day and write it below the folder `out`; returns the tables by name.
 
     A run rewrites whole months, from three months before `as_of` on; older months stay as they were stored. The first
-    run of an empty folder writes all months that it reads. With `views` each result is also a temporary view.
+    run of an empty folder writes all months that it reads. With `views` each result is also a temporary view. `names`
+    gives tables (and views) other names than the keys of the result.
     """
     tables: dict[str, DataFrame] = {}
 
+    def label(name: str) -> str:
+        return (names or {}).get(name, name)
+
+    def path(name: str) -> str:
+        return f"{out}/{label(name)}"
+
     def keep(name: str, df: DataFrame) -> DataFrame:
         tables[name] = df
         if views:
-            df.createOrReplaceTempView(name)
+            df.createOrReplaceTempView(label(name))
         return df
 
     def table(name: str, df: DataFrame) -> DataFrame:
-        return keep(name, write_table(df, f"{out}/{name}"))
+        return keep(name, write_table(df, path(name)))
 
     some_source = next(iter(sources.values()))
-    first_run = existing_table(some_source.sparkSession, f"{out}/mart_rules") is None
+    first_run = existing_table(some_source.sparkSession, path("rules")) is None
 
     def recent(df: DataFrame) -> DataFrame:
         return df if first_run else df.filter(F.col(MONTH) >= F.lit(merge_horizon(as_of)))
 
     def merge(name: str, df: DataFrame, keys: list[str], duplicates: str = "keep") -> DataFrame:
-        return keep(name, upsert_table(recent(df), f"{out}/{name}", keys, duplicates))
+        return keep(name, upsert_table(recent(df), path(name), keys, duplicates))
 
-    lines = table("stg_invoice_lines", rule_lines(sources, as_of))
-    rules_per_client = keep("stg_invoice_pricing", per_client(lines))
+    lines = table("invoice_lines", rule_lines(sources, as_of))
+    rules_per_client = keep("invoice_rules", per_client(lines))
     matches = matching.match_rules(movement_union(sources, as_of), matching.compile_rules(lines))
-    rules = merge("mart_rules", line_rules.all_rules(rules_per_client, matches), matching.MERGE_KEY, on_duplicate)
+    rules = merge("rules", line_rules.all_rules(rules_per_client, matches), matching.MERGE_KEY, on_duplicate)
 
     rated = merge(
-        "int_revenue_mms", rating.rate_transactions(recent(rules), max_group_rows), matching.MERGE_KEY
+        "rated_usage", rating.rate_transactions(recent(rules), max_group_rows), matching.MERGE_KEY
     )
-    line_rows = table("int_rules_lines", line_revenue.line_rule_rows(recent(rules)))
+    line_rows = table("line_rules", line_revenue.line_rule_rows(recent(rules)))
     base = {
         kind: merge(name, line_revenue.fixed_line_revenue(line_rows, kind, exact_cents), line_revenue.LINE_KEY)
         for kind, name in LINES.items()
     }
-    fee_totals = table("int_revenue_platform_fee_totals", line_revenue.platform_fee_totals(base["fee"]))
-    table("int_revenue_discount_general", line_revenue.general_discounts(base["discount"]))
-    specific = table("int_revenue_discount_specific", line_revenue.specific_discounts(base["discount"]))
-    shares = table("int_revenue_month_shares", allocation.month_shares(rated))
+    fee_totals = table("fee_totals", line_revenue.platform_fee_totals(base["fee"]))
+    table("general_discounts", line_revenue.general_discounts(base["discount"]))
+    specific = table("specific_discounts", line_revenue.specific_discounts(base["discount"]))
+    shares = merge("month_shares", allocation.month_shares(recent(rated)), line_revenue.GROUP)
     fee_counts = allocation.fee_share_counts(shares)
 
     marts = [
-        merge("mart_revenue_mms", allocation.allocate(recent(rated), fee_totals, shares), matching.MERGE_KEY),
-        table("mart_revenue_platform_fee", line_revenue.platform_fee_mart(base["fee"], fee_counts, specific)),
-        table("mart_revenue_discount", line_revenue.discount_mart(base["discount"], fee_counts)),
-        table("mart_revenue_true_up_charge", line_revenue.true_up_mart(base["true_up"])),
+        merge("usage_revenue", allocation.allocate(recent(rated), fee_totals, shares), matching.MERGE_KEY),
+        table("fee_revenue", line_revenue.platform_fee_mart(base["fee"], fee_counts, specific)),
+        table("discount_revenue", line_revenue.discount_mart(base["discount"], fee_counts)),
+        table("true_up_revenue", line_revenue.true_up_mart(base["true_up"])),
     ]
-    calculated = keep("mart_revenue_calculated", allocation.revenue_calculated(*marts))
-    summary = table("mart_revenue_calculated_summary", summaries.calculated_summary(calculated))
-    invoiced = keep("mart_revenue_sequence_summary", summaries.invoiced_summary(sources))
-    table("mart_revenue_sequence_vs_calculated_summary", summaries.reconciliation(summary, invoiced))
+    calculated = keep("revenue", allocation.revenue_calculated(*marts))
+    summary = keep(
+        "calculated_summary",
+        replace_months(summaries.calculated_summary(recent(calculated)), path("calculated_summary")),
+    )
+    invoiced = keep("invoiced_summary", summaries.invoiced_summary(sources))
+    table("reconciliation", summaries.reconciliation(summary, invoiced))
     return tables

@@ -58,6 +58,12 @@ def write_table(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def replace_months(df: DataFrame, path: str) -> DataFrame:
+    """Write the months that occur in `df` in place of what the table at `path` has for them; others stay."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(MONTH).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
+
+
 def upsert_table(new: DataFrame, path: str, keys: list[str], on_duplicate: str = "error") -> DataFrame:
     """Upsert into the table at `path`, rewriting only the months that occur in `new`.
 
@@ -75,7 +81,4 @@ def upsert_table(new: DataFrame, path: str, keys: list[str], on_duplicate: str =
         if None in months:
             present = present | F.col(MONTH).isNull()
         merged = upsert(old.filter(present).select(*new.columns), new, keys, on_duplicate)
-    (
-        merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(MONTH).parquet(path)
-    )
-    return spark.read.schema(new.schema).parquet(path).select(*new.columns)
+    return replace_months(merged.select(*new.columns), path)

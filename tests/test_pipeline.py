@@ -29,33 +29,42 @@ def first_run(spark, sources, tmp_path_factory):
 def test_tables_equal_the_queries(spark, small, first_run):
     s = queries.stages(spark, small)
     tables = first_run[1]
-    assert tables["mart_revenue_calculated"].exceptAll(s.calculated).isEmpty()
-    assert s.calculated.exceptAll(tables["mart_revenue_calculated"]).isEmpty()
-    assert first_run[2]["mart_revenue_sequence_vs_calculated_summary"] == queries.queries()["reconciliation"](spark, small).count() > 0
+    assert tables["revenue"].exceptAll(s.calculated).isEmpty()
+    assert s.calculated.exceptAll(tables["revenue"]).isEmpty()
+    assert first_run[2]["reconciliation"] == queries.queries()["reconciliation"](spark, small).count() > 0
 
 
 def test_second_run_changes_nothing(sources, first_run):
     out, before, counts = first_run
     again = run_pipeline(sources, AS_OF, out, views=True)
     assert {name: df.count() for name, df in again.items()} == counts
-    assert again["int_revenue_mms"].sparkSession.table("mart_revenue_calculated").count() == counts["mart_revenue_calculated"]
+    assert again["rated_usage"].sparkSession.table("revenue").count() == counts["revenue"]
 
 
 def test_old_months_stay(sources, first_run):
     out, _, counts = first_run
     later = run_pipeline(sources, dt.date(1998, 5, 20), out)
-    stored_months = {r[0] for r in later["mart_rules"].select("transaction_month").distinct().collect()}
+    assert later["month_shares"].count() == counts["month_shares"]
+    assert later["calculated_summary"].count() == counts["calculated_summary"]
+    stored_months = {r[0] for r in later["rules"].select("transaction_month").distinct().collect()}
     assert dt.date(1998, 1, 1) in stored_months
-    january = later["int_revenue_mms"].filter(F.col("transaction_month") == dt.date(1998, 1, 1))
+    january = later["rated_usage"].filter(F.col("transaction_month") == dt.date(1998, 1, 1))
     assert not january.isEmpty() and january.filter("price_minimum_revenue is not null").count() > 0
 
 
+def test_large_customers_take_the_same_way(sources, first_run, tmp_path):
+    names = {"rules": "all_the_rules"}
+    tables = run_pipeline(sources, AS_OF, str(tmp_path), max_group_rows=40, names=names)
+    assert (tmp_path / "all_the_rules").is_dir()
+    assert {name: df.count() for name, df in tables.items()} == first_run[2]
+
+
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
 def test_rating_shuffles_once(spark, first_run):
-    text = plan(rate_transactions(spark.read.parquet(f"{first_run[0]}/mart_rules")))
+    text = plan(rate_transactions(spark.read.parquet(f"{first_run[0]}/rules")))
     assert len(re.findall(r"Exchange hashpartitioning", text)) == 1
     assert "Join" not in text and text.count("Sort [") == 2
 
