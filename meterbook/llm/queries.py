@@ -6,10 +6,26 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import licenses
+from . import licenses, private
 from .shared import table
 
 
+def op1_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: the fixed forms, and what their contexts discover."""
+    found = private.extract_private(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    kinds = F.array(*[F.lit(k) for k in private.KINDS])
+    text = lambda array: F.array_join(F.transform(array, lambda s: F.concat_ws(
+        ":", F.get(kinds, s["rank"]), s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+    def count(kind: str):
+        rank = private.KINDS.index(kind)
+        return F.size(F.filter("base", lambda s: s["rank"] == rank)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id", *[count(k) for k in private.KINDS], F.sha2(text(F.col("base")), 256).alias("base_sha256"),
+        text(F.array_sort(F.concat("base", "added"))).alias("spans"), F.size("added").cast("long").alias("n_added"))
+
+
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License labels of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -25,6 +41,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_private_data": op1_private_data,
         "op10_license_scan": op10_license_scan,
     }
 
