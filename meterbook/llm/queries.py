@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import licenses, private
+from . import hosts, licenses, private, shards
 from .shared import table
 
 
@@ -26,6 +26,18 @@ def op1_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
         text(F.array_sort(F.concat("base", "added"))).alias("spans"), F.size("added").cast("long").alias("n_added"))
 
 
+def op3_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, base rules and host verdicts of every document."""
+    return hosts.judge_hosts(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "host_rate")
+
+
+def op7_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in shards of nearly equal bytes."""
+    placed = shards.shard_rows(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License labels of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -42,6 +54,8 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_private_data": op1_private_data,
+        "op3_host_rules": op3_host_rules,
+        "op7_histogram_shards": op7_histogram_shards,
         "op10_license_scan": op10_license_scan,
     }
 
