@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import hosts, licenses, private, shards
+from . import hosts, licenses, line_crf, private, shards, toxicity
+from .samples import HELD_OUT, fold
 from .shared import table
 
 
@@ -32,12 +33,26 @@ def op3_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "host_rate")
 
 
+def op4_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document by the line model, trained on the labels that are not held out."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return line_crf.judge(docs, labels).select(
+        "doc_id", (fold() == HELD_OUT).alias("held_out"), "score", F.when(F.col("score") >= line_crf.THRESHOLD, 1).otherwise(0).alias("predicted"))
+
+
 def op7_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in shards of nearly equal bytes."""
     placed = shards.shard_rows(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, trained on the labels that are not held out."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return toxicity.score_toxicity(docs, toxicity.train(docs, labels)).select(
+        "doc_id", (fold() == HELD_OUT).alias("held_out"), "score", F.when(F.col("score") >= toxicity.THRESHOLD, 1).otherwise(0).alias("predicted"))
+
+
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License labels of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -55,7 +70,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_private_data": op1_private_data,
         "op3_host_rules": op3_host_rules,
+        "op4_line_quality": op4_line_quality,
         "op7_histogram_shards": op7_histogram_shards,
+        "op8_toxicity": op8_toxicity,
         "op10_license_scan": op10_license_scan,
     }
 
