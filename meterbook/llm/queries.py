@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import hosts, licenses, line_crf, private, shards, toxicity
+from . import hosts, licenses, line_crf, private, shards, simhash, toxicity
 from .samples import HELD_OUT, fold
 from .shared import table
 
@@ -40,6 +40,12 @@ def op4_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (fold() == HELD_OUT).alias("held_out"), "score", F.when(F.col("score") >= line_crf.THRESHOLD, 1).otherwise(0).alias("predicted"))
 
 
+def op6_simhash_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document."""
+    found = simhash.component_ids(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op7_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in shards of nearly equal bytes."""
     placed = shards.shard_rows(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -71,6 +77,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_private_data": op1_private_data,
         "op3_host_rules": op3_host_rules,
         "op4_line_quality": op4_line_quality,
+        "op6_simhash_anchors": op6_simhash_anchors,
         "op7_histogram_shards": op7_histogram_shards,
         "op8_toxicity": op8_toxicity,
         "op10_license_scan": op10_license_scan,
