@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import hosts, licenses, line_crf, private, shards, simhash, toxicity
+from . import hosts, licenses, line_crf, mixing, packing, private, shards, simhash, templates, toxicity
 from .samples import HELD_OUT, fold
 from .shared import table
 
@@ -27,6 +27,11 @@ def op1_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
         text(F.array_sort(F.concat("base", "added"))).alias("spans"), F.size("added").cast("long").alias("n_added"))
 
 
+def op2_token_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as packed rows of token ids."""
+    return packing.pack_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op3_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, base rules and host verdicts of every document."""
     return hosts.judge_hosts(table(spark, sf_dir, "documents")).select(
@@ -40,6 +45,13 @@ def op4_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (fold() == HELD_OUT).alias("held_out"), "score", F.when(F.col("score") >= line_crf.THRESHOLD, 1).otherwise(0).alias("predicted"))
 
 
+def op5_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every copy of every document in the mixture, with its place in the global order."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    copies = mixing.replicate(docs).select("doc_id", "source", F.col("copy").cast("long").alias("copy"), F.round("rate", 6).alias("rate"), "order_key")
+    return copies.repartitionByRange("order_key").sortWithinPartitions("order_key")
+
+
 def op6_simhash_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     found = simhash.component_ids(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -59,6 +71,19 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (fold() == HELD_OUT).alias("held_out"), "score", F.when(F.col("score") >= toxicity.THRESHOLD, 1).otherwise(0).alias("predicted"))
 
 
+def op9_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of documents and benchmark items whose templates and values agree."""
+    return templates.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select(
+        "doc_id", "item_id", "found", "windows", F.round("coverage", 6).alias("coverage"), F.round("agreement", 6).alias("agreement"))
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus pipeline over all documents."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License labels of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -75,14 +100,32 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_private_data": op1_private_data,
+        "op2_token_packing": op2_token_packing,
         "op3_host_rules": op3_host_rules,
         "op4_line_quality": op4_line_quality,
+        "op5_poisson_mixing": op5_poisson_mixing,
         "op6_simhash_anchors": op6_simhash_anchors,
         "op7_histogram_shards": op7_histogram_shards,
         "op8_toxicity": op8_toxicity,
+        "op9_template_decontamination": op9_template_decontamination,
         "op10_license_scan": op10_license_scan,
+        "pipeline": pipeline,
     }
 
 
+#: Mixing in plain SQL: the same rates, hashes and distribution, by a join with the terms of each source's distribution.
+MIXING_SQL = f"""
+WITH sums AS (SELECT source AS of, sum(length(coalesce(text, ''))) AS chars FROM documents GROUP BY source),
+rated AS (SELECT of, least(sqrt(chars) / (SELECT sum(sqrt(chars)) FROM sums) * (SELECT sum(chars) FROM sums) / chars, {mixing.MOST_RATE}) AS rate FROM sums),
+terms AS (SELECT of, rate, k, sum(exp(-rate + k * ln(rate) - lgamma(k + 1))) OVER (PARTITION BY of ORDER BY k) AS below
+          FROM rated, range(0, {mixing.TERMS + 1}) t(k)),
+drawn AS (SELECT doc_id, source, ('0x' || substr(md5('{mixing.SEED}:' || doc_id), 1, 13))::BIGINT / {1 << 52}::DOUBLE AS u FROM documents),
+counted AS (SELECT doc_id, source, rate, count(*) FILTER (WHERE below <= u) AS n FROM drawn JOIN terms ON of IS NOT DISTINCT FROM source
+            GROUP BY doc_id, source, rate, u)
+SELECT doc_id, source, c AS copy, round(rate, 6) AS rate, md5('{mixing.SEED}-order:' || doc_id || ':' || c) AS order_key
+FROM counted, range(1, {mixing.TERMS + 1}) t(c) WHERE c <= n
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op5_poisson_mixing": MIXING_SQL}
