@@ -124,7 +124,8 @@ def near_groups(docs: DataFrame, size: int = SHINGLE, id: str = "doc_id", text:
 def component_ids(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, fp, component_id): the smallest id in the document's component; null if the component has no id at all."""
     rows = stored(near_groups(docs, SHINGLE, id, text))
-    least = rows.groupBy("root").agg(F.min("id").alias("component_id"))
+    # stored, so that the join deals the rows anew and can split a hot component
+    least = stored(rows.groupBy("root").agg(F.min("id").alias("component_id")))
     return rows.join(least, "root").select(F.col("id").alias(id), "fp", "component_id")
 
 
