@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import datetime as dt
+import shutil
+import tempfile
 from collections.abc import Callable
 from functools import cached_property, reduce
 
@@ -15,7 +18,7 @@ from meterbook.operators import (
 )
 from meterbook.plans.upsert import upsert
 from meterbook.sources import feeds
-from meterbook.sources.sample import AS_OF, sample_sources
+from checks.sample import AS_OF, sample_sources
 from meterbook.sources.schemas import PRICE_STRUCTURE, PROPERTIES
 
 CLIENT = "c20"
@@ -36,11 +39,23 @@ def plain(df: DataFrame) -> DataFrame:
     return df.select(*[column(f) for f in df.schema.fields])
 
 
+def shared(spark: SparkSession) -> SparkSession:
+    """The session; a local one that has no folder for stored tables gets a temporary one, removed at exit."""
+    context = spark.sparkContext
+    if not (spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()):
+        if context.master != "local" and not context.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="meterbook-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        context.setCheckpointDir(folder)
+    return spark
+
+
 class Stages:
     """The steps of one data set. Those that the pipeline stores as tables are stored here too, once."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
+        self.spark, self.sf_dir = shared(spark), sf_dir
 
     @cached_property
     def sources(self) -> dict[str, DataFrame]:

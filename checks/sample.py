@@ -10,8 +10,8 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import catalogue
-from .schemas import SOURCES, conform
+from checks import catalogue
+from meterbook.sources.schemas import SOURCES, conform
 
 AS_OF = dt.date(1998, 4, 15)
 
@@ -162,10 +162,11 @@ def sample_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         F.expr("(cast(net as decimal(18,2)) + v * 10) * 2").alias("gross_total"),
         F.expr("m * 10 + pos").alias("quantity"),
         F.expr("cast(net as decimal(18,2)) / 10").alias("rate"),
-        F.col("calculated").alias("calculated_at"),
+        # some lines are calculated later than their invoice, and some are billed for the month before
+        F.expr("case when pos % 3 = 2 then " + _minutes("2880", "calculated") + " else calculated end").alias("calculated_at"),
         F.expr("case when pos = 4 then null else " + _minutes("pos * 60", "calculated") + " end").alias("modified_at"),
         F.expr("case when v = 2 and (no + pos) % 13 = 0 then " + _minutes("0", "period_start") + " end").alias("deleted_at"),
-        F.col("period_start").alias("billing_period_start"),
+        F.expr("case when pos % 4 = 3 and no % 3 = 1 then period_start - interval '1' month else period_start end").alias("billing_period_start"),
     )
     metrics = spark.createDataFrame(catalogue.METRICS, SOURCES["usage_metrics"])
 

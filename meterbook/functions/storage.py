@@ -1,31 +1,49 @@
-"""Storing intermediate rows in the cluster's shared folder."""
+"""Storing intermediate rows in the cluster's shared folder, and removing them."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+_runs: list[str] = []
+
 
 def shared_folder(spark: SparkSession) -> str:
-    """The session's `spark.checkpoint.dir`; only a local session without one gets a temporary folder."""
-    context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    """The session's `spark.checkpoint.dir`, a folder that all executors share."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="meterbook-"))
-        folder = context.getCheckpointDir()
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     return folder
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of whatever file system it is in; nothing happens if it is not there."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+@contextmanager
+def run_folder(spark: SparkSession, below: str) -> Iterator[str]:
+    """What is stored inside goes to one folder, which is removed at the end, also after an error."""
+    path = f"{below}/_meterbook-run-{uuid.uuid4().hex}"
+    _runs.append(path)
+    try:
+        yield path
+    finally:
+        _runs.remove(path)
+        remove(spark, path)
+
+
 def stored(df: DataFrame) -> DataFrame:
-    """Write the rows to a table of their own in the shared folder and read them from there.
+    """Write the rows to a table of their own in the run's folder, or in the shared one, and read them from there.
 
     This cuts the lineage: what follows is planned from a plain scan, with column pruning, and neither lost executors
     nor a second reader repeat the work before it.
     """
-    path = f"{shared_folder(df.sparkSession)}/meterbook-{uuid.uuid4().hex}"
+    folder = _runs[-1] if _runs else shared_folder(df.sparkSession)
+    path = f"{folder}/meterbook-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -72,17 +72,21 @@ def priced_lines(sources: dict[str, DataFrame], as_of: dt.date) -> DataFrame:
         F.col("line.currency").alias("currency"),
         F.col("line.net_total").alias("net_total"),
         F.col("line.gross_total").alias("gross_total"),
-        F.col("invoice.calculated_at").alias("calculated_at"),
-        F.to_date("invoice.billing_period_start").alias("month"),
+        F.col("line.calculated_at").alias("calculated_at"),
+        F.to_date("line.billing_period_start").alias("month"),
         month_of("invoice.billing_period_start").alias("price_structure_month"),
         F.col("invoice.billing_period_start").alias("_period_start"),
+        F.col("invoice.calculated_at").alias("_invoice_calculated_at"),
     )
 
 
 def latest_lines(lines: DataFrame) -> DataFrame:
-    """The last calculated line per customer, period, discount flag and product (a missing time counts as latest)."""
+    """The line of the last calculated invoice per customer, period, discount flag and product.
+
+    A missing time counts as latest. Period and calculation are the invoice's; a line may be billed for another period.
+    """
     newest = Window.partitionBy("sequence_customer_id", "_period_start", "is_discount", "product_name").orderBy(
-        F.col("calculated_at").desc_nulls_first(),
+        F.col("_invoice_calculated_at").desc_nulls_first(),
         F.col("modified_at").desc_nulls_first(),
         # the rest only makes the choice repeatable
         F.col("invoice_line_item_id").asc_nulls_last(),
@@ -90,12 +94,12 @@ def latest_lines(lines: DataFrame) -> DataFrame:
         F.col("price_minimum_amount").asc_nulls_last(),
         F.col("group_id").asc_nulls_last(),
     )
-    return lines.withColumn("rn", F.row_number().over(newest)).filter("rn = 1").drop("_period_start")
+    return lines.withColumn("rn", F.row_number().over(newest)).filter("rn = 1").drop("_period_start", "_invoice_calculated_at")
 
 
 def rule_lines(sources: dict[str, DataFrame], as_of: dt.date) -> DataFrame:
     """The latest invoice lines with their checked JSON, before they are repeated per client."""
-    return latest_lines(priced_lines(sources, as_of)).distinct().withColumns({
+    return latest_lines(priced_lines(sources, as_of)).withColumns({
         "property_filters_json": valid_json("property_filters"),
         "price_structure_json": valid_json("price_structure"),
     })

@@ -1,14 +1,14 @@
 """Running and whole-group sums over ordered groups of any size.
 
-A window function hands a whole group to one task, and one customer-month may hold a large part of all rows. Groups up
-to a row limit use plain windows. Larger ones are cut along their order into chunks of about that limit by Spark's
-range partitioning; windows then run per chunk, and the sums of the earlier chunks are added from a small table.
-Both ways give the same, exact result.
+A window function hands a whole group to one task, and one customer-month may hold a large part of all rows. So rows are
+placed once by range of group and order, and stored with the number of their range, the chunk. Windows run per group
+and chunk. A chunk holds many small groups or a piece of a large one; only its first and its last group can go on in
+another chunk. For those few groups the sums of each chunk form a small table, whose running sums are added to the
+rows. Groups of every size take this one path, and the result does not depend on where the borders lie.
 """
 
 from __future__ import annotations
 
-import math
 from functools import reduce
 from typing import NamedTuple
 
@@ -17,16 +17,17 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions.columns import add_skipping_null, same
 from ..functions.storage import stored
 
-MAX_GROUP_ROWS = 2_000_000
-
 _CHUNK = "_chunk"
 
 
+def _same_keys(keys: list[str]) -> Column:
+    return reduce(Column.__and__, [same(F.col(k), F.col(f"_r_{k}")) for k in keys])
+
+
 def _join_same(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
     """Join on keys where NULL equals NULL, keeping the left key columns."""
     renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
-    condition = reduce(Column.__and__, [same(F.col(k), F.col(f"_r_{k}")) for k in keys])
-    return left.join(renamed, condition, how).drop(*[f"_r_{k}" for k in keys])
+    return left.join(renamed, _same_keys(keys), how).drop(*[f"_r_{k}" for k in keys])
 
 
 def ascending(columns: list[str]) -> list[Column]:
@@ -42,14 +43,24 @@ class Sums(NamedTuple):
 
 
 class Groups:
-    """The rows of some groups, placed for windows, and how to run sums over them."""
-
-    def __init__(self, rows: DataFrame, chunked: bool):
-        self.rows = rows
-        self.chunked = chunked
+    """Rows placed in chunks, and how to run sums over their groups."""
+
+    def __init__(self, rows: DataFrame, keys: list[str]):
+        # one shuffle by group and chunk serves the windows of groups and of parts of groups
+        self.rows, self.keys = rows.repartition(*keys, _CHUNK), keys
+        # compared as the rows are placed: unknown keys last
+        group = F.struct(*[c for k in keys for c in (F.col(k).isNull().alias(f"no_{k}"), F.col(k))])
+        ends = rows.groupBy(_CHUNK).agg(F.min(group).alias("first"), F.max(group).alias("last"))
+        seen = ends.select(_CHUNK, F.explode(F.array_distinct(F.array("first", "last"))).alias("group"))
+        # two rows per chunk at most
+        self.crossing = stored(seen.groupBy("group").count().filter("count > 1").select(*[f"group.{k}" for k in keys]))
+
+    def _across(self, df: DataFrame) -> DataFrame:
+        """The rows of groups that lie in several chunks. The condition is on the windows' keys, so it reaches the scan."""
+        return _join_same(df, self.crossing, self.keys, "left_semi")
 
     def _window(self, keys: list[str], order: list[str]):
-        return Window.partitionBy(*keys, *([_CHUNK] if self.chunked else [])).orderBy(*ascending(order))
+        return Window.partitionBy(*keys, _CHUNK).orderBy(*ascending(order))
 
     def _local(self, df: DataFrame, sums: Sums) -> DataFrame:
         window = self._window(sums.within, sums.order)
@@ -63,13 +74,14 @@ class Groups:
     def _carried(self, local: DataFrame, rows: DataFrame, sums: Sums) -> DataFrame:
         """Add the sums of the earlier chunks; `rows` are the input rows, `local` has the sums within each chunk."""
         names = list(sums.values)
-        totals = rows.groupBy(*sums.within, _CHUNK).agg(
+        totals = self._across(rows).groupBy(*sums.within, _CHUNK).agg(
             *[F.sum(value).alias(f"_c_{name}") for name, value in sums.values.items()]
         )
         # one row per chunk and key: a short window
         earlier = Window.partitionBy(*sums.within).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
         carried = totals.withColumns({f"_c_{name}": F.sum(f"_c_{name}").over(earlier) for name in names})
-        joined = _join_same(local, carried, [*sums.within, _CHUNK], "left")
+        # stored, so that its measured size decides how it is joined
+        joined = _join_same(local, stored(carried), [*sums.within, _CHUNK], "left")
         ends = {
             end: add_skipping_null(F.col(f"_c_{name}"), F.col(end)).cast(local.schema[end].dataType)
             for name in names for end in (name, f"{name}_before")
@@ -78,13 +90,9 @@ class Groups:
 
     def running(self, df: DataFrame, *specs: Sums) -> DataFrame:
         """Add for each sum `name` (up to and with the row) and `name_before` (up to the row, NULL on the first)."""
-        if self.chunked and df is not self.rows:
-            df = stored(df)  # read for the rows and for the sums of each chunk
         rows = df
         for sums in specs:
-            df = self._local(df, sums)
-            if self.chunked:
-                df = self._carried(df, rows, sums)
+            df = self._carried(self._local(df, sums), rows, sums)
         return df
 
     def total(self, df: DataFrame, within: list[str], order: list[str], aggregates: dict[str, Column]) -> DataFrame:
@@ -92,11 +100,15 @@ class Groups:
 
         `order` does not change them; in the order of the running sums Spark computes both in one pass.
         """
-        if not self.chunked:
-            whole = self._window(within, order).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-            return df.withColumns({name: value.over(whole) for name, value in aggregates.items()})
-        totals = df.groupBy(*within).agg(*[value.alias(name) for name, value in aggregates.items()])
-        return _join_same(df, totals, within, "left")
+        whole = self._window(within, order).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        local = df.withColumns({name: value.over(whole) for name, value in aggregates.items()})
+        totals = self._across(df).groupBy(*within).agg(
+            F.lit(True).alias("_cut"), *[value.alias(f"_t_{name}") for name, value in aggregates.items()]
+        )
+        joined = _join_same(local, stored(totals), within, "left")
+        return joined.withColumns({
+            name: F.when(F.col("_cut"), F.col(f"_t_{name}")).otherwise(F.col(name)) for name in aggregates
+        }).drop("_cut", *[f"_t_{name}" for name in aggregates])
 
     def among_peers(self, df: DataFrame, within: list[str], key: list[str], name: str, value: Column) -> DataFrame:
         """Add an aggregate over the rows that share the row's ordering key (they always lie in one chunk)."""
@@ -104,22 +116,12 @@ class Groups:
         return df.withColumn(name, value.over(peers))
 
 
-def split_by_size(df: DataFrame, keys: list[str], order: list[str], max_rows: int = MAX_GROUP_ROWS) -> list[Groups]:
-    """The rows of small groups, placed by group, and (if there are any) those of large groups, placed by chunk.
+def place(df: DataFrame, keys: list[str], order: list[str], chunks: int | None = None) -> Groups:
+    """Place rows by range of keys and order, in as many chunks as the session has shuffle partitions.
 
-    Counts are summed before the shuffle, and only one number comes to the driver. Rows equal in `order` are peers and
-    stay together.
+    Rows equal in `order` are peers and stay together. The placed rows are stored before use, so that a chunk keeps its
+    rows whatever is recomputed.
     """
-    large = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > max_rows)
-    rows = large.agg(F.sum("_n")).first()[0]
-    if not rows:
-        return [Groups(df.repartition(*keys), chunked=False)]
-    large = large.select(*keys)
-    small_rows = _join_same(df, large, keys, "left_anti").repartition(*keys)
-    chunks = (
-        _join_same(df, large, keys, "left_semi")
-        .repartitionByRange(math.ceil(rows / max_rows), *ascending([*keys, *order]))
-        .withColumn(_CHUNK, F.spark_partition_id())
-    )
-    # stored before use, so that a chunk keeps its rows whatever is recomputed
-    return [Groups(small_rows, chunked=False), Groups(stored(chunks), chunked=True)]
+    chunks = chunks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = df.repartitionByRange(chunks, *ascending([*keys, *order])).withColumn(_CHUNK, F.spark_partition_id())
+    return Groups(stored(placed), keys)

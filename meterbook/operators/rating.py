@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.columns import pricing
 from ..sources.schemas import REVENUE, RULE_ROW
 from .matching import NON_USAGE_PRODUCTS
-from .ordered import MAX_GROUP_ROWS, Groups, Sums, split_by_size
+from .ordered import Groups, Sums, place
 
 # The month comes first: rated rows leave the windows in the order in which a table of months is written.
 GROUP = ["transaction_month", "sequence_customer_id"]
@@ -182,36 +180,31 @@ def _tiers(groups: Groups) -> DataFrame:
     return reprice_volume(select_tiers(count_transactions(groups), groups), groups)
 
 
-def _by_size(rules: DataFrame, max_group_rows: int, run) -> DataFrame:
-    parts = split_by_size(charged_usage(rules), GROUP, KEY_ORDER, max_group_rows)
-    return reduce(DataFrame.unionByName, [run(groups) for groups in parts])
+def _placed(rules: DataFrame, chunks: int | None) -> Groups:
+    return place(charged_usage(rules), GROUP, KEY_ORDER, chunks)
 
 
-def rate_transactions(rules: DataFrame, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+def rate_transactions(rules: DataFrame, chunks: int | None = None) -> DataFrame:
     """Rated usage with the minimum applied, one row per charged match.
 
-    One shuffle by month and customer serves every window; the product windows and the customer windows need one sort
-    each. Customer-months above `max_group_rows` are spread over several tasks (see `ordered`).
+    Rows are placed in chunks along month, customer and time; customer-months of any size go through the same windows
+    per chunk (see `ordered`). `chunks` defaults to the session's shuffle partitions.
     """
-    def run(groups: Groups) -> DataFrame:
-        priced = accumulate(_tiers(groups).withColumn("revenue", _revenue()), groups)
-        # rows without a price count in the order and in the minimum, then leave
-        return apply_minimum(priced, groups).filter("kept").select(*RATED_COLUMNS)
-
-    return _by_size(rules, max_group_rows, run)
+    groups = _placed(rules, chunks)
+    priced = accumulate(_tiers(groups).withColumn("revenue", _revenue()), groups)
+    # rows without a price count in the order and in the minimum, then leave
+    return apply_minimum(priced, groups).filter("kept").select(*RATED_COLUMNS)
 
 
-def running_counts(rules: DataFrame, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+def running_counts(rules: DataFrame, chunks: int | None = None) -> DataFrame:
     """Only the running counts and amounts, per product and (the order) per customer-month."""
     order = Sums(GROUP, GROUP_ORDER, {"global_transaction_order": F.lit(1)})
-    return _by_size(rules, max_group_rows, lambda groups: count_transactions(groups, order).select(
+    return count_transactions(_placed(rules, chunks), order).select(
         *RULE_ROW.fieldNames(), "transaction_count", "global_transaction_order", "cumulative_amount",
         "cumulative_amount_before",
-    ))
+    )
 
 
-def tier_selection(rules: DataFrame, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+def tier_selection(rules: DataFrame, chunks: int | None = None) -> DataFrame:
     """The rated rows' tiers before revenue: own tier, effective tier and what its bound applies to."""
-    return _by_size(
-        rules, max_group_rows, lambda groups: _tiers(groups).filter("kept").drop("pricing", "kept", "_chunk")
-    )
+    return _tiers(_placed(rules, chunks)).filter("kept").drop("pricing", "kept", "_chunk")

@@ -6,11 +6,11 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..functions.storage import run_folder, stored
 from ..operators import allocation, line_revenue, line_rules, matching, rating, summaries
 from ..operators.invoice_rules import per_client, rule_lines
-from ..operators.ordered import MAX_GROUP_ROWS
-from ..sources.feeds import merge_horizon, movement_union
-from .upsert import MONTH, existing_table, replace_months, upsert_table, write_table
+from ..sources.feeds import merge_horizon, months_between, movement_union
+from .upsert import MONTH, existing_table, only_unique, rewrite_months, write_table
 
 LINES = {
     "fee": "fee_lines",
@@ -21,19 +21,31 @@ LINES = {
 
 def run_pipeline(
     sources: dict[str, DataFrame], as_of: dt.date, out: str, *, exact_cents: bool = False,
-    on_duplicate: str = "error", max_group_rows: int = MAX_GROUP_ROWS, views: bool = False,
+    on_duplicate: str = "error", chunks: int | None = None, views: bool = False,
     names: dict[str, str] | None = None,
 ) -> dict[str, DataFrame]:
     """Run everything as of a day and write it below the folder `out`; returns the tables by name.
 
-    A run rewrites whole months, from three months before `as_of` on; older months stay as they were stored. The first
-    run of an empty folder writes all months that it reads. With `views` each result is also a temporary view. `names`
-    gives tables (and views) other names than the keys of the result.
+    A run replaces whole months, from three months before `as_of` on, in all tables by month: what these months no
+    longer produce goes, older months stay as they were stored. A table that is not there yet gets all months that the
+    run reads. Intermediate tables lie in a folder below `out` that the run removes. With `views` each result is also a
+    temporary view. `names` gives tables (and views) other names than the keys of the result.
     """
+    spark = next(iter(sources.values())).sparkSession
+    with run_folder(spark, out):
+        return _run(sources, as_of, out, exact_cents, on_duplicate, chunks, views, names or {})
+
+
+def _run(
+    sources: dict[str, DataFrame], as_of: dt.date, out: str, exact_cents: bool, on_duplicate: str, chunks: int | None,
+    views: bool, names: dict[str, str],
+) -> dict[str, DataFrame]:
     tables: dict[str, DataFrame] = {}
+    horizon = merge_horizon(as_of)
+    spark = next(iter(sources.values())).sparkSession
 
     def label(name: str) -> str:
-        return (names or {}).get(name, name)
+        return names.get(name, name)
 
     def path(name: str) -> str:
         return f"{out}/{label(name)}"
@@ -47,45 +59,43 @@ def run_pipeline(
     def table(name: str, df: DataFrame) -> DataFrame:
         return keep(name, write_table(df, path(name)))
 
-    some_source = next(iter(sources.values()))
-    first_run = existing_table(some_source.sparkSession, path("rules")) is None
-
     def recent(df: DataFrame) -> DataFrame:
-        return df if first_run else df.filter(F.col(MONTH) >= F.lit(merge_horizon(as_of)))
+        return df.filter(F.col(MONTH) >= F.lit(horizon))
 
-    def merge(name: str, df: DataFrame, keys: list[str], duplicates: str = "keep") -> DataFrame:
-        return keep(name, upsert_table(recent(df), path(name), keys, duplicates))
+    def by_month(name: str, make, *inputs: DataFrame) -> DataFrame:
+        """The table of make(*inputs), written for the recent months, or for all if it is new."""
+        if existing_table(spark, path(name)) is None:
+            return keep(name, rewrite_months(make(*inputs), path(name), []))
+        cut = recent(make(*map(recent, inputs)))
+        return keep(name, rewrite_months(cut, path(name), months_between(horizon, as_of)))
 
     lines = table("invoice_lines", rule_lines(sources, as_of))
     rules_per_client = keep("invoice_rules", per_client(lines))
-    matches = matching.match_rules(movement_union(sources, as_of), matching.compile_rules(lines))
-    rules = merge("rules", line_rules.all_rules(rules_per_client, matches), matching.MERGE_KEY, on_duplicate)
+    # matched once; duplicates are looked for before anything is replaced
+    matches = stored(matching.match_rules(movement_union(sources, as_of), matching.compile_rules(lines)))
+    fresh = only_unique(line_rules.all_rules(rules_per_client, matches), matching.MERGE_KEY, on_duplicate)
+    rules = by_month("rules", lambda: fresh)
 
-    rated = merge(
-        "rated_usage", rating.rate_transactions(recent(rules), max_group_rows), matching.MERGE_KEY
-    )
-    line_rows = table("line_rules", line_revenue.line_rule_rows(recent(rules)))
+    rated = by_month("rated_usage", lambda r: rating.rate_transactions(r, chunks), rules)
+    line_rows = table("line_rules", line_revenue.line_rule_rows(rules))
     base = {
-        kind: merge(name, line_revenue.fixed_line_revenue(line_rows, kind, exact_cents), line_revenue.LINE_KEY)
+        kind: by_month(name, lambda r, kind=kind: line_revenue.fixed_line_revenue(r, kind, exact_cents), line_rows)
         for kind, name in LINES.items()
     }
     fee_totals = table("fee_totals", line_revenue.platform_fee_totals(base["fee"]))
     table("general_discounts", line_revenue.general_discounts(base["discount"]))
     specific = table("specific_discounts", line_revenue.specific_discounts(base["discount"]))
-    shares = merge("month_shares", allocation.month_shares(recent(rated)), line_revenue.GROUP)
+    shares = by_month("month_shares", allocation.month_shares, rated)
     fee_counts = allocation.fee_share_counts(shares)
 
     marts = [
-        merge("usage_revenue", allocation.allocate(recent(rated), fee_totals, shares), matching.MERGE_KEY),
+        by_month("usage_revenue", allocation.allocate, rated, fee_totals, shares),
         table("fee_revenue", line_revenue.platform_fee_mart(base["fee"], fee_counts, specific)),
         table("discount_revenue", line_revenue.discount_mart(base["discount"], fee_counts)),
         table("true_up_revenue", line_revenue.true_up_mart(base["true_up"])),
     ]
     calculated = keep("revenue", allocation.revenue_calculated(*marts))
-    summary = keep(
-        "calculated_summary",
-        replace_months(summaries.calculated_summary(recent(calculated)), path("calculated_summary")),
-    )
+    summary = by_month("calculated_summary", summaries.calculated_summary, calculated)
     invoiced = keep("invoiced_summary", summaries.invoiced_summary(sources))
     table("reconciliation", summaries.reconciliation(summary, invoiced))
     return tables

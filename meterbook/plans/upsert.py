@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..functions.columns import same
-from ..functions.storage import stored
+from ..functions.storage import remove, stored
 
 MONTH = "transaction_month"
 
 
-def _only_unique(new: DataFrame, keys: list[str], on_duplicate: str) -> DataFrame:
+def only_unique(new: DataFrame, keys: list[str], on_duplicate: str) -> DataFrame:
     """Treat rows of `new` that share a complete key; rows with a NULL in their key are never duplicates."""
     if on_duplicate == "keep":
         return new
@@ -37,7 +38,7 @@ def upsert(old: DataFrame, new: DataFrame, keys: list[str], on_duplicate: str =
 
     on_duplicate, for new rows with one complete key: "error", "first" (in a fixed order) or "keep".
     """
-    new = _only_unique(new, keys, on_duplicate)
+    new = only_unique(new, keys, on_duplicate)
     replaced = new.select(*[F.col(k).alias(f"_k_{k}") for k in keys]).distinct()  # copies leave before the shuffle
     condition = reduce(Column.__and__, [same(F.col(k), F.col(f"_k_{k}")) for k in keys])
     return old.join(replaced, condition, "left_anti").unionByName(new)
@@ -64,6 +65,16 @@ def replace_months(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
+def rewrite_months(df: DataFrame, path: str, months: list[dt.date]) -> DataFrame:
+    """Clear the given months of the table at `path`, then write what `df` has for them; other months stay.
+
+    A run that dies in between leaves months empty; the next run fills them, as it recomputes whole months.
+    """
+    for month in months:
+        remove(df.sparkSession, f"{path}/{MONTH}={month:%Y-%m-%d}")
+    return replace_months(df, path)
+
+
 def upsert_table(new: DataFrame, path: str, keys: list[str], on_duplicate: str = "error") -> DataFrame:
     """Upsert into the table at `path`, rewriting only the months that occur in `new`.
 
@@ -73,7 +84,7 @@ def upsert_table(new: DataFrame, path: str, keys: list[str], on_duplicate: str =
     spark = new.sparkSession
     old = existing_table(spark, path)
     if old is None:
-        merged = _only_unique(new, keys, on_duplicate)
+        merged = only_unique(new, keys, on_duplicate)
     else:
         new = stored(new)
         months = [r[0] for r in new.select(MONTH).distinct().collect()]  # one row per calendar month

@@ -48,6 +48,14 @@ def merge_horizon(as_of: dt.date) -> dt.date:
     return month_start(add_months(as_of, -3))
 
 
+def months_between(first: dt.date, last: dt.date) -> list[dt.date]:
+    """The first days of the calendar months from `first` to `last`."""
+    out = [month_start(first)]
+    while out[-1] < month_start(last):
+        out.append(add_months(out[-1], 1))
+    return out
+
+
 def instant(day: dt.date) -> Column:
     """Midnight of the day, whatever the session's time zone."""
     return F.lit(day).cast("timestamp_ntz")

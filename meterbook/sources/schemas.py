@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 MONEY = T.DecimalType(18, 2)
 RATE = T.DecimalType(18, 6)
 REVENUE = T.DecimalType(28, 8)
-LINE_PRICE = T.DecimalType(10, 2)
+LINE_PRICE = T.DecimalType(28, 2)
 
 _TYPES = {
     "string": T.StringType(), "boolean": T.BooleanType(), "bigint": T.LongType(), "date": T.DateType(),

@@ -11,8 +11,9 @@ SMALL = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
-    return local_session(4, spark__sql__shuffle__partitions="4")
+def spark(tmp_path_factory):
+    folder = str(tmp_path_factory.mktemp("stored"))
+    return local_session(4, spark__sql__shuffle__partitions="4", spark__checkpoint__dir=folder)
 
 
 @pytest.fixture(scope="session")

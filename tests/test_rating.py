@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from toys import by_id, linear, rule_rows, tiered
 
 from meterbook.operators.allocation import allocate, month_shares
+from meterbook.operators import rating
 from meterbook.operators.rating import rate_transactions, tier_selection
 
 FLAT = [(20, 3, False, 0), (10, None, False, 0)]
@@ -99,8 +100,8 @@ def test_running_sums_start_with_null(spark):
     assert rated == [(100, None, None), (200, 100, 1)]
 
 
-@pytest.mark.parametrize("limit", [1, 3, 7, 25])
-def test_large_groups_are_rated_as_small_ones(spark, limit):
+@pytest.mark.parametrize("chunks", [2, 5, 23, 80])
+def test_groups_cut_into_chunks_are_rated_as_whole_ones(spark, chunks):
     kinds = [linear("0.5", True), tiered("VOLUME", *FLAT), tiered("GRADUATED", *PERCENT), '{"pricingType":"FIXED","price":"1"}']
     rows = [
         {
@@ -112,7 +113,9 @@ def test_large_groups_are_rated_as_small_ones(spark, limit):
         for n in range(160)
     ]
     rules = rule_rows(spark, rows)
-    whole, split = rate_transactions(rules), rate_transactions(rules, max_group_rows=limit)
+    whole, split = rate_transactions(rules, 1), rate_transactions(rules, chunks)
+    groups = rating._placed(rules, chunks)
+    assert rating._placed(rules, 1).crossing.isEmpty() and (chunks < 5 or not groups.crossing.isEmpty())
     assert whole.count() == split.count() > 100
     assert whole.exceptAll(split).isEmpty() and split.exceptAll(whole).isEmpty()
 
