@@ -119,7 +119,7 @@ class Lexicon:
         if self.words and self.trie.near(plain):
             weight, edits = self.trie.best(plain)
             if edits < 2:
-                return weight, 1 if plain == word or edits else 0
+                return weight, edits  # letters written as digits or signs alone count as exact
         return None
 
 
