@@ -1,6 +1,6 @@
 """Near duplicates by SimHash, found by anchor-point covering.
 
-A fingerprint has 64 bits. Two that differ in four bits or fewer differ in two or fewer within one of their halves. For 31 bits of a half the anchors are the
+A fingerprint has 64 bits. Two that differ in five bits or fewer differ in two or fewer within one of their halves. For 31 bits of a half the anchors are the
 codewords of the perfect Hamming code (31, 26): every point lies within one bit (the covering radius) of exactly one anchor, its home. If x and y differ in at most
 two bits there, the home of x is at most 1 + 2 = 3 bits from y. So every fingerprint is put at its home and replicated to the 156 anchors within three
 bits of it, and fingerprints are compared per anchor: home against replicas. Of a pair, the one with the smaller home meets the other, so replicas go
@@ -27,7 +27,8 @@ from .graph import components
 from .shared import stored
 
 SHINGLE, STAGE_SHINGLE = 4, 5
-MOST_BITS = 4
+#: Bits in which linked fingerprints differ at most. Five bits still leave two or fewer to one half, so the same anchors serve.
+MOST_BITS, STAGE_BITS = 4, 5
 SEED = 42
 BLOCK = 1 << 15
 
@@ -76,8 +77,10 @@ def _syndrome(point: Column) -> Column:
     return bits[0] + bits[1] + bits[2] + bits[3] + bits[4]
 
 
-def links(fps: DataFrame) -> DataFrame:
-    """(a, b): links that join all distinct fingerprints of `fp` within MOST_BITS of each other; enough of them to keep every connection."""
+def links(fps: DataFrame, most_bits: int = MOST_BITS) -> DataFrame:
+    """(a, b): links that join all distinct fingerprints of `fp` within most_bits of each other; enough of them to keep every connection."""
+    if most_bits > 5:
+        raise ValueError("anchors within three bits of a half find all pairs up to five bits only")
     halves = fps.select("fp", F.explode(F.array(
         F.struct(F.lit(0).cast("long").alias("half"), F.col("fp").bitwiseAND(F.lit(0x7FFFFFFF)).alias("point")),
         F.struct(F.lit(1).cast("long").alias("half"), F.shiftrightunsigned("fp", 32).bitwiseAND(F.lit(0x7FFFFFFF)).alias("point")))).alias("h"))
@@ -89,7 +92,7 @@ def links(fps: DataFrame) -> DataFrame:
     anchors = F.filter(F.transform(F.get(table, F.col("s")), lambda w: F.col("home").bitwiseXOR(w)), lambda a: a >= F.col("home"))
     homes = homed.select((tag + F.col("home")).alias("anchor"), F.col("fp").alias("a"))
     replicas = homed.select("fp", tag.alias("tag"), F.explode(anchors).alias("at")).select((F.col("tag") + F.col("at")).alias("anchor"), F.col("fp").alias("b"))
-    near = (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= MOST_BITS) & (F.col("a") != F.col("b"))
+    near = (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= most_bits) & (F.col("a") != F.col("b"))
     met = replicas.join(homes, "anchor").filter(near).select("a", "b")
     return met.mapInArrow(_forest, "a long, b long")
 
@@ -113,25 +116,25 @@ def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([k[i] for k in kept], pa.int64()) for i in (0, 1)], names=["a", "b"])
 
 
-def near_groups(docs: DataFrame, size: int = SHINGLE, id: str = "doc_id", text: str = "text") -> DataFrame:
+def near_groups(docs: DataFrame, size: int = SHINGLE, most_bits: int = MOST_BITS, id: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, text_key, fp, root): root is the same number for all documents that links connect."""
     rows = stored(fingerprints(docs, size, id, text))
-    joined = components(links(rows.select("fp").distinct()))
+    joined = components(links(rows.select("fp").distinct(), most_bits))
     return rows.join(joined, rows["fp"] == joined["a"], "left").select(
         rows["id"], "text_key", "fp", F.coalesce("root", rows["fp"]).alias("root"))
 
 
 def component_ids(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, fp, component_id): the smallest id in the document's component; null if the component has no id at all."""
-    rows = stored(near_groups(docs, SHINGLE, id, text))
+    rows = stored(near_groups(docs, id=id, text=text))
     # stored, so that the join deals the rows anew and can split a hot component
     least = stored(rows.groupBy("root").agg(F.min("id").alias("component_id")))
     return rows.join(least, "root").select(F.col("id").alias(id), "fp", "component_id")
 
 
-def one_of_each(docs: DataFrame, size: int = STAGE_SHINGLE, id: str = "doc_id", text: str = "text") -> DataFrame:
+def one_of_each(docs: DataFrame, size: int = STAGE_SHINGLE, most_bits: int = STAGE_BITS, id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of docs, with all columns, that have the smallest (id, text_key) of their component; of repeated rows one stays."""
-    rows = stored(near_groups(docs, size, id, text))
+    rows = stored(near_groups(docs, size, most_bits, id, text))
     first = rows.groupBy("root").agg(F.min(F.struct("id", "text_key")).alias("first")).select("first.*")
     repeats = rows.groupBy("id", "text_key").agg(F.count(F.lit(1)).alias("_copies"))
     chosen = stored(first.join(repeats, first["id"].eqNullSafe(repeats["id"]) & (first["text_key"] == repeats["text_key"])).select(

@@ -3,6 +3,7 @@
 import random
 
 import brute
+import pytest
 from pyspark.sql import functions as F
 
 from meterbook.llm import simhash
@@ -23,7 +24,8 @@ def test_query_equals_all_pairs(spark, small):
     assert {r.doc_id: (int(r.fingerprint, 16), r.component_id) for r in rows} == {i: (fps[i], parts[i]) for i in texts} and len(rows) == len(texts)
 
 
-def test_links_join_exactly_what_is_near(spark):
+@pytest.mark.parametrize("most", [4, 5])
+def test_links_join_exactly_what_is_near(spark, most):
     random.seed(5)
     values = set()
     for _ in range(40):
@@ -35,11 +37,11 @@ def test_links_join_exactly_what_is_near(spark):
                 y ^= 1 << b
             values.add(y)
     signed = {v - (1 << 64) if v >> 63 else v: v for v in values}
-    found = simhash.links(spark.createDataFrame([(v,) for v in signed], "fp long")).collect()
+    found = simhash.links(spark.createDataFrame([(v,) for v in signed], "fp long"), most).collect()
     got = brute.components(signed, [(r.a, r.b) for r in found])
     keys = sorted(signed)
-    want = brute.components(signed, [(a, b) for i, a in enumerate(keys) for b in keys[i + 1:] if (signed[a] ^ signed[b]).bit_count() <= 4])
-    assert got == want and all((signed[r.a] ^ signed[r.b]).bit_count() <= 4 for r in found)
+    want = brute.components(signed, [(a, b) for i, a in enumerate(keys) for b in keys[i + 1:] if (signed[a] ^ signed[b]).bit_count() <= most])
+    assert got == want and all((signed[r.a] ^ signed[r.b]).bit_count() <= most for r in found)
 
 
 def test_anchors_are_a_perfect_covering():
