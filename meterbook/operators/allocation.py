@@ -14,20 +14,14 @@ from .matching import NON_USAGE_PRODUCTS
 def month_shares(rated: DataFrame) -> DataFrame:
     """Per customer and month: how many transactions share the fee and the minimum, and the least minimum left.
 
-    Copies of one match count once. They are folded first, which spreads a hot customer over its matches; the second
-    step then only sums.
+    Copies of one match count once: rating has marked the first of them. So this is one grouping whose sums are formed
+    before the shuffle.
     """
     usage = ~F.upper("matched_product_name").isin(NON_USAGE_PRODUCTS)
-    saas = usage & F.col("consumes_saas") & F.col("should_be_charged")
-    matches = rated.groupBy(*GROUP, "hash_match").agg(
-        F.max(F.when(usage, 1)).alias("_fee"),
-        F.max(F.when(saas, 1)).alias("_saas"),
-        F.min("remaining_minimum").alias("_left"),
-    )
-    return matches.groupBy(*GROUP).agg(
-        F.count("_fee").alias("trx_receiving_platform_fee"),
-        F.count("_saas").alias("saas_trx_receiving_remaining_min"),
-        F.min("_left").alias("least_remaining_minimum"),
+    return rated.groupBy(*GROUP).agg(
+        F.count_if(usage & F.col("first_copy")).alias("trx_receiving_platform_fee"),
+        F.count_if(usage & F.col("first_saas_copy")).alias("saas_trx_receiving_remaining_min"),
+        F.min("remaining_minimum").alias("least_remaining_minimum"),
     )
 
 

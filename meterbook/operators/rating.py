@@ -26,7 +26,7 @@ RATED_COLUMNS = [
     "tier_application_basis", "revenue", "cumulative_revenue", "cumulative_revenue_before",
     "cumulative_revenue_global", "cumulative_revenue_global_before", "cumulative_saas_revenue_global",
     "cumulative_saas_revenue_global_before", "price_minimum_revenue", "saas_revenue", "not_saas_revenue",
-    "remaining_minimum", "revenue_type",
+    "remaining_minimum", "revenue_type", "first_copy", "first_saas_copy",
 ]
 
 
@@ -76,7 +76,8 @@ def select_tiers(counted: DataFrame, groups: Groups) -> DataFrame:
     """Choose each tiered row's tier without exploding the tiers.
 
     Adds `kept`: whether the row has a price. Of the copies of one match only the best ranked stays when its pricing
-    is tiered; all linear ones do.
+    is tiered; all linear ones do. The first kept copy of a match, and the first that uses the minimum, are marked, so
+    that matches can be counted later without bringing copies together again.
     """
     tiered = F.col("pricing_type").isin("VOLUME", "GRADUATED")
     ranked = counted.withColumn("pricing_type", F.upper("pricing.pricing_type")).withColumn(
@@ -86,7 +87,7 @@ def select_tiers(counted: DataFrame, groups: Groups) -> DataFrame:
     ranked = groups.among_peers(ranked, PRODUCT, PRODUCT_KEY_ORDER, "_best", F.min("_choice"))
     tier = F.get("pricing.tiers", F.col("_choice.tier.position"))
     linear = F.col("pricing_type") == "LINEAR"
-    return ranked.withColumn("_tier", F.when(tiered, tier)).withColumns({
+    chosen = ranked.withColumn("_tier", F.when(tiered, tier)).withColumns({
         "kept": F.coalesce(linear | (tiered & (F.col("_choice") == F.col("_best"))), F.lit(False)),
         "linear_price_per_unit": F.when(linear, F.col("pricing.unit_price")),
         "linear_is_percentage": F.when(linear, F.col("pricing.is_percentage")),
@@ -95,6 +96,12 @@ def select_tiers(counted: DataFrame, groups: Groups) -> DataFrame:
         "tier_upper_bound": F.col("_tier.upper_bound"),
         "tier_is_percentage": F.col("_tier.is_percentage"),
     }).drop("_choice", "_best", "_tier")
+    saas = F.col("kept") & F.col("consumes_saas") & F.col("should_be_charged")
+    for name, counts in {"first_copy": F.col("kept"), "first_saas_copy": saas}.items():
+        least = F.min(F.when(counts, F.col("transaction_count")))
+        chosen = groups.among_peers(chosen, PRODUCT, PRODUCT_KEY_ORDER, name, least)
+        chosen = chosen.withColumn(name, F.coalesce(counts & (F.col(name) == F.col("transaction_count")), F.lit(False)))
+    return chosen
 
 
 def reprice_volume(selected: DataFrame, groups: Groups) -> DataFrame:
