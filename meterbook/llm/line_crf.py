@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .samples import training_sample
+from .shared import portions
 
 MOST_DOCS = 4_000
 STEPS = 150
@@ -189,7 +190,7 @@ def fit(features: list[list], sizes: list[list[int]], labels: list[int]) -> Mode
 
 
 def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in portions(batches):
         done = [line_features(t or b"") for t in batch.column("text").cast(pa.binary()).to_pylist()]
         flat = [np.array(f, np.float32).tobytes() for f, _ in done]
         yield pa.RecordBatch.from_arrays(
@@ -209,7 +210,7 @@ def score_quality(docs: DataFrame, model: Model, text: str = "text") -> DataFram
     names = docs.columns
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches):
             done = [line_features(t or b"") for t in batch.column(text).cast(pa.binary()).to_pylist()]
             quality = doc_quality(model, [f for f, _ in done], [s for _, s in done])
             score = [model.prior if q is None else float(model.score(np.array(q))) for q in quality]

@@ -17,6 +17,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from .shared import portions
+
 LENGTH = 2048
 BLOCK_TOKENS = 4_000_000
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -132,7 +134,7 @@ def pack_documents(docs: DataFrame, length: int = LENGTH, tokenizer: str = TOKEN
                 names=["number", "doc_ids", "pieces", "n_tokens", "cu_seqlens", "input_ids", "position_ids"])
 
         pieces, tokens = [], 0
-        for batch in batches:
+        for batch in portions(batches):
             state["type"] = batch.schema.field("id").type
             for key, body in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 coded = encode(body or "", tokenizer)

@@ -6,12 +6,17 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 #: Elements per block of an array scan: work per array is n * BLOCK / 2 instead of n * n / 2.
 BLOCK = 128
 
+#: Rows that Python code of a task turns into objects at once.
+PORTION = 1_000
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -37,6 +42,13 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def portions(batches: Iterator[pa.RecordBatch], rows: int = PORTION) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches, so that a task holds Python objects of few texts at a time."""
+    for batch in batches:
+        for at in range(0, max(1, batch.num_rows), rows):
+            yield batch.slice(at, rows)
+
+
 def let(value: Column, body) -> Column:
     """body(value), with value computed once per row although body uses it many times."""
     return F.element_at(F.transform(F.array(value), body), 1)

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .graph import components
-from .shared import stored
+from .shared import portions, stored
 
 SHINGLE, STAGE_SHINGLE = 4, 5
 #: Bits in which linked fingerprints differ at most. Five bits still leave two or fewer to one half, so the same anchors serve.
@@ -54,7 +54,7 @@ def fingerprint(text: bytes, size: int) -> int:
 def fingerprints(docs: DataFrame, size: int = SHINGLE, id: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, text_key, fp): one row per row of docs; text_key is a hash of the text."""
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches):
             fps = [fingerprint(t or b"", size) for t in batch.column("text").cast(pa.binary()).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("text_key"), pa.array(fps, pa.int64())], names=["id", "text_key", "fp"])
 

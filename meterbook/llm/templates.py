@@ -23,7 +23,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .shared import stored
+from .shared import portions, stored
 
 WINDOW, LEAST = 8, 5
 COVERAGE, RUN, AGREEMENT = 0.5, 20, 0.8
@@ -38,7 +38,7 @@ UNITS = frozenset((
 MARKS, SIGNS = frozenset(".!?\n"), frozenset("%$€£¥°")
 NUMBER, NAME, UNIT = 8, 16, 24  # codes of the placeholders; literal words have larger multiples of eight
 CAPITAL, DIGIT, MEASURE = 1, 2, 4
-CACHE = 500_000
+CACHE = 200_000
 
 
 class Codes(dict):
@@ -137,7 +137,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes, known = Codes(), bits.value
-        for batch in batches:
+        for batch in portions(batches):
             row, place, value, slots = [], [], [], []
             for i, text in enumerate(batch.column("text").to_pylist()):
                 code, words = template(text or "", codes)
