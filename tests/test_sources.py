@@ -57,7 +57,7 @@ def contract(spark, lines=({},), phases=({},), aliases="c1,c2", invoices=({},),
         invoices=[{"id": f"i{n}", "customer_id": "seq_1", "billing_period_start": MAY, "billing_period_end": dt.datetime(2025, 5, 31),
                    "status": "FINAL", **row} for n, row in enumerate(invoices)],
         invoice_line_items=[{"id": f"l{n}", "invoice_id": "i0", "price_id": "p1", "billing_schedule_id": "b1", "title": "Pay", "currency": "USD",
-                             "net_total": Decimal("10.50"), "quantity": Decimal(2), **row} for n, row in enumerate(lines)],
+                             "billing_period_start": MAY, "net_total": Decimal("10.50"), "quantity": Decimal(2), **row} for n, row in enumerate(lines)],
         prices=prices or [{"id": "p1", "product_name": "Pay"}],
         billing_schedule_phase_prices=[{"price_id": "p1", "billing_schedule_id": "b1", "status": "ACTIVE", "phase_start_date": dt.date(2025, 1, 1),
                                         "price_structure": '{"pricingType":"LINEAR","pricePerUnit":"1","usageMetricId":"u1"}', **row} for row in phases],
@@ -78,6 +78,12 @@ def test_missing_calculation_time_is_the_latest_version(spark):
     assert {r.net_total for r in invoice_rules(sources, AS_OF).collect()} == {Decimal("99.00")}
 
 
+def test_month_and_time_are_the_lines_own(spark):
+    april = {"billing_period_start": dt.datetime(2025, 4, 1), "calculated_at": dt.datetime(2025, 6, 2)}
+    row = invoice_rules(contract(spark, lines=[april], invoices=[{"calculated_at": dt.datetime(2025, 6, 1)}], aliases="c1"), AS_OF).first()
+    assert (row.month, row.billing_month, row.calculated_at) == (dt.date(2025, 4, 1), dt.date(2025, 5, 1), dt.datetime(2025, 6, 2))
+
+
 @pytest.mark.parametrize("phase, structure", [
     ({"phase_archived_at": MAY}, "gone"), ({"status": "DRAFT"}, None), ({"phase_end_date": dt.date(2025, 4, 30)}, None),
     ({"status": None}, "there"), ({"phase_end_date": dt.date(2025, 5, 1)}, "there"),
