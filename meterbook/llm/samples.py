@@ -15,15 +15,20 @@ def fold(id: str = "doc_id"):
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, label: str, most: int, id: str = "doc_id") -> DataFrame:
-    """(id, text, label) of at most `most` labelled documents that are not held out: those with the smallest hashes of their ids.
+    """(id, text, label) of at most `most` labelled texts that are not held out: those with the smallest hashes of their ids.
 
-    Documents that share the smallest hash over their words are mostly copies of one another; one of each such set is enough to learn from.
+    Texts that are equal but for case and white space, and have the same label, are one, under the smallest id; nothing else is collapsed.
     """
-    chosen = (
+    labelled = (
         labels.filter(F.col(label).isNotNull() & F.col(id).isNotNull() & (fold(id) != HELD_OUT))
-        .groupBy(id).agg(F.max(label).alias("label")).orderBy(F.xxhash64(F.col(id), F.lit(7)), id).limit(most)
+        .groupBy(id).agg(F.max(label).alias("label"))
+    )
+    same = F.xxhash64(F.trim(F.regexp_replace(F.lower("text"), r"\s+", " ")))
+    rows = docs.select(id, "text").filter("text is not null").withColumn("same", same)
+    # only ids and hashes are grouped before the limit, so the bound counts distinct texts
+    chosen = (
+        rows.select(id, "same").join(labelled, id).groupBy("same", "label").agg(F.min(id).alias(id))
+        .orderBy(F.xxhash64(F.col(id), F.lit(7)), id, "same", "label").limit(most)
     )
-    words = F.array_min(F.transform(F.split(F.lower("text"), " "), lambda w: F.xxhash64(w)))
-    # at most `most` rows of two numbers: small enough to send to every task
-    picked = docs.select(id, "text").filter("text is not null").join(F.broadcast(chosen), id)
-    return stored(picked.withColumn("signature", words).groupBy("signature").agg(F.min_by(F.struct(id, "text", "label"), id).alias("r")).select("r.*"))
+    # at most `most` rows of three numbers: small enough to send to every task
+    return stored(rows.join(F.broadcast(chosen), [id, "same"]).dropDuplicates(["same", "label"]).select(id, "text", "label"))
