@@ -3,8 +3,9 @@
 Numbers, names and units are replaced by typed placeholders; what is left of a question is its template, and a re-parameterised copy has the same one.
 Windows of eight template words of the documents meet those of the benchmark in a hash join. Before it, a bit set of fixed size over the benchmark's windows
 goes to every task and lets nearly only true candidates into the shuffle; the join decides. The values in the placeholders are then held against each
-other: a value of the benchmark must stand for one value of the document wherever it occurs. A document is contaminated by an item if half of the item's
-windows, or a run's worth of them, are found and the values agree.
+other per occurrence: a value of the benchmark must stand for one value wherever it occurs in it. Hits whose place in the document less that in the item is
+the same, or nearly the same, are one occurrence, and all of the document's are one too; of several hits of an item's window the one with most hits at its
+distance counts. A document is contaminated by an item if in any occurrence half of the item's windows, or a run's worth of them, are found and the values agree.
 
 Numbers: tokens of digits, with separators. Units: a known unit right after a number, and signs for money and percent. Names: capitalised words that do not
 begin a sentence. Windows with fewer than five literal words say too little and are left out. Items with fewer than eight words are one shorter
@@ -21,7 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from .shared import portions, stored
 
@@ -38,6 +39,7 @@ UNITS = frozenset((
 MARKS, SIGNS = frozenset(".!?\n"), frozenset("%$€£¥°")
 NUMBER, NAME, UNIT = 8, 16, 24  # codes of the placeholders; literal words have larger multiples of eight
 CAPITAL, DIGIT, MEASURE = 1, 2, 4
+SHIFT = 4  # places that an occurrence may be off by where a name or number has more words; windows of other copies are at least five away
 CACHE = 200_000
 
 
@@ -159,19 +161,39 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text
     found = rows.mapInArrow(candidates, f"id {docs.schema[id].dataType.simpleString()}, text_key long, {SCHEMA}")
     pairs = stored(found.join(items.withColumnsRenamed({"place": "item_place", "slots": "item_slots"}), "hash"))
     key = ["id", "text_key", "item"]
-    cover = pairs.groupBy(*key).agg(F.count_distinct("item_place").alias("found"), F.max("windows").alias("windows"))
-    values = (
-        pairs.select(*key, F.explode(F.arrays_zip("item_slots", "slots")).alias("s"))
-        .groupBy(*key, "s.item_slots").agg((F.count_distinct("s.slots") == 1).cast("double").alias("one"))
-        .groupBy(*key).agg(F.avg("one").alias("agreement")))
-    a, b = cover.alias("a"), values.alias("b")
-    same = F.col("a.id").eqNullSafe(F.col("b.id")) & (F.col("a.text_key") == F.col("b.text_key")) & F.col("a.item").eqNullSafe(F.col("b.item"))
-    share = F.col("found") / F.col("windows")
+    # two readings of one window: the one with fewer slots
+    hits = pairs.withColumn("distance", F.col("place") - F.col("item_place")).groupBy(*key, "distance", "item_place").agg(
+        F.max("windows").alias("windows"), F.max("size").alias("size"),
+        F.min_by(F.arrays_zip("item_slots", "slots"), F.struct(F.size("slots"), "item_slots", "slots")).alias("values"))
+    # occurrences: hits at one distance, chains of distances by small steps or by half of the item, and all hits of the document
+    near = Window.partitionBy(*key).orderBy("distance")
+    step = F.col("distance") - F.col("before")
+    half = F.greatest(F.lit(SHIFT), F.floor((F.col("windows") + F.col("size")) / 2).cast("int"))
+    chain = lambda most: F.sum(F.when(step > most, 1).otherwise(0)).over(near).cast("int")
+    placed = (
+        hits.withColumn("same", F.count(F.lit(1)).over(Window.partitionBy(*key, "distance")))
+        .withColumn("before", F.lag("distance").over(near))
+        .withColumn("of", F.array(F.col("distance"), chain(F.lit(SHIFT)), chain(half), F.lit(0))))
+    one = (
+        placed.select(*key, "item_place", "windows", "distance", "same", "values", F.posexplode("of").alias("kind", "part"))
+        .groupBy(*key, "kind", "part", "item_place")
+        .agg(F.max("windows").alias("windows"), F.min_by("values", F.struct(-F.col("same"), "distance")).alias("values")))
+    found = one.groupBy(*key, "kind", "part").agg(
+        F.count(F.lit(1)).cast("long").alias("found"), F.max("windows").alias("windows"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("values")))).alias("values"))
+    held = F.filter("values", lambda v: v["item_slots"].isNotNull())
+    # sorted by the benchmark's value: one that stands for a single value has other neighbours on both sides
+    other = lambda a, i, v: ~F.get(a, i)["item_slots"].eqNullSafe(v["item_slots"])
+    first = F.filter("held", lambda v, i: (i == 0) | other(F.col("held"), i - 1, v))
+    single = F.filter("held", lambda v, i: ((i == 0) | other(F.col("held"), i - 1, v)) & other(F.col("held"), i + 1, v))
+    agreement = F.when(F.size("held") > 0, F.size(single) / F.size(first)).otherwise(F.lit(1.0))
+    best = F.max(F.struct("found", "agreement", "windows")).alias("best")
     return (
-        a.join(b, same, "left")
-        .select(F.col("a.id").alias(id), "a.text_key", F.col("a.item").alias(item_id), "found", "windows", share.alias("coverage"),
-                F.coalesce("agreement", F.lit(1.0)).alias("agreement"))
-        .filter(((F.col("coverage") >= COVERAGE) | (F.col("found") >= RUN)) & (F.col("agreement") >= AGREEMENT)))
+        found.filter((F.col("found") >= COVERAGE * F.col("windows")) | (F.col("found") >= RUN))
+        .withColumn("held", held).withColumn("agreement", agreement).filter(F.col("agreement") >= AGREEMENT)
+        .groupBy(*key).agg(best)
+        .select(F.col("id").alias(id), "text_key", F.col("item").alias(item_id), "best.found", "best.windows",
+                (F.col("best.found") / F.col("best.windows")).alias("coverage"), "best.agreement"))
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:

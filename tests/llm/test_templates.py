@@ -43,3 +43,13 @@ def test_short_items_repeats_and_empty_tables(spark):
     assert [r.doc_id for r in templates.clean_documents(docs, bench).collect()] == [2]
     assert templates.clean_documents(docs, bench).columns == docs.columns
     assert templates.clean_documents(docs, bench.limit(0)).count() == 4 and templates.clean_documents(docs.limit(0), bench).count() == 0
+
+
+def test_each_occurrence_is_judged_by_itself(spark):
+    other = ITEM.replace("9", "11").replace("Alice", "Bob").replace("120 km", "75 miles").replace("3", "4.5")
+    longer = ITEM.replace("9", "7").replace("Alice", "Mary Ann")
+    bad = "If there are 6 red boxes and 7 blue boxes on a table then how many boxes stand on the whole table with 8 more"
+    twice = bad.replace("6", "5").replace("7", "5").replace("8", "5")
+    refrain = "We add 3 to the sum of all the numbers and then we add 4 to the sum of all the numbers and stop there"
+    texts = [f"{ITEM}. {other}.", f"{other}. Then more of it. {longer}. {ITEM}.", f"{bad}. {twice}", f"{bad}. {bad.replace('6', '9')}", refrain, refrain.replace("3", "5").replace("4", "6")]
+    assert pairs(spark, texts, [ITEM, twice, refrain]) == {(0, 0), (1, 0), (2, 1), (4, 2), (5, 2)}
