@@ -8,7 +8,8 @@ the same, or nearly the same, are one occurrence, and all of the document's are
 distance counts. A document is contaminated by an item if in any occurrence half of the item's windows, or a run's worth of them, are found and the values agree.
 
 Numbers: tokens of digits, with separators. Units: a known unit right after a number, and signs for money and percent. Names: capitalised words that do not
-begin a sentence. Windows with fewer than five literal words say too little and are left out. Items with fewer than eight words are one shorter
+begin a sentence; the first word of an item may stand anywhere in a document, so it is read both as it is and as a name. Windows with fewer than five literal
+words say too little and are left out; an item that has no other is looked for by its very words. Items with fewer than eight words are one shorter
 window; items under five words cannot be told from common phrases and match nothing.
 
 Null and empty texts match nothing. Repeated rows give one result per id, text and item. Null ids are kept as null.
@@ -38,9 +39,11 @@ UNITS = frozenset((
     "watt watts v volt volts amp amps j joule joules kj cal kcal pa kpa bar k c f degree degrees percent dollar dollars cent cents euro euros eur usd gbp").split())
 MARKS, SIGNS = frozenset(".!?\n"), frozenset("%$€£¥°")
 NUMBER, NAME, UNIT = 8, 16, 24  # codes of the placeholders; literal words have larger multiples of eight
-CAPITAL, DIGIT, MEASURE = 1, 2, 4
+CAPITAL, DIGIT, MEASURE, SIGN = 1, 2, 4, 3
+TEMPLATE, FIRST, EXACT = 0, 64, 128  # added to the size that a hash begins with: another reading of the first word, and the very words
 SHIFT = 4  # places that an occurrence may be off by where a name or number has more words; windows of other copies are at least five away
 CACHE = 200_000
+TOKENS = 20_000  # of short texts that are read together
 
 
 class Codes(dict):
@@ -51,49 +54,54 @@ class Codes(dict):
             self.clear()
         if token in MARKS:
             code = 0
-        elif token[0].isdigit():
-            code = 32 | DIGIT
-        elif token in SIGNS:
-            code = UNIT
         else:
             low = token.lower()
             code = (xxhash.xxh64_intdigest(low.encode(), 11) >> 4 << 3) + 64
-            code |= CAPITAL * token[0].isupper() | MEASURE * (low in UNITS)
+            if token[0].isdigit():
+                code |= DIGIT
+            elif token in SIGNS:
+                code |= SIGN
+            else:
+                code |= CAPITAL * token[0].isupper() | MEASURE * (low in UNITS)
         self[token] = code
         return code
 
 
-def template(text: str, codes: Codes) -> tuple[np.ndarray, list[str]]:
-    """Codes of the words, with placeholders, and the words."""
-    tokens = TOKEN.findall(text)
+def template(tokens: list[str], codes: Codes) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray, np.ndarray]:
+    """Codes of the words, with placeholders, the words, their codes without placeholders, which are capitalised, and their tokens' places."""
     code = np.fromiter(map(codes.__getitem__, tokens), np.uint64, len(tokens))
-    mark = code == 0
+    mark, kind = code == 0, code & np.uint64(7)
     after_mark = np.concatenate(([True], mark[:-1])) if len(code) else mark
-    number = (code & DIGIT).astype(bool)
+    number, sign = kind == DIGIT, kind == SIGN
     after_number = np.concatenate(([False], number[:-1])) if len(code) else number
-    plain = code >> np.uint64(3) << np.uint64(3)
-    plain[(code & CAPITAL).astype(bool) & ~after_mark] = NAME
-    plain[(code & MEASURE).astype(bool) & after_number] = UNIT
+    exact = code >> np.uint64(3) << np.uint64(3)
+    plain, capital = exact.copy(), (kind & CAPITAL).astype(bool) & ~sign
+    plain[capital & ~after_mark] = NAME
+    plain[(kind & MEASURE).astype(bool) & after_number] = UNIT
     plain[number] = NUMBER
+    plain[sign] = UNIT
     keep = np.flatnonzero(~mark)
-    return plain[keep], [tokens[i] for i in keep] if len(keep) < len(tokens) else tokens
+    return plain[keep], [tokens[i] for i in keep] if len(keep) < len(tokens) else tokens, exact[keep], capital[keep], keep
 
 
-def windows(code: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the windows of a size and which of them have enough literal words."""
+def windows(code: np.ndarray, size: int, first: np.ndarray | None = None, sort: int = TEMPLATE) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the windows of a size and which of them have enough literal words; first: other codes for their first words."""
     n = len(code) - size + 1
     if n < 1:
         return np.zeros(0, np.uint64), np.zeros(0, bool)
-    value = np.full(n, size, np.uint64)
+    first = code if first is None else first
+    value = np.full(n, size + sort, np.uint64)
     for k in range(size):
-        value = (value ^ code[k:k + n]) * np.uint64(0x9E3779B97F4A7C15)
+        value = (value ^ (code[k:k + n] if k else first[:n])) * np.uint64(0x9E3779B97F4A7C15)
         value ^= value >> np.uint64(31)
     literal = np.concatenate(([0], np.cumsum(code > UNIT)))
-    return value, (literal[size:] - literal[:-size]) >= min(LEAST, size)
+    count = literal[size:] - literal[:-size] + (first[:n] > UNIT) - (code[:n] > UNIT).astype(int)
+    return value, count >= min(LEAST, size)
 
 
-def _slots(code: np.ndarray, words: list[str], at: int, size: int) -> list[str]:
-    return [f"{code[i]}:{words[i].lower()}" for i in range(at, at + size) if code[i] <= UNIT]
+def _slots(code: np.ndarray, words: list[str], at: int, size: int, first: np.ndarray | None = None) -> list[str]:
+    kind = [(code if first is None else first)[at], *code[at + 1:at + size]]
+    return [f"{c}:{words[i].lower()}" for i, c in enumerate(kind, at) if c <= UNIT]
 
 
 SCHEMA = "place int, hash long, slots array<string>"
@@ -104,20 +112,33 @@ def _item_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     for batch in batches:
         rows = []
         for key, text in zip(batch.column("item").to_pylist(), batch.column("text").to_pylist(), strict=True):
-            code, words = template(text or "", codes)
+            code, words, exact, *_ = template(TOKEN.findall(text or ""), codes)
             if len(code) < LEAST:
                 continue
             size = min(WINDOW, len(code))
             value, good = windows(code, size)
-            rows += [(key, int(i), int(value[i].view(np.int64)), _slots(code, words, i, size), size, int(good.sum())) for i in np.flatnonzero(good)]
-        names = ["item", "place", "hash", "slots", "size", "windows"]
-        kinds = [batch.schema.field("item").type, pa.int32(), pa.int64(), pa.list_(pa.string()), pa.int32(), pa.int32()]
+            number = lambda x: int(x.view(np.int64))
+            if not good.any():
+                value, _ = windows(exact, size, sort=EXACT)
+                rows += [(key, i, number(v), [], size, len(value), True) for i, v in enumerate(value)]
+                continue
+            rows += [(key, int(i), number(value[i]), _slots(code, words, i, size), size, int(good.sum()), False) for i in np.flatnonzero(good)]
+            # the first word as it is and as a name; the value of such a name is held against others only where nothing else can tell
+            head, named = code[:size], np.full(1, NAME, np.uint64)
+            for first, sorts in ((code[:1], (FIRST,)), (named, (TEMPLATE, FIRST))):
+                slots = _slots(head, words, 0, size, first)
+                slots = [None, *slots[1:]] if first is named and len(value) > 1 else slots
+                for sort in sorts:
+                    other, enough = windows(head, size, first, sort)
+                    rows += [(key, 0, number(other[0]), slots, size, int(good.sum()), False)] if enough[0] and good[0] else []
+        names = ["item", "place", "hash", "slots", "size", "windows", "by_words"]
+        kinds = [batch.schema.field("item").type, pa.int32(), pa.int64(), pa.list_(pa.string()), pa.int32(), pa.int32(), pa.bool_()]
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=names)
 
 
 def benchmark_windows(benchmark: DataFrame, id: str = "item_id", text: str = "text") -> DataFrame:
     kind = benchmark.schema[id].dataType.simpleString()
-    return benchmark.select(F.col(id).alias("item"), F.col(text).alias("text")).mapInArrow(_item_windows, f"item {kind}, {SCHEMA}, size int, windows int")
+    return benchmark.select(F.col(id).alias("item"), F.col(text).alias("text")).mapInArrow(_item_windows, f"item {kind}, {SCHEMA}, size int, windows int, by_words boolean")
 
 
 def _bit_set(items: DataFrame) -> np.ndarray:
@@ -135,23 +156,46 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text
     items = stored(benchmark_windows(benchmark, item_id, item_text))
     spark = docs.sparkSession
     bits = spark.sparkContext.broadcast(_bit_set(items))
-    sizes = sorted(r["size"] for r in items.select("size").distinct().collect())
+    sizes = sorted((r["size"], r["by_words"]) for r in items.select("size", "by_words").distinct().collect())
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes, known = Codes(), bits.value
-        for batch in portions(batches):
-            row, place, value, slots = [], [], [], []
-            for i, text in enumerate(batch.column("text").to_pylist()):
-                code, words = template(text or "", codes)
-                for size in sizes:
-                    hashes, good = windows(code, size)
+
+        def hits(tokens: list[str], ends: list[int]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, list[list[str]]]]:
+            """Which text, place, hash and slots of the windows that may be the benchmark's; the texts' tokens stand in one list, a mark after each."""
+            code, words, exact, capital, keep = template(tokens, codes)
+            text = np.searchsorted(np.array(ends), keep, side="right")
+            start = np.searchsorted(text, np.arange(len(ends)))
+            other = np.where(code == NAME, exact, np.uint64(NAME))
+            for size, by_words in sizes:
+                n = len(code) - size + 1
+                if n < 1:
+                    continue
+                inside = text[:n] == text[size - 1:]
+                readings = [(*windows(exact, size, sort=EXACT), None)] if by_words else [
+                    (*windows(code, size), code), (*windows(code, size, other, FIRST), other)]
+                for hashes, good, first in readings:
+                    good = inside if first is None else good & inside & capital[:n] if first is other else good & inside
                     prefix = hashes >> np.uint64(64 - FILTER_BITS)
                     hit = good & ((known[(prefix >> np.uint64(6)).astype(np.int64)] >> (prefix & np.uint64(63))) & np.uint64(1)).astype(bool)
                     at = np.flatnonzero(hit)
-                    row += [i] * len(at)
-                    place += at.tolist()
-                    value += hashes[at].view(np.int64).tolist()
-                    slots += [_slots(code, words, int(k), size) for k in at]
+                    yield text[at], at - start[text[at]], hashes[at].view(np.int64), [[] if first is None else _slots(code, words, int(k), size, first) for k in at]
+
+        for batch in portions(batches):
+            texts = batch.column("text").to_pylist()
+            tokens, ends, done = [], [], 0
+            row, place, value, slots = [], [], [], []
+            for i, text in enumerate(texts):
+                tokens += TOKEN.findall(text or "")
+                tokens.append("\n")
+                ends.append(len(tokens))
+                if len(tokens) >= TOKENS or i == len(texts) - 1:
+                    for which, at, hashes, values in hits(tokens, ends):
+                        row += (which + done).tolist()
+                        place += at.tolist()
+                        value += hashes.tolist()
+                        slots += values
+                    tokens, ends, done = [], [], i + 1
             take = pa.array(row, pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id").take(take), batch.column("text_key").take(take), pa.array(place, pa.int32()), pa.array(value, pa.int64()),

@@ -53,3 +53,10 @@ def test_each_occurrence_is_judged_by_itself(spark):
     refrain = "We add 3 to the sum of all the numbers and then we add 4 to the sum of all the numbers and stop there"
     texts = [f"{ITEM}. {other}.", f"{other}. Then more of it. {longer}. {ITEM}.", f"{bad}. {twice}", f"{bad}. {bad.replace('6', '9')}", refrain, refrain.replace("3", "5").replace("4", "6")]
     assert pairs(spark, texts, [ITEM, twice, refrain]) == {(0, 0), (1, 0), (2, 1), (4, 2), (5, 2)}
+
+
+def test_items_of_few_literal_words_and_first_words_in_running_text(spark):
+    items = ["What is 15% of 80 dollars?", "What is the capital city of France?", "Alice bought some very old green apples there"]
+    texts = [f"Question: {items[0]}", "What is 16% of 80 dollars?", f"Question: {items[1]}", f'They asked, "{items[1]}"', "And so What is the capital city of Spain",
+             f"Then, {items[2]}", "Bob bought some very old green apples there", "what is 15 of 80"]
+    assert pairs(spark, texts, items) == {(0, 0), (2, 1), (3, 1), (4, 1), (5, 2), (6, 2)}
