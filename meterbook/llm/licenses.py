@@ -96,21 +96,24 @@ NAMES = [
     ("zpl-2.1", "ZPL-2\\.1", "zope public license"),
 ]
 
-#: Notices that name no license: label, level, pattern, keyword.
+#: Notices that name no license: label, level, pattern, keyword: one word that every match has, as words may be wrapped.
 NOTICES = [
-    ("all-rights-reserved", 2, "all rights reserved", "rights reserved"),
-    ("copyright-notice", 2, "(?:copyright|\\(c\\)|©) (?:\\(c\\) |© )?[12][0-9]{3}", "copyright"),
-    ("public-domain", 2, "(?:dedicated to|released into|placed in|in) the public domain", "public domain"),
-    ("permissive-grant", 2, "permission is hereby granted, free of charge", "permission is hereby granted"),
-    ("permissive-grant", 2, "redistribution and use in source and binary forms", "redistribution and use"),
-    ("as-is-disclaimer", 2, "provided \"?as is\"?,? without warranty", "without warranty"),
-    ("as-is-disclaimer", 2, "provided on an \"?as is\"? basis", "as is"),
+    ("all-rights-reserved", 2, "all rights reserved", "reserved"),
+    ("copyright-notice", 2, "copyright (?:\\(c\\) |© )?[12][0-9]{3}", "copyright"),
+    ("copyright-notice", 2, "\\(c\\) (?:\\(c\\) |© )?[12][0-9]{3}", "(c)"),
+    ("copyright-notice", 2, "© (?:\\(c\\) |© )?[12][0-9]{3}", "©"),
+    ("public-domain", 2, "(?:dedicated to|released into|placed in|in) the public domain", "domain"),
+    ("permissive-grant", 2, "permission is hereby granted, free of charge", "hereby"),
+    ("permissive-grant", 2, "redistribution and use in source and binary forms", "redistribution"),
+    ("as-is-disclaimer", 2, "provided \"?as is\"?,? without warranty", "warranty"),
+    ("as-is-disclaimer", 2, "provided on an \"?as is\"? basis", "basis"),
     ("proprietary", 2, "proprietary and confidential", "proprietary"),
     ("proprietary", 2, "unauthori[sz]ed (?:copying|reproduction|distribution)", "unauthori"),
 ]
 
-#: Words of the gate; every text with a detection has one of them.
-LICENSED, SPDX = "licen", "spdx"
+#: Words of the gate; every text with a detection has one of them, a notice's keyword, or a verb before "under".
+LICENSED, SPDX, UNDER = "licen", "spdx", "under"
+VERBS = "licensed|released|distributed|available|provided|published|redistribute it and or modify it"
 
 #: Words of names that do not tell licenses apart.
 COMMON = {"license", "licence", "public", "general", "version", "software", "gnu", "clause", "open", "no", "two", "three", "zero"}
@@ -120,7 +123,7 @@ LEVEL_WEIGHT = {1: 0.99, 2: 0.9, 3: 0.6}
 
 def _regex(name: str) -> str:
     """Spaces become runs of separators; the whole is bounded by separators, in either case."""
-    body = name.replace(" ?", "\x00").replace(" ", f"{NOT_WORD}{{1,6}}+").replace("\x00", f"{NOT_WORD}{{0,6}}+")
+    body = name.replace(" ?", "\x00").replace(" ", f"{NOT_WORD}++").replace("\x00", f"{NOT_WORD}*+")
     return f"(?i)(?<!{WORD})(?:{body})(?!{WORD})"
 
 
@@ -147,11 +150,10 @@ def rules() -> list[dict]:
     """All rules in their order: tags, notices that say what holds, bare names. A tag per license, three per spelling."""
     out = []
     for label, spdx, _ in NAMES:
-        out.append((label, 1, f"(?i)spdx-license-identifier:?[ \t]{{1,6}}{spdx}(?![A-Za-z0-9.+-])", SPDX))
+        out.append((label, 1, f"(?i)spdx-license-identifier:?[ \t]++{spdx}(?![A-Za-z0-9.+-])", SPDX))
     spelled = [(label, s, _keyword(s)) for label, _, name in NAMES for s in _spellings(name)]
-    verbs = "licensed|released|distributed|available|provided|published|redistribute it and or modify it"
     for label, name, keyword in spelled:
-        out.append((label, 2, _regex(f"(?:{verbs}) under (?:the )?(?:terms of (?:the )?)?{name}(?: licen[cs]e)?"), keyword))
+        out.append((label, 2, _regex(f"(?:{VERBS}) under (?:the )?(?:terms of (?:the )?)?{name}(?: licen[cs]e)?"), keyword))
     out += [(label, level, _regex(pattern), keyword) for label, level, pattern, keyword in NOTICES]
     for label, name, keyword in spelled:
         out.append((label, 3, _regex(name if "licen" in name else f"{name} licen[cs]e"), keyword))
@@ -204,6 +206,7 @@ def scan_licenses(docs: DataFrame, text: str = "text") -> DataFrame:
     hit = gated["_low"].contains(keywords[0])
     for word in keywords[1:]:
         hit = hit | gated["_low"].contains(word)
+    hit = hit | (gated["_low"].contains(UNDER) & body.rlike(_regex(f"(?:{VERBS}) {UNDER}")))
     gated = gated.withColumn("_gate", hit)
     word_count = lambda s: count_parts(s, NOT_WORD)
 

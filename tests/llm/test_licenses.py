@@ -1,5 +1,7 @@
 """License scan against a plain search, and its suppression of contained detections."""
 
+import re
+
 import brute
 import pytest
 from pyspark.sql import functions as F
@@ -62,3 +64,47 @@ def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert licenses.scan_licenses(docs).count() == 0
     assert licenses.scan_licenses(docs).select(F.size("license.base")).count() == 0
+
+
+def written(pattern, turn):
+    """A text that a rule's pattern matches: each turn takes other branches and repeats; separators are line breaks."""
+    out = []
+    for kind, value in pattern:
+        kind = str(kind)
+        if kind == "LITERAL":
+            out.append(chr(value))
+        elif kind == "ANY":
+            out.append(".")
+        elif kind == "IN":
+            kind, value = str(value[0][0]), value[0][1]
+            out.append(chr(value) if kind == "LITERAL" else "\n" if value[0] == 0 else chr(value[0]))
+        elif kind in ("MAX_REPEAT", "POSSESSIVE_REPEAT"):
+            low, high, inner = value
+            out += [written(inner, turn)] * max(low, min(high, turn % 2 if low == 0 else 8 if str(inner[0][0]) == "IN" and kind != "MAX_REPEAT" else low))
+        elif kind == "SUBPATTERN":
+            out.append(written(value[3], turn))
+        elif kind == "BRANCH":
+            out.append(written(value[1][turn // 2 % len(value[1])], turn))
+    return "".join(out)
+
+
+def test_gate_and_keywords_skip_no_rule(spark):
+    texts, places = [], []
+    for rule in licenses.rules():
+        for turn in range(14):
+            text = f". {written(re._parser.parse(rule['pattern']), turn)} ."
+            match = re.search(rule["pattern"], text)
+            if match and text not in texts:
+                texts.append(text)
+                places.append((match.start(), match.end(), rule))
+    assert {r["rule"] for *_, r in places} == {r["rule"] for r in licenses.rules()}
+    for row, text, (start, end, rule) in zip(scanned(spark, texts), texts, places, strict=True):
+        assert any(d.start <= start and d.end >= end and d.level <= rule["level"] for d in row.license.detections), (text, rule)
+
+
+@pytest.mark.parametrize(("text", "label"), [
+    ("Released under GPLv2.", "gpl-2.0"), ("distributed under BSD", "bsd"), ("available under CC0 1.0", "cc0-1.0"), ("published\nunder cc by 4.0", "cc-by-4.0"),
+    ("All rights\nreserved", "all-rights-reserved"), ("Permission is hereby\n          granted, free of charge", "permissive-grant"),
+    ('provided "as is", without\n * \n * warranty', "as-is-disclaimer"), ("(c) 2020 Somebody", "copyright-notice"), ("© 2020 Somebody", "copyright-notice")])
+def test_wrapped_and_unlicensed_words(spark, text, label):
+    assert [d.label for d in scanned(spark, [text])[0].license.detections] == [label]
