@@ -31,6 +31,7 @@ THRESHOLD = 0.5
 WINDOW = 5
 LEAST_FUZZY = 5
 STEM = (4, 6)
+STEMS = "*stem"
 CACHE = 300_000  # words remembered per task, nothing but a cache
 
 WORD = re.compile(r"[^\W_]+(?:[$@!*][^\W_]+)*|\S", re.UNICODE)
@@ -44,11 +45,13 @@ FEATURES = 9
 
 @dataclass
 class Trie:
-    """Nodes are dictionaries by letter; "" holds the weight of a term that ends there."""
+    """Nodes are dictionaries by letter; "" holds the weight of a term that ends there, STEMS that of a stem, which any letters may follow."""
 
     root: dict = field(default_factory=dict)
     starts: set = field(default_factory=set)
     ends: set = field(default_factory=set)
+    heads: set = field(default_factory=set)
+    middles: set = field(default_factory=set)
 
     def add(self, term: str, weight: float) -> None:
         node = self.root
@@ -60,11 +63,46 @@ class Trie:
             self.starts.add(term[:half])
             self.ends.add(term[-half:])
 
+    def add_stem(self, stem: str, weight: float) -> None:
+        node = self.root
+        for c in stem:
+            node = node.setdefault(c, {})
+        node[STEMS] = weight
+        half = len(stem) // 2
+        self.heads.add(stem[:half])
+        self.middles.update((len(stem), shift, stem[-half:]) for shift in (-1, 0, 1))
+
+    def near_stem(self, word: str) -> bool:
+        """Whether one edit may lead to a beginning that is a stem: it leaves the stem's first half, or its last half at most one letter off."""
+        return len(word) >= STEM[0] - 1 and (any(word[:n // 2] in self.heads for n in range(STEM[0], STEM[1] + 1)) or any(
+            (n, shift, word[n - n // 2 + shift:n + shift]) in self.middles for n in range(STEM[0], STEM[1] + 1) for shift in (-1, 0, 1)))
+
     def near(self, word: str) -> bool:
         """Whether one edit may lead to a term: an edit leaves the first or the last half as it is."""
         n = len(word)
         return n >= LEAST_FUZZY - 1 and any(word[:h] in self.starts or word[-h:] in self.ends for h in range(max(2, (n - 1) // 2), (n + 1) // 2 + 1))
 
+    def best_stem(self, word: str) -> tuple[float, int]:
+        """(weight, edits) of the best stem within one edit of a beginning of the word; stems under LEAST_FUZZY letters only without edits."""
+        masks: dict[str, int] = {}
+        for i, c in enumerate(word):
+            masks[c] = masks.get(c, 0) | 1 << i
+        found, stack = (0.0, 2), [(self.root, 1, 0b11, 0)]
+        while stack:
+            node, exact, edited, depth = stack.pop()
+            if STEMS in node:
+                edits = 0 if exact else 1
+                if (edits == 0 or depth >= LEAST_FUZZY) and (-edits, node[STEMS]) > (-found[1], found[0]):
+                    found = (node[STEMS], edits)
+            for c, child in node.items():
+                if len(c) == 1:
+                    hit = masks.get(c, 0)
+                    step = (exact & hit) << 1
+                    after = (((edited & hit) << 1) | (exact << 1) | exact | (step << 1)) & ((2 << len(word)) - 1)
+                    if step | after:
+                        stack.append((child, step, after, depth + 1))
+        return found
+
     def best(self, word: str) -> tuple[float, int]:
         """(weight, edits) of the best term within one edit: the word's automaton walked along the trie."""
         masks: dict[str, int] = {}
@@ -79,7 +117,7 @@ class Trie:
                 if (edits == 0 or depth >= LEAST_FUZZY) and (-edits, node[""]) > (-found[1], found[0]):
                     found = (node[""], edits)
             for c, child in node.items():
-                if c:
+                if len(c) == 1:
                     hit = masks.get(c, 0)
                     step = (exact & hit) << 1
                     after = ((edited & hit) << 1) | (exact << 1) | exact | (step << 1)
@@ -97,6 +135,8 @@ class Lexicon:
         self.trie = Trie()
         for word, weight in self.words.items():
             self.trie.add(word, weight)
+        for stem, weight in self.stems.items():
+            self.trie.add_stem(stem, weight)
         self.cache: dict[str, tuple[float, int] | None] = {}
 
     def look(self, word: str) -> tuple[float, int] | None:
@@ -120,6 +160,10 @@ class Lexicon:
             weight, edits = self.trie.best(plain)
             if edits < 2:
                 return weight, edits  # letters written as digits or signs alone count as exact
+        if self.stems and self.trie.near_stem(plain):
+            weight, edits = self.trie.best_stem(plain)
+            if edits < 2:
+                return weight, 2 if edits == 0 else 1
         return None
 
 
@@ -182,7 +226,6 @@ def learn_lexicon(sample: DataFrame, most_terms: int = MOST_TERMS) -> Lexicon:
         shorter = any(stem[:n] in stems for n in range(STEM[0], len(stem)))
         if shorter or (inside and max(inside) >= 0.8 * seen[stem + "*"]):
             del stems[stem]
-    words = {w: x for w, x in words.items() if not any(w[:n] in stems for n in range(STEM[0], STEM[1] + 1))}
     return Lexicon(words, stems)
 
 

@@ -55,3 +55,23 @@ def test_odd_texts_and_missing_labels(spark):
     assert toxicity.score_toxicity(docs.limit(0), model).count() == 0
     none = toxicity.score_toxicity(docs, toxicity.train(docs, labels.limit(0))).collect()
     assert len({r.score for r in none}) == 1
+
+
+def test_stems_are_found_misspelled_and_disguised():
+    lexicon = toxicity.Lexicon({"scoundrel": 1.0, "vilifying": 0.7}, {"vilif": 0.9, "fool": 0.8})
+    assert lexicon.look("v1lification") == (0.9, 2) and lexicon.look("vilofication") == (0.9, 1) and lexicon.look("f00lish") == (0.8, 2)
+    assert lexicon.look("vilfication") == (0.9, 1) and lexicon.look("villification") == (0.9, 1) and lexicon.look("vilifyinq") == (0.9, 2)
+    assert lexicon.look("vilifying") == (0.7, 0) and lexicon.look("foliage") is None and lexicon.look("village") is None
+
+
+def test_stem_automaton_equals_edit_distance_of_beginnings():
+    random.seed(6)
+    stems = {"".join(random.choice("abcd") for _ in range(random.randint(4, 6))): random.random() for _ in range(25)}
+    lexicon = toxicity.Lexicon({}, stems)
+    for _ in range(1500):
+        word = "".join(random.choice("abcd") for _ in range(random.randint(3, 9)))
+        least = [(min(edits(word[:n], t) for n in range(len(word) + 1)), -w, t) for t, w in stems.items()]
+        near = [(e, w) for e, w, t in least if e == 0 or e == 1 and len(t) >= toxicity.LEAST_FUZZY]
+        weight, found = lexicon.trie.best_stem(word)
+        assert (found, -weight) == min(near, default=(2, -0.0))
+        assert not near or lexicon.trie.near_stem(word)
