@@ -5,8 +5,8 @@ inverts the Poisson distribution with its source's rate at that number, and is r
 document's count depends on nothing but itself and its source's rate: tasks can be lost and repeated. Copies are then ordered by a hash over
 all of the data: a range exchange and a sort.
 
-Weights are a parameter (source to weight); without them a source's weight is its share of characters to the power TEMPERATURE. Rates over MOST_RATE are
-set to it, so tiny sources are not repeated endlessly. A null source is a source of its own; null texts have no characters, and a source without
+Weights are a parameter (source to weight); without them a source's weight is its share of characters to the power TEMPERATURE. Rates are what the weights
+ask for; a rate over MOST_RATE is the sum of independent draws of equal rates that are not over it. A null source is a source of its own; null texts have no characters, and a source without
 characters is kept once. Rows with a null id share one number. Repeated rows are repeated alike.
 """
 
@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .shared import stored
 
 TEMPERATURE = 0.5
-MOST_RATE = 16.0
+MOST_RATE = 16.0  # of one draw
 TERMS = 120  # of the distribution: the tail beyond is below 1e-40 at the largest rate
 SEED = 17
 
@@ -29,7 +29,7 @@ def uniform(seed: int, *parts: Column) -> Column:
 
 
 def rates(docs: DataFrame, source: str = "source", text: str = "text", weights: dict[str, float] | None = None) -> DataFrame:
-    """(of, chars, rate, below): below[k] is the chance of k copies or fewer."""
+    """(of, chars, rate, draws, below): below[k] is the chance of k copies or fewer in one of the draws."""
     sums = docs.groupBy(F.col(source).alias("of")).agg(F.sum(F.length(F.coalesce(F.col(text), F.lit(""))).cast("long")).alias("chars"))
     sums = stored(sums)
     if weights is None:
@@ -39,21 +39,25 @@ def rates(docs: DataFrame, source: str = "source", text: str = "text", weights:
         weighed = sums.join(given, F.col("of").eqNullSafe(F.col("given")), "left").drop("given").na.fill(0.0, ["weight"])
     total = weighed.agg(F.sum("chars").alias("chars"), F.sum("weight").alias("weight")).first()
     rate = F.when(F.col("chars") == 0, 1.0).otherwise(
-        F.least(F.col("weight") / F.lit(total["weight"] or 1.0) * F.lit(float(total["chars"] or 0)) / F.col("chars"), F.lit(MOST_RATE)))
-    start = F.exp(-F.col("rate"))
+        F.col("weight") / F.lit(total["weight"] or 1.0) * F.lit(float(total["chars"] or 0)) / F.col("chars"))
+    weighed = weighed.withColumn("rate", rate).withColumn("draws", F.greatest(F.lit(1), F.ceil(F.col("rate") / MOST_RATE)).cast("int"))
+    part = F.col("rate") / F.col("draws")
+    start = F.exp(-part)
     step = lambda a, k: F.struct(
-        (a["p"] * F.col("rate") / k).alias("p"), (a["c"] + a["p"] * F.col("rate") / k).alias("c"),
-        F.array_append(a["all"], a["c"] + a["p"] * F.col("rate") / k).alias("all"))
+        (a["p"] * part / k).alias("p"), (a["c"] + a["p"] * part / k).alias("c"),
+        F.array_append(a["all"], a["c"] + a["p"] * part / k).alias("all"))
     below = F.aggregate(F.sequence(F.lit(1), F.lit(TERMS)), F.struct(start.alias("p"), start.alias("c"), F.array(start).alias("all")), step)
-    return stored(weighed.withColumn("rate", rate).select("of", "chars", "rate", below["all"].alias("below")))
+    return stored(weighed.select("of", "chars", "rate", "draws", below["all"].alias("below")))
 
 
 def replicate(docs: DataFrame, id: str = "doc_id", source: str = "source", text: str = "text", weights: dict[str, float] | None = None, seed: int = SEED) -> DataFrame:
     """docs with `copy` (from 1), `rate` and `order_key`, each row as often as its count says, in no order."""
-    by = rates(docs, source, text, weights).select("of", F.col("rate").alias("_rate"), "below")
+    by = rates(docs, source, text, weights).select("of", F.col("rate").alias("_rate"), F.col("draws").alias("_draws"), "below")
     counted = docs.join(by, docs[source].eqNullSafe(by["of"])).withColumn("_u", uniform(seed, docs[id]))
-    count = F.size(F.filter("below", lambda c: c <= F.col("_u")))
-    copies = counted.withColumn("_count", count).filter("_count > 0").drop("of", "below", "_u").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("_count"))))
+    drawn = lambda u: F.size(F.filter("below", lambda c: c <= u))
+    more = F.when(F.col("_draws") > 1, F.aggregate(F.sequence(F.lit(1), F.col("_draws") - 1), F.lit(0), lambda a, k: a + drawn(uniform(seed, docs[id], k))))
+    count = drawn(F.col("_u")) + F.coalesce(more, F.lit(0))
+    copies = counted.withColumn("_count", count).filter("_count > 0").drop("of", "below", "_u", "_draws").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("_count"))))
     key = F.md5(F.concat_ws(":", F.lit(f"{seed}-order"), F.coalesce(F.col(id).cast("string"), F.lit("null")), F.col("copy").cast("string")))
     return copies.drop("_count").withColumnRenamed("_rate", "rate").withColumn("order_key", key)
 

@@ -35,3 +35,12 @@ def test_null_source_null_text_and_empty(spark):
     kept = mixing.mixed(docs).collect()
     assert {r.doc_id for r in kept} <= {1, 2, None, 4}
     assert mixing.mixed(docs.limit(0)).count() == 0 and mixing.mixed(docs.filter("doc_id = 4")).columns == docs.columns
+
+
+def test_small_sources_reach_their_weight(spark):
+    docs = spark.range(40_000).select(F.col("id").alias("doc_id"), F.lit("abcd").alias("text"), F.when(F.col("id") < 40, "small").otherwise("large").alias("source"))
+    out = mixing.replicate(docs, weights={"small": 0.2, "large": 0.8}).groupBy("source", "doc_id", "rate").count().collect()
+    small = [r["count"] for r in out if r.source == "small"]
+    assert len(small) == 40 and {round(r.rate, 6) for r in out if r.source == "small"} == {200.0}
+    assert abs(sum(small) - 8000) < 5 * math.sqrt(8000)
+    assert 100 < sum((x - 200) ** 2 for x in small) / 40 < 360
