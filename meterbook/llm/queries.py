@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import hosts, licenses, line_crf, mixing, packing, private, shards, simhash, templates, toxicity
+from . import bpe, hosts, licenses, line_crf, merkle, mixing, packing, phrases, private, shards, simhash, templates, toxicity
 from .samples import HELD_OUT, fold
 from .shared import table
 
@@ -97,6 +97,33 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_max(at).alias("last_word"), joined(base).alias("base_labels"), joined(labels).alias("labels"), "score")
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's leaf and way to the root, and whether a row that was tampered with, or not, still leads there."""
+    docs = table(spark, sf_dir, "documents")
+    changed = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    tampered = [F.col(c) + F.when(changed, 1).otherwise(0) if c == "n_chars" else F.col(c) for c in merkle.COLUMNS]
+    proved = merkle.prove(docs, other=merkle.leaf(tampered))
+    folded = merkle.fold(merkle.fold(F.col("start"), F.col("at"), F.col("path")), F.col("group_at"), F.col("group_path"))
+    proved = proved.withColumn("folded_root", folded)
+    return proved.select(
+        "doc_id", "leaf", "subroot", "root", F.sha2(F.array_join(F.concat("path", "group_path"), ""), 256).alias("proof_sha256"),
+        "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document by the public byte-level vocabulary, and what they decode to."""
+    coded = bpe.encode_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    decoded = bpe.decode_documents(coded)
+    return decoded.select(
+        "doc_id", F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("bytes", 256).alias("decoded_sha256"))
+
+
+def op13_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The strongest phrases of each language over all documents."""
+    return phrases.collocations(table(spark, sf_dir, "documents").select("lang", "text"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_private_data": op1_private_data,
@@ -109,6 +136,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_toxicity": op8_toxicity,
         "op9_template_decontamination": op9_template_decontamination,
         "op10_license_scan": op10_license_scan,
+        "op11_merkle_manifest": op11_merkle_manifest,
+        "op12_byte_bpe": op12_byte_bpe,
+        "op13_phrase_mining": op13_phrase_mining,
         "pipeline": pipeline,
     }
 
@@ -127,5 +157,32 @@ FROM counted, range(1, {mixing.TERMS + 1}) t(c) WHERE c <= n
 """
 
 
+#: Phrase mining in plain SQL: phrases of up to three words by neighbours in a window, and their two or one cuts side by side.
+PHRASES_SQL = r"""
+WITH texts AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+pieces AS (SELECT lang, unnest(string_split_regex(text, '[.,;:!?\x0A-\x0D]')) AS body FROM texts),
+numbered AS (SELECT lang, row_number() OVER () AS piece, string_split_regex(body, '[ \t]+') AS words FROM pieces),
+placed AS (SELECT lang, piece, unnest(words) AS w, generate_subscripts(words, 1) AS at FROM numbered),
+seen AS (SELECT lang, w, lead(w) OVER here AS w2, lead(w, 2) OVER here AS w3 FROM placed WHERE w <> '' WINDOW here AS (PARTITION BY piece ORDER BY at)),
+one AS (SELECT lang, w, count(*) AS f FROM seen GROUP BY ALL),
+two AS (SELECT lang, w, w2, count(*) AS f FROM seen WHERE w2 IS NOT NULL GROUP BY ALL),
+three AS (SELECT lang, w, w2, w3, count(*) AS f FROM seen WHERE w3 IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+around AS (SELECT lang, w, w2, max(f) AS f FROM (SELECT lang, w, w2, f FROM three UNION ALL SELECT lang, w2, w3, f FROM three) GROUP BY ALL),
+pairs AS (SELECT two.lang, two.w || ' ' || two.w2 AS phrase, two.f AS a, x.f AS l, y.f AS r, 1000000::HUGEINT * two.f * two.f // (x.f::HUGEINT * y.f) AS score
+          FROM two JOIN one x ON x.lang = two.lang AND x.w = two.w JOIN one y ON y.lang = two.lang AND y.w = two.w2
+          LEFT JOIN around ON around.lang = two.lang AND around.w = two.w AND around.w2 = two.w2
+          WHERE two.f >= 10 AND (around.f IS NULL OR 100 * around.f < 50 * two.f)),
+cuts AS (SELECT t.lang, t.w || ' ' || t.w2 || ' ' || t.w3 AS phrase, t.f AS a, a1.f AS l1, b1.f AS r1, a2.f AS l2, b2.f AS r2,
+                1000000::HUGEINT * t.f * t.f // (a1.f::HUGEINT * b1.f) AS s1, 1000000::HUGEINT * t.f * t.f // (a2.f::HUGEINT * b2.f) AS s2
+         FROM three t JOIN one a1 ON a1.lang = t.lang AND a1.w = t.w JOIN two b1 ON b1.lang = t.lang AND b1.w = t.w2 AND b1.w2 = t.w3
+         JOIN two a2 ON a2.lang = t.lang AND a2.w = t.w AND a2.w2 = t.w2 JOIN one b2 ON b2.lang = t.lang AND b2.w = t.w3),
+scored AS (SELECT lang, phrase, a, l, r, score FROM pairs
+           UNION ALL SELECT lang, phrase, a, if(s1 <= s2, l1, l2), if(s1 <= s2, r1, r2), least(s1, s2) FROM cuts),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM scored),
+totals AS (SELECT lang, sum(f)::BIGINT AS n FROM one GROUP BY lang)
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op5_poisson_mixing": MIXING_SQL}
+    return {"op5_poisson_mixing": MIXING_SQL, "op13_phrase_mining": PHRASES_SQL}
