@@ -162,8 +162,8 @@ PHRASES_SQL = r"""
 WITH texts AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
 pieces AS (SELECT lang, unnest(string_split_regex(text, '[.,;:!?\x0A-\x0D]')) AS body FROM texts),
 numbered AS (SELECT lang, row_number() OVER () AS piece, string_split_regex(body, '[ \t]+') AS words FROM pieces),
-placed AS (SELECT lang, piece, unnest(words) AS w, generate_subscripts(words, 1) AS at FROM numbered),
-seen AS (SELECT lang, w, lead(w) OVER here AS w2, lead(w, 2) OVER here AS w3 FROM placed WHERE w <> '' WINDOW here AS (PARTITION BY piece ORDER BY at)),
+placed AS (SELECT lang, piece, unnest(words) AS w, generate_subscripts(words, 1) AS place FROM numbered),
+seen AS (SELECT lang, w, lead(w) OVER here AS w2, lead(w, 2) OVER here AS w3 FROM placed WHERE w <> '' WINDOW here AS (PARTITION BY piece ORDER BY place)),
 one AS (SELECT lang, w, count(*) AS f FROM seen GROUP BY ALL),
 two AS (SELECT lang, w, w2, count(*) AS f FROM seen WHERE w2 IS NOT NULL GROUP BY ALL),
 three AS (SELECT lang, w, w2, w3, count(*) AS f FROM seen WHERE w3 IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
