@@ -31,7 +31,8 @@ INSIDE = 50  # percent of a candidate's count that a longer phrase around it nee
 #: About a hundred megabytes in every executor at most.
 BROADCAST_ROWS = 1_000_000
 BREAKS, BLANKS = "[.,;:!?\\n-\\r]+", "[ \\t]+"
-_CO_PARTITION = "spark.sql.requireAllClusterKeysForCoPartition"
+#: Joins by piece and place take tables as they are bucketed, by piece alone, and as they are sorted.
+_SETTINGS = {"spark.sql.requireAllClusterKeysForCoPartition": "false", "spark.sql.legacy.bucketedTableScan.outputOrdering": "true"}
 
 
 def _lowered(text: Column) -> Column:
@@ -51,7 +52,7 @@ def count_words(docs: DataFrame, lang: str = "lang", text: str = "text") -> Data
 
 def occurrences(docs: DataFrame, buckets: int, lang: str = "lang", text: str = "text") -> DataFrame:
     """(piece, at, lang, phrase): the words of all pieces, dealt by piece."""
-    pieces = _texts(docs, lang, text).select("lang", F.explode(F.split("text", BREAKS)).alias("text")).filter("text rlike '[^ \\t]'")
+    pieces = _texts(docs, lang, text).select("lang", F.explode(F.split("text", BREAKS)).alias("text")).filter("trim(text) <> ''")
     dealt = pieces.withColumn("piece", F.monotonically_increasing_id()).repartition(buckets, "piece")
     return dealt.select("piece", "lang", F.posexplode(F.split("text", BLANKS)).alias("at", "phrase")).filter("phrase <> ''")
 
@@ -81,13 +82,15 @@ def _adjacent(relation: DataFrame) -> DataFrame:
 
 @contextmanager
 def _by_piece(spark: SparkSession) -> Iterator[None]:
-    """Joins by piece and place take tables as they are bucketed, by piece alone."""
-    before = spark.conf.get(_CO_PARTITION)
-    spark.conf.set(_CO_PARTITION, "false")
+    """The session's settings for joins of the tables of occurrences, for the time of mining."""
+    before = {name: spark.conf.get(name) for name in _SETTINGS}
+    for name, value in _SETTINGS.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set(_CO_PARTITION, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
 
 
 def frequent_phrases(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, lang: str = "lang", text: str = "text", broadcast_rows: int = BROADCAST_ROWS) -> tuple[DataFrame, DataFrame]:
