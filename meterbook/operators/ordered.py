@@ -3,8 +3,10 @@
 A window function hands a whole group to one task, and one customer-month may hold a large part of all rows. So rows are
 placed once by range of group and order, and stored with the number of their range, the chunk. Windows run per group
 and chunk. A chunk holds many small groups or a piece of a large one; only its first and its last group can go on in
-another chunk. For those few groups the sums of each chunk form a small table, whose running sums are added to the
-rows. Groups of every size take this one path, and the result does not depend on where the borders lie.
+another chunk. The rows of those few groups are stored apart, once. Their sums per chunk form a small table, whose
+running sums are added to the rows. So all rows pass the windows once, and what is carried is worked out beside them
+from the rows that lie in cut groups. Groups of every size take this one path, and the result does not depend on where
+the borders lie.
 """
 
 from __future__ import annotations
@@ -17,14 +19,14 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions.columns import add_skipping_null, same
 from ..functions.storage import stored
 
-_CHUNK = "_chunk"
+CHUNK = "_chunk"
 
 
 def _same_keys(keys: list[str]) -> Column:
     return reduce(Column.__and__, [same(F.col(k), F.col(f"_r_{k}")) for k in keys])
 
 
-def _join_same(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
+def join_same(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
     """Join on keys where NULL equals NULL, keeping the left key columns."""
     renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
     return left.join(renamed, _same_keys(keys), how).drop(*[f"_r_{k}" for k in keys])
@@ -46,74 +48,76 @@ class Groups:
     """Rows placed in chunks, and how to run sums over their groups."""
 
     def __init__(self, rows: DataFrame, keys: list[str]):
+        self.keys = keys
         # one shuffle by group and chunk serves the windows of groups and of parts of groups
-        self.rows, self.keys = rows.repartition(*keys, _CHUNK), keys
+        self.rows = rows.repartition(*keys, CHUNK)
         # compared as the rows are placed: unknown keys last
         group = F.struct(*[c for k in keys for c in (F.col(k).isNull().alias(f"no_{k}"), F.col(k))])
-        ends = rows.groupBy(_CHUNK).agg(F.min(group).alias("first"), F.max(group).alias("last"))
-        seen = ends.select(_CHUNK, F.explode(F.array_distinct(F.array("first", "last"))).alias("group"))
+        ends = rows.groupBy(CHUNK).agg(F.min(group).alias("first"), F.max(group).alias("last"))
+        seen = ends.select(CHUNK, F.explode(F.array_distinct(F.array("first", "last"))).alias("group"))
         # two rows per chunk at most
-        self.crossing = stored(seen.groupBy("group").count().filter("count > 1").select(*[f"group.{k}" for k in keys]))
-
-    def _across(self, df: DataFrame) -> DataFrame:
-        """The rows of groups that lie in several chunks. The condition is on the windows' keys, so it reaches the scan."""
-        return _join_same(df, self.crossing, self.keys, "left_semi")
+        crossing = seen.groupBy("group").count().filter("count > 1").select(*[f"group.{k}" for k in keys])
+        #: the rows of groups that lie in several chunks, and the same dealt for windows
+        self.cut_rows = stored(join_same(rows, crossing, keys, "left_semi"))
+        self.cut = self.cut_rows.repartition(*keys, CHUNK)
 
     def _window(self, keys: list[str], order: list[str]):
-        return Window.partitionBy(*keys, _CHUNK).orderBy(*ascending(order))
+        return Window.partitionBy(*keys, CHUNK).orderBy(*ascending(order))
+
+    def carried(self, totals: DataFrame, within: list[str], names: list[str], whole: dict[str, Column] | None = None) -> DataFrame:
+        """What the earlier chunks of each cut group add up to, from `totals`, which has the named sums of each chunk or of parts of it.
+
+        `whole` adds aggregates of all the group's rows of `totals`.
+        """
+        whole = whole or {}
+        chunks = totals.groupBy(*within, CHUNK).agg(
+            *[F.sum(name).alias(f"_c_{name}") for name in names], *[value.alias(name) for name, value in whole.items()])
+        # one row per chunk and key: a short window
+        group = Window.partitionBy(*within).orderBy(CHUNK)
+        earlier = group.rowsBetween(Window.unboundedPreceding, -1)
+        every = group.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        # stored, so that its measured size decides how it is joined
+        return stored(chunks.select(
+            *within, CHUNK, *[F.sum(f"_c_{name}").over(earlier).alias(f"_c_{name}") for name in names],
+            *[value.over(every).alias(f"_t_{name}") for name, value in whole.items()]))
+
+    def running(self, df: DataFrame, sums: Sums, carried: DataFrame, whole: dict[str, Column] | None = None) -> DataFrame:
+        """Add for each sum `name` (up to and with the row) and `name_before` (up to the row, NULL on the first).
 
-    def _local(self, df: DataFrame, sums: Sums) -> DataFrame:
-        window = self._window(sums.within, sums.order)
+        `carried` has the sums of the earlier chunks of the cut groups. `whole` adds aggregates of the whole group in
+        the same pass; `carried` has them for the cut groups.
+        """
+        window, whole = self._window(sums.within, sums.order), whole or {}
         upto = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         before = window.rowsBetween(Window.unboundedPreceding, -1)
-        return df.withColumns({
+        every = window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        local = df.withColumns({
             **{name: F.sum(value).over(upto) for name, value in sums.values.items()},
             **{f"{name}_before": F.sum(value).over(before) for name, value in sums.values.items()},
+            **{name: value.over(every) for name, value in whole.items()},
         })
+        joined = join_same(local, carried.withColumn("_cut", F.lit(True)), [*sums.within, CHUNK], "left")
+        return joined.withColumns({
+            **{end: add_skipping_null(F.col(f"_c_{name}"), F.col(end)).cast(local.schema[end].dataType)
+               for name in sums.values for end in (name, f"{name}_before")},
+            **{name: F.when(F.col("_cut"), F.col(f"_t_{name}")).otherwise(F.col(name)) for name in whole},
+        }).drop("_cut", *[f"_c_{name}" for name in sums.values], *[f"_t_{name}" for name in whole])
 
-    def _carried(self, local: DataFrame, rows: DataFrame, sums: Sums) -> DataFrame:
-        """Add the sums of the earlier chunks; `rows` are the input rows, `local` has the sums within each chunk."""
-        names = list(sums.values)
-        totals = self._across(rows).groupBy(*sums.within, _CHUNK).agg(
-            *[F.sum(value).alias(f"_c_{name}") for name, value in sums.values.items()]
-        )
-        # one row per chunk and key: a short window
-        earlier = Window.partitionBy(*sums.within).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-        carried = totals.withColumns({f"_c_{name}": F.sum(f"_c_{name}").over(earlier) for name in names})
-        # stored, so that its measured size decides how it is joined
-        joined = _join_same(local, stored(carried), [*sums.within, _CHUNK], "left")
-        ends = {
-            end: add_skipping_null(F.col(f"_c_{name}"), F.col(end)).cast(local.schema[end].dataType)
-            for name in names for end in (name, f"{name}_before")
-        }
-        return joined.withColumns(ends).drop(*[f"_c_{name}" for name in names])
-
-    def running(self, df: DataFrame, *specs: Sums) -> DataFrame:
-        """Add for each sum `name` (up to and with the row) and `name_before` (up to the row, NULL on the first)."""
-        rows = df
-        for sums in specs:
-            df = self._carried(self._local(df, sums), rows, sums)
-        return df
-
-    def total(self, df: DataFrame, within: list[str], order: list[str], aggregates: dict[str, Column]) -> DataFrame:
-        """Add aggregates of the whole group to each of its rows.
-
-        `order` does not change them; in the order of the running sums Spark computes both in one pass.
+    def total(self, df: DataFrame, within: list[str], order: list[str], name: str, value: Column, totals: DataFrame) -> DataFrame:
+        """Add an aggregate of the whole group to each of its rows; `totals` has it for the cut groups, under the same name.
+
+        `order` does not change it; in the order of the running sums Spark computes both in one pass.
         """
         whole = self._window(within, order).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        local = df.withColumns({name: value.over(whole) for name, value in aggregates.items()})
-        totals = self._across(df).groupBy(*within).agg(
-            F.lit(True).alias("_cut"), *[value.alias(f"_t_{name}") for name, value in aggregates.items()]
-        )
-        joined = _join_same(local, stored(totals), within, "left")
-        return joined.withColumns({
-            name: F.when(F.col("_cut"), F.col(f"_t_{name}")).otherwise(F.col(name)) for name in aggregates
-        }).drop("_cut", *[f"_t_{name}" for name in aggregates])
+        local = df.withColumn(name, value.over(whole))
+        known = totals.select(*within, F.lit(True).alias("_cut"), F.col(name).alias("_t"))
+        joined = join_same(local, known, within, "left")
+        return joined.withColumn(name, F.when(F.col("_cut"), F.col("_t")).otherwise(F.col(name))).drop("_cut", "_t")
 
-    def among_peers(self, df: DataFrame, within: list[str], key: list[str], name: str, value: Column) -> DataFrame:
-        """Add an aggregate over the rows that share the row's ordering key (they always lie in one chunk)."""
+    def among_peers(self, df: DataFrame, within: list[str], key: list[str], values: dict[str, Column]) -> DataFrame:
+        """Add aggregates over the rows that share the row's ordering key (they always lie in one chunk)."""
         peers = self._window(within, key).rangeBetween(Window.currentRow, Window.currentRow)
-        return df.withColumn(name, value.over(peers))
+        return df.withColumns({name: value.over(peers) for name, value in values.items()})
 
 
 def place(df: DataFrame, keys: list[str], order: list[str], chunks: int | None = None) -> Groups:
@@ -123,5 +127,5 @@ def place(df: DataFrame, keys: list[str], order: list[str], chunks: int | None =
     rows whatever is recomputed.
     """
     chunks = chunks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = df.repartitionByRange(chunks, *ascending([*keys, *order])).withColumn(_CHUNK, F.spark_partition_id())
+    placed = df.repartitionByRange(chunks, *ascending([*keys, *order])).withColumn(CHUNK, F.spark_partition_id())
     return Groups(stored(placed), keys)

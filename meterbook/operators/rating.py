@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.columns import pricing
+from ..functions.storage import stored
 from ..sources.schemas import REVENUE, RULE_ROW
 from .matching import NON_USAGE_PRODUCTS
-from .ordered import Groups, Sums, place
+from .ordered import CHUNK, Groups, Sums, join_same, place
 
 # The month comes first: rated rows leave the windows in the order in which a table of months is written.
 GROUP = ["transaction_month", "sequence_customer_id"]
@@ -36,13 +39,92 @@ def charged_usage(rules: DataFrame) -> DataFrame:
     return usage if "pricing" in usage.columns else usage.withColumn("pricing", pricing("price_structure_json"))
 
 
-def count_transactions(groups: Groups, *more: Sums) -> DataFrame:
+def _nothing() -> Column:
+    return F.lit(0).cast(REVENUE)
+
+
+def _uses_minimum() -> Column:
+    return F.col("consumes_saas") & F.col("should_be_charged")
+
+
+def _counts() -> Sums:
+    return Sums(PRODUCT, PRODUCT_ORDER, {"transaction_count": F.lit(1), "cumulative_amount": F.col("amount")})
+
+
+def _order() -> Sums:
+    return Sums(GROUP, GROUP_ORDER, {"global_transaction_order": F.lit(1)})
+
+
+def _product_revenue() -> Sums:
+    return Sums(PRODUCT, PRODUCT_ORDER, {"cumulative_revenue": F.col("revenue")})
+
+
+def _group_revenue() -> Sums:
+    return Sums(GROUP, GROUP_ORDER, {
+        "global_transaction_order": F.lit(1),
+        "cumulative_revenue_global": F.col("revenue"),
+        "cumulative_saas_revenue_global": F.when(F.col("kept"), F.when(_uses_minimum(), F.col("revenue")).otherwise(_nothing())),
+    })
+
+
+class Cut:
+    """What customer-months that lie in several chunks carry from chunk to chunk, each worked out once from their rows.
+
+    The rows pass the windows of counts and tiers once here; what revenue needs of them is stored, so the last tiers
+    and the sums of revenue are plain aggregates.
+    """
+
+    def __init__(self, groups: Groups):
+        self.groups = groups
+
+    def _sums(self, rows: DataFrame, *specs: Sums, **more: Column) -> DataFrame:
+        """Per product and chunk; sums of customer-months are sums of these."""
+        values = {name: value for sums in specs for name, value in sums.values.items()}
+        return stored(rows.groupBy(*PRODUCT, CHUNK).agg(
+            *[F.sum(value).alias(name) for name, value in values.items()], *[value.alias(name) for name, value in more.items()]))
+
+    @cached_property
+    def _counted(self) -> DataFrame:
+        return self._sums(self.groups.cut_rows, _counts(), _order())
+
+    @cached_property
+    def counts(self) -> DataFrame:
+        return self.groups.carried(self._counted, PRODUCT, list(_counts().values))
+
+    @cached_property
+    def order(self) -> DataFrame:
+        return self.groups.carried(self._counted, GROUP, list(_order().values))
+
+    @cached_property
+    def _tiers(self) -> DataFrame:
+        chosen = choose_tiers(count_transactions(self.groups.cut, self), self.groups)
+        return stored(chosen.select(
+            *PRODUCT, CHUNK, "transaction_count", "amount", "price_minimum_amount", "kept", "consumes_saas", "should_be_charged", "pricing_type",
+            "linear_price_per_unit", "linear_is_percentage", "tier_price", "tier_fee", "tier_is_percentage"))
+
+    @cached_property
+    def latest(self) -> DataFrame:
+        return stored(self._tiers.groupBy(*PRODUCT).agg(_last_tier().alias("_latest")))
+
+    @cached_property
+    def _revenues(self) -> DataFrame:
+        priced = join_same(self._tiers, self.latest, PRODUCT, "left")
+        priced = _with_effective_tiers(priced).withColumn("revenue", _revenue())
+        return self._sums(priced, _product_revenue(), _group_revenue(), price_minimum_revenue=F.max("price_minimum_amount"))
+
+    @cached_property
+    def product_revenue(self) -> DataFrame:
+        return self.groups.carried(self._revenues, PRODUCT, list(_product_revenue().values))
+
+    @cached_property
+    def group_revenue(self) -> DataFrame:
+        highest = {"price_minimum_revenue": F.max("price_minimum_revenue")}
+        return self.groups.carried(self._revenues, GROUP, list(_group_revenue().values), highest)
+
+
+def count_transactions(rows: DataFrame, cut: Cut) -> DataFrame:
     """Running count and amount per customer, month and product."""
-    counted = groups.running(
-        groups.rows,
-        Sums(PRODUCT, PRODUCT_ORDER, {"transaction_count": F.lit(1), "cumulative_amount": F.col("amount")}),
-        *more,
-    )
+    counted = cut.groups.running(rows, _counts(), cut.counts)
     return counted.drop("transaction_count_before").withColumns({
         "cumulative_amount": F.col("cumulative_amount").cast("decimal(28,2)"),
         "cumulative_amount_before": F.col("cumulative_amount_before").cast("decimal(28,2)"),
@@ -72,22 +154,21 @@ def _tier_rank() -> Column:
     return F.coalesce(F.array_min(F.transform("pricing.tiers", rank)), none)
 
 
-def select_tiers(counted: DataFrame, groups: Groups) -> DataFrame:
+def choose_tiers(counted: DataFrame, groups: Groups) -> DataFrame:
     """Choose each tiered row's tier without exploding the tiers.
 
     Adds `kept`: whether the row has a price. Of the copies of one match only the best ranked stays when its pricing
-    is tiered; all linear ones do. The first kept copy of a match, and the first that uses the minimum, are marked, so
-    that matches can be counted later without bringing copies together again.
+    is tiered; all linear ones do.
     """
     tiered = F.col("pricing_type").isin("VOLUME", "GRADUATED")
     ranked = counted.withColumn("pricing_type", F.upper("pricing.pricing_type")).withColumn(
         "_choice",
         F.when(tiered, F.struct(_tier_rank().alias("tier"), F.col("transaction_count").alias("n"))),
     )
-    ranked = groups.among_peers(ranked, PRODUCT, PRODUCT_KEY_ORDER, "_best", F.min("_choice"))
+    ranked = groups.among_peers(ranked, PRODUCT, PRODUCT_KEY_ORDER, {"_best": F.min("_choice")})
     tier = F.get("pricing.tiers", F.col("_choice.tier.position"))
     linear = F.col("pricing_type") == "LINEAR"
-    chosen = ranked.withColumn("_tier", F.when(tiered, tier)).withColumns({
+    return ranked.withColumn("_tier", F.when(tiered, tier)).withColumns({
         "kept": F.coalesce(linear | (tiered & (F.col("_choice") == F.col("_best"))), F.lit(False)),
         "linear_price_per_unit": F.when(linear, F.col("pricing.unit_price")),
         "linear_is_percentage": F.when(linear, F.col("pricing.is_percentage")),
@@ -95,29 +176,36 @@ def select_tiers(counted: DataFrame, groups: Groups) -> DataFrame:
         "tier_fee": F.col("_tier.fee"),
         "tier_upper_bound": F.col("_tier.upper_bound"),
         "tier_is_percentage": F.col("_tier.is_percentage"),
-    }).drop("_choice", "_best", "_tier")
-    saas = F.col("kept") & F.col("consumes_saas") & F.col("should_be_charged")
-    for name, counts in {"first_copy": F.col("kept"), "first_saas_copy": saas}.items():
-        least = F.min(F.when(counts, F.col("transaction_count")))
-        chosen = groups.among_peers(chosen, PRODUCT, PRODUCT_KEY_ORDER, name, least)
-        chosen = chosen.withColumn(name, F.coalesce(counts & (F.col(name) == F.col("transaction_count")), F.lit(False)))
-    return chosen
+    }).drop("_choice", "_best", "_tier", "pricing")
 
 
-def reprice_volume(selected: DataFrame, groups: Groups) -> DataFrame:
-    """VOLUME: the tier reached by the product's last transaction of the month prices all of them."""
-    volume = F.col("pricing_type") == "VOLUME"
-    last = F.max_by(
-        F.struct("tier_price", "tier_fee", "tier_is_percentage"), F.when(volume & F.col("kept"), F.col("transaction_count"))
-    )
-    latest = groups.total(selected, PRODUCT, PRODUCT_ORDER, {"_latest": last})
+def mark_first_copies(chosen: DataFrame, groups: Groups) -> DataFrame:
+    """Mark the first kept copy of a match, and the first that uses the minimum, so that matches can be counted later
+    without bringing copies together again."""
+    copies = {"first_copy": F.col("kept"), "first_saas_copy": F.col("kept") & _uses_minimum()}
+    least = {name: F.min(F.when(counts, F.col("transaction_count"))) for name, counts in copies.items()}
+    return groups.among_peers(chosen, PRODUCT, PRODUCT_KEY_ORDER, least).withColumns({
+        name: F.coalesce(counts & (F.col(name) == F.col("transaction_count")), F.lit(False)) for name, counts in copies.items()
+    })
+
+
+def _last_tier() -> Column:
+    priced = (F.col("pricing_type") == "VOLUME") & F.col("kept")
+    return F.max_by(F.struct("tier_price", "tier_fee", "tier_is_percentage"), F.when(priced, F.col("transaction_count")))
 
-    def effective(name: str) -> Column:
-        return F.when(volume, F.col(f"_latest.{name}")).otherwise(F.col(name))
 
-    with_tiers = latest.withColumns({
-        f"eff_{name}": effective(name) for name in ("tier_price", "tier_fee", "tier_is_percentage")
+def _with_effective_tiers(df: DataFrame) -> DataFrame:
+    volume = F.col("pricing_type") == "VOLUME"
+    return df.withColumns({
+        f"eff_{name}": F.when(volume, F.col(f"_latest.{name}")).otherwise(F.col(name))
+        for name in ("tier_price", "tier_fee", "tier_is_percentage")
     }).drop("_latest")
+
+
+def reprice_volume(selected: DataFrame, cut: Cut) -> DataFrame:
+    """VOLUME: the tier reached by the product's last transaction of the month prices all of them."""
+    latest = cut.groups.total(selected, PRODUCT, PRODUCT_ORDER, "_latest", _last_tier(), cut.latest)
+    with_tiers = _with_effective_tiers(latest)
     percent = F.when(F.col("pricing_type") == "LINEAR", F.col("linear_is_percentage")).otherwise(
         F.col("eff_tier_is_percentage")
     )
@@ -138,25 +226,17 @@ def _revenue() -> Column:
     return F.when(F.col("kept"), priced)  # NULL: the row takes no part in any revenue sum
 
 
-def accumulate(priced: DataFrame, groups: Groups) -> DataFrame:
-    """Running revenue per product, and per customer in time order over all products."""
-    saas = F.col("consumes_saas") & F.col("should_be_charged")
-    nothing = F.lit(0).cast(REVENUE)
-    return groups.running(
-        priced,
-        Sums(PRODUCT, PRODUCT_ORDER, {"cumulative_revenue": F.col("revenue")}),
-        Sums(GROUP, GROUP_ORDER, {
-            "global_transaction_order": F.lit(1),
-            "cumulative_revenue_global": F.col("revenue"),
-            "cumulative_saas_revenue_global": F.when(F.col("kept"), F.when(saas, F.col("revenue")).otherwise(nothing)),
-        }),
-    ).drop("global_transaction_order_before")
+def accumulate(priced: DataFrame, cut: Cut) -> DataFrame:
+    """Running revenue per product, and per customer in time order over all products, with the customer's highest minimum."""
+    by_product = cut.groups.running(priced, _product_revenue(), cut.product_revenue)
+    highest = {"price_minimum_revenue": F.max("price_minimum_amount")}
+    return cut.groups.running(by_product, _group_revenue(), cut.group_revenue, highest).drop("global_transaction_order_before")
 
 
-def apply_minimum(accumulated: DataFrame, groups: Groups) -> DataFrame:
+def apply_minimum(accumulated: DataFrame) -> DataFrame:
     """Use up the customer's monthly minimum in time order and split revenue at the point where it is met."""
-    nothing = F.lit(0).cast(REVENUE)
-    ordered = groups.total(accumulated, GROUP, GROUP_ORDER, {"price_minimum_revenue": F.max("price_minimum_amount")}).withColumn(
+    nothing = _nothing()
+    ordered = accumulated.withColumn(
         # an unknown customer or month has no minimum
         "price_minimum_revenue",
         F.when(F.col(GROUP[0]).isNotNull() & F.col(GROUP[1]).isNotNull(), F.col("price_minimum_revenue")),
@@ -183,12 +263,14 @@ def apply_minimum(accumulated: DataFrame, groups: Groups) -> DataFrame:
     )
 
 
-def _tiers(groups: Groups) -> DataFrame:
-    return reprice_volume(select_tiers(count_transactions(groups), groups), groups)
+def _tiers(cut: Cut) -> DataFrame:
+    groups = cut.groups
+    chosen = choose_tiers(count_transactions(groups.rows, cut), groups)
+    return reprice_volume(mark_first_copies(chosen, groups), cut)
 
 
-def _placed(rules: DataFrame, chunks: int | None) -> Groups:
-    return place(charged_usage(rules), GROUP, KEY_ORDER, chunks)
+def _placed(rules: DataFrame, chunks: int | None) -> Cut:
+    return Cut(place(charged_usage(rules), GROUP, KEY_ORDER, chunks))
 
 
 def rate_transactions(rules: DataFrame, chunks: int | None = None) -> DataFrame:
@@ -197,16 +279,16 @@ def rate_transactions(rules: DataFrame, chunks: int | None = None) -> DataFrame:
     Rows are placed in chunks along month, customer and time; customer-months of any size go through the same windows
     per chunk (see `ordered`). `chunks` defaults to the session's shuffle partitions.
     """
-    groups = _placed(rules, chunks)
-    priced = accumulate(_tiers(groups).withColumn("revenue", _revenue()), groups)
+    cut = _placed(rules, chunks)
+    priced = accumulate(_tiers(cut).withColumn("revenue", _revenue()), cut)
     # rows without a price count in the order and in the minimum, then leave
-    return apply_minimum(priced, groups).filter("kept").select(*RATED_COLUMNS)
+    return apply_minimum(priced).filter("kept").select(*RATED_COLUMNS)
 
 
 def running_counts(rules: DataFrame, chunks: int | None = None) -> DataFrame:
     """Only the running counts and amounts, per product and (the order) per customer-month."""
-    order = Sums(GROUP, GROUP_ORDER, {"global_transaction_order": F.lit(1)})
-    return count_transactions(_placed(rules, chunks), order).select(
+    cut = _placed(rules, chunks)
+    return cut.groups.running(count_transactions(cut.groups.rows, cut), _order(), cut.order).select(
         *RULE_ROW.fieldNames(), "transaction_count", "global_transaction_order", "cumulative_amount",
         "cumulative_amount_before",
     )
@@ -214,4 +296,4 @@ def running_counts(rules: DataFrame, chunks: int | None = None) -> DataFrame:
 
 def tier_selection(rules: DataFrame, chunks: int | None = None) -> DataFrame:
     """The rated rows' tiers before revenue: own tier, effective tier and what its bound applies to."""
-    return _tiers(_placed(rules, chunks)).filter("kept").drop("pricing", "kept", "_chunk")
+    return _tiers(_placed(rules, chunks)).filter("kept").drop("kept", CHUNK)

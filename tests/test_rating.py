@@ -114,8 +114,8 @@ def test_groups_cut_into_chunks_are_rated_as_whole_ones(spark, chunks):
     ]
     rules = rule_rows(spark, rows)
     whole, split = rate_transactions(rules, 1), rate_transactions(rules, chunks)
-    groups = rating._placed(rules, chunks)
-    assert rating._placed(rules, 1).crossing.isEmpty() and (chunks < 5 or not groups.crossing.isEmpty())
+    groups = rating._placed(rules, chunks).groups
+    assert rating._placed(rules, 1).groups.cut_rows.isEmpty() and (chunks < 5 or not groups.cut_rows.isEmpty())
     assert whole.count() == split.count() > 100
     assert whole.exceptAll(split).isEmpty() and split.exceptAll(whole).isEmpty()
 
@@ -135,3 +135,10 @@ def test_split_adds_up_and_shares_add_up(spark):
     allocated = allocate(rated, fees, month_shares(rated))
     shares = allocated.agg(F.sum("platform_fee_share"), F.min("platform_fee_share"), F.count("*")).first()
     assert (float(shares[0]), float(shares[1]), shares[2]) == (90, 3, 30)
+
+
+def test_rows_pass_the_windows_once(spark):
+    """All rows are shuffled once after they are placed; what is carried comes from stored rows of cut groups."""
+    rules = rule_rows(spark, [{"price_structure_json": tiered("VOLUME", *FLAT)}] * 20)
+    plan = rate_transactions(rules, 4)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RepartitionByExpression") == 1 and plan.count("Window [") <= 6 and "LeftSemi" not in plan
