@@ -12,7 +12,7 @@ begin a sentence; the first word of an item may stand anywhere in a document, so
 words say too little and are left out; an item that has no other is looked for by its very words. Items with fewer than eight words are one shorter
 window; items under five words cannot be told from common phrases and match nothing.
 
-Null and empty texts match nothing. Repeated rows give one result per id, text and item. Null ids are kept as null.
+Equal texts are judged once, by a 64-bit hash of the text, and so are values in placeholders told apart. Null and empty texts match nothing. Repeated rows give one result per id, text and item. Null ids are kept as null.
 """
 
 from __future__ import annotations
@@ -99,12 +99,13 @@ def windows(code: np.ndarray, size: int, first: np.ndarray | None = None, sort:
     return value, count >= min(LEAST, size)
 
 
-def _slots(code: np.ndarray, words: list[str], at: int, size: int, first: np.ndarray | None = None) -> list[str]:
+def _slots(code: np.ndarray, words: list[str], at: int, size: int, first: np.ndarray | None = None) -> list[int]:
+    """A number for the kind and the value of each placeholder; values are only told apart."""
     kind = [(code if first is None else first)[at], *code[at + 1:at + size]]
-    return [f"{c}:{words[i].lower()}" for i, c in enumerate(kind, at) if c <= UNIT]
+    return [xxhash.xxh64_intdigest(f"{c}:{words[i].lower()}".encode()) - (1 << 63) for i, c in enumerate(kind, at) if c <= UNIT]
 
 
-SCHEMA = "place int, hash long, slots array<string>"
+SCHEMA = "place int, hash long, slots array<long>"
 
 
 def _item_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -132,7 +133,7 @@ def _item_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                     other, enough = windows(head, size, first, sort)
                     rows += [(key, 0, number(other[0]), slots, size, int(good.sum()), False)] if enough[0] and good[0] else []
         names = ["item", "place", "hash", "slots", "size", "windows", "by_words"]
-        kinds = [batch.schema.field("item").type, pa.int32(), pa.int64(), pa.list_(pa.string()), pa.int32(), pa.int32(), pa.bool_()]
+        kinds = [batch.schema.field("item").type, pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.int32(), pa.int32(), pa.bool_()]
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=names)
 
 
@@ -198,13 +199,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text
                     tokens, ends, done = [], [], i + 1
             take = pa.array(row, pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id").take(take), batch.column("text_key").take(take), pa.array(place, pa.int32()), pa.array(value, pa.int64()),
-                 pa.array(slots, pa.list_(pa.string()))], names=["id", "text_key", "place", "hash", "slots"])
+                [batch.column("text_key").take(take), pa.array(place, pa.int32()), pa.array(value, pa.int64()), pa.array(slots, pa.list_(pa.int64()))],
+                names=["text_key", "place", "hash", "slots"])
 
-    rows = docs.select(F.col(id).alias("id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("text_key"), F.col(text).alias("text"))
-    found = rows.mapInArrow(candidates, f"id {docs.schema[id].dataType.simpleString()}, text_key long, {SCHEMA}")
+    text_key = F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("text_key")
+    # windows of equal texts are the same rows: they become one before the first shuffle
+    found = docs.select(text_key, F.col(text).alias("text")).mapInArrow(candidates, f"text_key long, {SCHEMA}").distinct()
     pairs = stored(found.join(items.withColumnsRenamed({"place": "item_place", "slots": "item_slots"}), "hash"))
-    key = ["id", "text_key", "item"]
+    key = ["text_key", "item"]
     # two readings of one window: the one with fewer slots
     hits = pairs.withColumn("distance", F.col("place") - F.col("item_place")).groupBy(*key, "distance", "item_place").agg(
         F.max("windows").alias("windows"), F.max("size").alias("size"),
@@ -232,12 +234,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text
     single = F.filter("held", lambda v, i: ((i == 0) | other(F.col("held"), i - 1, v)) & other(F.col("held"), i + 1, v))
     agreement = F.when(F.size("held") > 0, F.size(single) / F.size(first)).otherwise(F.lit(1.0))
     best = F.max(F.struct("found", "agreement", "windows")).alias("best")
-    return (
+    verdicts = stored(
         found.filter((F.col("found") >= COVERAGE * F.col("windows")) | (F.col("found") >= RUN))
         .withColumn("held", held).withColumn("agreement", agreement).filter(F.col("agreement") >= AGREEMENT)
-        .groupBy(*key).agg(best)
-        .select(F.col("id").alias(id), "text_key", F.col("item").alias(item_id), "best.found", "best.windows",
-                (F.col("best.found") / F.col("best.windows")).alias("coverage"), "best.agreement"))
+        .groupBy(*key).agg(best))
+    return docs.select(F.col(id).alias("id"), text_key).join(verdicts, "text_key").select(
+        F.col("id").alias(id), "text_key", F.col("item").alias(item_id), "best.found", "best.windows",
+        (F.col("best.found") / F.col("best.windows")).alias("coverage"), "best.agreement").distinct()
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
