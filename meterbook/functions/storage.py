@@ -5,10 +5,12 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
-_runs: list[str] = []
+#: the folder of the run that the current thread or context is in
+_run: ContextVar[str | None] = ContextVar("meterbook_run", default=None)
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -25,15 +27,25 @@ def remove(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def files(spark: SparkSession, path: str) -> set[str]:
+    """Names of the files right in a folder of whatever file system it is in; none if it is not there."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    return {f.getPath().getName() for f in system.listStatus(place) if f.isFile()} if system.exists(place) else set()
+
+
 @contextmanager
 def run_folder(spark: SparkSession, below: str) -> Iterator[str]:
-    """What is stored inside goes to one folder, which is removed at the end, also after an error."""
+    """What is stored inside goes to one folder, which is removed at the end, also after an error.
+
+    Runs in several threads have a folder each.
+    """
     path = f"{below}/_meterbook-run-{uuid.uuid4().hex}"
-    _runs.append(path)
+    token = _run.set(path)
     try:
         yield path
     finally:
-        _runs.remove(path)
+        _run.reset(token)
         remove(spark, path)
 
 
@@ -43,7 +55,7 @@ def stored(df: DataFrame) -> DataFrame:
     This cuts the lineage: what follows is planned from a plain scan, with column pruning, and neither lost executors
     nor a second reader repeat the work before it.
     """
-    folder = _runs[-1] if _runs else shared_folder(df.sparkSession)
+    folder = _run.get() or shared_folder(df.sparkSession)
     path = f"{folder}/meterbook-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -9,7 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..functions.columns import same
-from ..functions.storage import remove, stored
+from ..functions.storage import files, remove, stored
 
 MONTH = "transaction_month"
 
@@ -66,13 +66,21 @@ def replace_months(df: DataFrame, path: str) -> DataFrame:
 
 
 def rewrite_months(df: DataFrame, path: str, months: list[dt.date]) -> DataFrame:
-    """Clear the given months of the table at `path`, then write what `df` has for them; other months stay.
+    """Write what `df` has in place of the months it occurs in, then clear those of the given months that it has nothing for.
 
-    A run that dies in between leaves months empty; the next run fills them, as it recomputes whole months.
+    Months are published before any is cleared, so readers find each month's old rows or its new ones. A run that dies
+    while it writes leaves the table as it was; one that dies before it clears leaves months that should be empty, which
+    the next run clears, as it recomputes whole months. A month was written if its files have other names than before.
     """
-    for month in months:
-        remove(df.sparkSession, f"{path}/{MONTH}={month:%Y-%m-%d}")
-    return replace_months(df, path)
+    spark = df.sparkSession
+    folders = {month: f"{path}/{MONTH}={month:%Y-%m-%d}" for month in months}
+    before = {month: files(spark, folder) for month, folder in folders.items()}
+    written = replace_months(df, path)
+    for month, folder in folders.items():
+        if before[month] and files(spark, folder) == before[month]:
+            remove(spark, folder)
+    # listed anew: what was cleared is not part of the table
+    return spark.read.schema(df.schema).parquet(path).select(*df.columns) if months else written
 
 
 def upsert_table(new: DataFrame, path: str, keys: list[str], on_duplicate: str = "error") -> DataFrame:

@@ -1,10 +1,13 @@
 """Merging by key, in memory and into a table."""
 
 import datetime as dt
+import threading
 
 import pytest
+from pyspark.sql import functions as F
 
-from meterbook.plans.upsert import upsert, upsert_table
+from meterbook.functions import storage
+from meterbook.plans.upsert import rewrite_months, upsert, upsert_table
 
 SCHEMA = "id string, name string, transaction_month date, value int"
 KEYS = ["id", "name", "transaction_month"]
@@ -49,3 +52,41 @@ def test_unknown_month_and_no_rows(spark, tmp_path):
     upsert_table(rows, path, KEYS)
     assert content(upsert_table(rows, path, KEYS)) == content(rows)
     assert content(upsert_table(frame(spark), path, KEYS)) == content(rows)
+
+
+def test_months_without_rows_are_cleared_after_the_others_are_written(spark, tmp_path):
+    path, july = f"{tmp_path}/t", dt.date(2025, 7, 1)
+    rewrite_months(frame(spark, ("a", "x", MAY, 1), ("b", "x", JUNE, 1), ("c", "x", july, 1)), path, [])
+    again = rewrite_months(frame(spark, ("b", "x", JUNE, 2)), path, [JUNE, july])
+    assert content(again) == content(frame(spark, ("a", "x", MAY, 1), ("b", "x", JUNE, 2)))
+    assert content(rewrite_months(frame(spark), path, [MAY, JUNE])) == []
+
+
+def test_a_write_that_fails_leaves_the_old_months(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    rows = [("a", "x", MAY, 1), ("b", "x", JUNE, 1)]
+    rewrite_months(frame(spark, *rows), path, [])
+    broken = frame(spark, ("a", "x", MAY, 2), ("b", "x", JUNE, 3)).repartition(2).withColumn(
+        "value", F.when(F.col("value") == 3, F.raise_error(F.lit("broken")).cast("int")).otherwise(F.col("value")))
+    with pytest.raises(Exception, match="broken"):
+        rewrite_months(broken, path, [MAY, JUNE])
+    assert content(spark.read.schema(SCHEMA).parquet(path).select("id", "name", "transaction_month", "value")) == content(frame(spark, *rows))
+
+
+def test_runs_in_several_threads_keep_their_own_folders(spark, tmp_path):
+    seen, meet = {}, threading.Barrier(2)
+
+    def run(name):
+        with storage.run_folder(spark, f"{tmp_path}/{name}"):
+            meet.wait()
+            df = storage.stored(frame(spark, (name, "x", MAY, 1)))
+            meet.wait()
+            seen[name] = df.inputFiles()[0], content(df)
+
+    threads = [threading.Thread(target=run, args=(name,)) for name in ("one", "two")]
+    for thread in threads:
+        thread.start()
+    for thread in threads:
+        thread.join()
+    assert all(f"/{name}/_meterbook-run-" in where and rows == [(name, "x", MAY, 1)] for name, (where, rows) in seen.items()) and len(seen) == 2
+    assert not any(list((tmp_path / name).glob("_meterbook-run-*")) for name in seen if (tmp_path / name).is_dir())
