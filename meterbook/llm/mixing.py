@@ -6,8 +6,8 @@ document's count depends on nothing but itself and its source's rate: tasks can
 all of the data: a range exchange and a sort.
 
 Weights are a parameter (source to weight); without them a source's weight is its share of characters to the power TEMPERATURE. Rates are what the weights
-ask for; a rate over MOST_RATE is the sum of independent draws of equal rates that are not over it. A null source is a source of its own; null texts have no characters, and a source without
-characters is kept once. Rows with a null id share one number. Repeated rows are repeated alike.
+ask for; a rate over MOST_RATE is the sum of independent draws of equal rates that are not over it. A null source is a source of its own; null texts have no characters, and every document of a source without
+characters is kept exactly once. Rows with a null id share one number. Repeated rows are repeated alike.
 """
 
 from __future__ import annotations
@@ -50,22 +50,34 @@ def rates(docs: DataFrame, source: str = "source", text: str = "text", weights:
     return stored(weighed.select("of", "chars", "rate", "draws", below["all"].alias("below")))
 
 
+def _fresh(docs: DataFrame) -> str:
+    """A prefix that no column of docs has."""
+    prefix = "_mix_"
+    while any(c.lower().startswith(prefix) for c in docs.columns):
+        prefix = "_" + prefix
+    return prefix
+
+
 def replicate(docs: DataFrame, id: str = "doc_id", source: str = "source", text: str = "text", weights: dict[str, float] | None = None, seed: int = SEED) -> DataFrame:
-    """docs with `copy` (from 1), `rate` and `order_key`, each row as often as its count says, in no order."""
-    by = rates(docs, source, text, weights).select("of", F.col("rate").alias("_rate"), F.col("draws").alias("_draws"), "below")
-    counted = docs.join(by, docs[source].eqNullSafe(by["of"])).withColumn("_u", uniform(seed, docs[id]))
-    drawn = lambda u: F.size(F.filter("below", lambda c: c <= u))
-    more = F.when(F.col("_draws") > 1, F.aggregate(F.sequence(F.lit(1), F.col("_draws") - 1), F.lit(0), lambda a, k: a + drawn(uniform(seed, docs[id], k))))
-    count = drawn(F.col("_u")) + F.coalesce(more, F.lit(0))
-    copies = counted.withColumn("_count", count).filter("_count > 0").drop("of", "below", "_u", "_draws").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("_count"))))
-    key = F.md5(F.concat_ws(":", F.lit(f"{seed}-order"), F.coalesce(F.col(id).cast("string"), F.lit("null")), F.col("copy").cast("string")))
-    return copies.drop("_count").withColumnRenamed("_rate", "rate").withColumn("order_key", key)
+    """docs with `copy` (from 1), `rate` and `order_key`, each row as often as its count says, in no order. docs must not have columns of these names."""
+    own = _fresh(docs)
+    by = rates(docs, source, text, weights)
+    by = by.withColumnsRenamed({c: own + c for c in by.columns})
+    counted = docs.join(by, docs[source].eqNullSafe(by[f"{own}of"]))
+    draws, below = F.col(f"{own}draws"), F.col(f"{own}below")
+    drawn = lambda u: F.size(F.filter(below, lambda c: c <= u))
+    more = F.when(draws > 1, F.aggregate(F.sequence(F.lit(1), draws - 1), F.lit(0), lambda a, k: a + drawn(uniform(seed, docs[id], k))))
+    count = F.when(F.col(f"{own}chars") == 0, 1).otherwise(drawn(uniform(seed, docs[id])) + F.coalesce(more, F.lit(0)))
+    counted = counted.withColumn(f"{own}count", count).filter(F.col(f"{own}count") > 0)
+    copies = counted.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col(f"{own}count"))))
+    key = F.md5(F.concat_ws(":", F.lit(f"{seed}-order"), F.coalesce(docs[id].cast("string"), F.lit("null")), F.col("copy").cast("string")))
+    return copies.withColumnRenamed(f"{own}rate", "rate").withColumn("order_key", key).drop(*[own + c for c in ("of", "chars", "draws", "below", "count")])
 
 
 def mixed(docs: DataFrame, **options) -> DataFrame:
-    """The mixture in its global order, with the columns of docs only."""
-    names = docs.columns
-    plain = docs.withColumnsRenamed({c: f"_own_{c}" for c in ("copy", "rate", "order_key") if c in names})
-    out = replicate(plain, **options)
-    out = out.repartitionByRange("order_key").sortWithinPartitions("order_key").drop("copy", "rate", "order_key")
-    return out.withColumnsRenamed({f"_own_{c}": c for c in ("copy", "rate", "order_key")}).select(*names)
+    """The mixture in its global order, with the columns of docs only, whatever their names."""
+    own, added = _fresh(docs), ("copy", "rate", "order_key")
+    hidden = {c: f"{own}own_{c}" for c in docs.columns if c.lower() in added}
+    out = replicate(docs.withColumnsRenamed(hidden), **options)
+    out = out.repartitionByRange("order_key").sortWithinPartitions("order_key").drop(*added)
+    return out.withColumnsRenamed({new: old for old, new in hidden.items()}).select(*docs.columns)

@@ -146,17 +146,18 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 #: Mixing in plain SQL: the same rates, hashes and distribution, by a join with the terms of each source's distribution.
 MIXING_SQL = f"""
 WITH sums AS (SELECT source AS of, sum(length(coalesce(text, ''))) AS chars FROM documents GROUP BY source),
-rated AS (SELECT of, least(sqrt(chars) / (SELECT sum(sqrt(chars)) FROM sums) * (SELECT sum(chars) FROM sums) / chars, {mixing.MOST_RATE}) AS rate FROM sums),
-terms AS (SELECT of, rate, k, sum(exp(-rate + k * ln(rate) - lgamma(k + 1))) OVER (PARTITION BY of ORDER BY k) AS below
-          FROM rated, range(0, {mixing.TERMS + 1}) t(k)),
-drawn AS (SELECT doc_id, source, ('0x' || substr(md5('{mixing.SEED}:' || doc_id), 1, 13))::BIGINT / {1 << 52}::DOUBLE AS u FROM documents),
-counted AS (SELECT doc_id, source, rate, count(*) FILTER (WHERE below <= u) AS n FROM drawn JOIN terms ON of IS NOT DISTINCT FROM source
-            GROUP BY doc_id, source, rate, u)
-SELECT doc_id, source, c AS copy, round(rate, 6) AS rate, md5('{mixing.SEED}-order:' || doc_id || ':' || c) AS order_key
-FROM counted, range(1, {mixing.TERMS + 1}) t(c) WHERE c <= n
+rated AS (SELECT of, chars, CASE WHEN chars = 0 THEN 1 ELSE sqrt(chars) / (SELECT sum(sqrt(chars)) FROM sums) * (SELECT sum(chars) FROM sums) / chars END AS rate FROM sums),
+split AS (SELECT *, greatest(1, ceil(rate / {mixing.MOST_RATE}))::BIGINT AS draws FROM rated),
+terms AS (SELECT of, sum(exp(-rate / draws + k * ln(rate / draws) - lgamma(k + 1))) OVER (PARTITION BY of ORDER BY k) AS below
+          FROM split, range(0, {mixing.TERMS + 1}) t(k)),
+drawn AS (SELECT doc_id, source, chars, rate, ('0x' || substr(md5('{mixing.SEED}:' || coalesce(doc_id::VARCHAR, 'null') || CASE WHEN draw > 0 THEN ':' || draw ELSE '' END), 1, 13))::BIGINT / {1 << 52}::DOUBLE AS u
+          FROM (SELECT *, unnest(range(0, draws)) AS draw FROM documents JOIN split ON of IS NOT DISTINCT FROM source)),
+counted AS (SELECT doc_id, source, rate, CASE WHEN chars = 0 THEN 1 ELSE count(*) FILTER (WHERE below <= u) END AS n FROM drawn JOIN terms ON of IS NOT DISTINCT FROM source
+            GROUP BY doc_id, source, rate, chars)
+SELECT doc_id, source, copy, round(rate, 6) AS rate, md5('{mixing.SEED}-order:' || coalesce(doc_id::VARCHAR, 'null') || ':' || copy) AS order_key
+FROM (SELECT *, unnest(range(1, n + 1)) AS copy FROM counted)
 """
 
-
 #: Phrase mining in plain SQL: phrases of up to three words by neighbours in a window, and their two or one cuts side by side.
 PHRASES_SQL = r"""
 WITH texts AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
