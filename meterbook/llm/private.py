@@ -71,9 +71,13 @@ def seeds(text: Column) -> Column:
     return F.array_sort(F.concat(*[kind(name) for name in KINDS]))
 
 
-def _context(words: Column, back: bool) -> Column:
-    """Words beside a candidate, lower case without outer punctuation; null where there is none or where it has digits."""
-    part = F.right(words, F.lit(60)) if back else F.left(words, F.lit(60))
+#: The first two words of a text, of any length.
+TWO_WORDS = "^[ \\t-\\r]*+([^ \\t-\\r]++(?:[ \\t-\\r]++[^ \\t-\\r]++)?+)"
+
+
+def _context(gap: Column, back: bool) -> Column:
+    """The two words beside a candidate, lower case without outer punctuation."""
+    part = F.reverse(F.regexp_extract(F.reverse(gap), TWO_WORDS, 1)) if back else F.regexp_extract(gap, TWO_WORDS, 1)
     inner = F.regexp_replace(F.lower(F.trim(F.translate(part, "\t\n\x0b\x0c\r", "     "))), "[.,;!?\"'()<>\\[\\]{}]", "")
     return F.split(inner, " +")
 
@@ -98,7 +102,7 @@ def occurrences(text: Column) -> Column:
             start = s["start"] + F.length(glue)
             return F.struct(
                 start.alias("start"), (start + F.length(core)).alias("end"), known(s["hit"]).alias("kind"),
-                F.when(F.length(core) <= 64, F.lower(core)).otherwise(F.sha2(core, 256)).alias("instance"),
+                F.sha2(F.lower(core), 256).alias("instance"),
                 F.array_compact(F.array(
                     F.when(last != "", F.concat(F.lit("before "), last)),
                     F.when((last != "") & (last2 != ""), F.concat(F.lit("before "), last2, F.lit(" "), last)),
@@ -125,14 +129,13 @@ def bootstrap(edges: DataFrame, turns: int = TURNS) -> DataFrame:
     for _ in range(turns):
         kinds = edges.join(found, "instance", "left").withColumn("as", F.coalesce("kind", "found_kind"))
         sums = [F.sum(F.when(F.col("as") == k, F.coalesce(F.when(F.col("kind").isNotNull(), 1.0), "found_score")).otherwise(0.0)).alias(k) for k in KINDS]
-        support = [F.count(F.when(F.col("kind") == k, 1)).alias(f"seeds_{k}") for k in KINDS]
-        stats = kinds.groupBy("pattern").agg(F.count(F.lit(1)).alias("n"), *sums, *support)
-        best = F.array_max(F.array(*[F.struct(F.col(k).alias("sum"), F.col(f"seeds_{k}").alias("seeds"), F.lit(k).alias("kind")) for k in KINDS]))
+        stats = kinds.groupBy("pattern").agg(F.count(F.lit(1)).alias("n"), *sums)
+        best = F.array_max(F.array(*[F.struct(F.col(k).alias("sum"), F.lit(k).alias("kind")) for k in KINDS]))
         trusted = (
             stats.withColumn("best", best)
-            .select("pattern", F.col("best.kind").alias("found_kind"), F.col("best.seeds").alias("seeds"),
+            .select("pattern", F.col("best.kind").alias("found_kind"), F.col("best.sum").alias("support"),
                     (F.col("best.sum") / (F.col("n") + SMOOTHING)).alias("confidence"))
-            .filter((F.col("seeds") >= SUPPORT) & (F.col("confidence") >= CONFIDENCE))
+            .filter((F.col("support") >= SUPPORT) & (F.col("confidence") >= CONFIDENCE))
         )
         scored = (
             edges.filter("kind is null").join(trusted, "pattern")

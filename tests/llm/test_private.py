@@ -4,6 +4,8 @@ import random
 
 import brute
 
+from pyspark.sql import functions as F
+
 from meterbook.llm import private
 from meterbook.llm.queries import op1_private_data
 
@@ -47,3 +49,21 @@ def test_query_equals_brute_force(spark, small):
         counts, digest, joined = brute.private_base(texts[r.doc_id])
         assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == counts and r.base_sha256 == digest
         assert set(filter(None, joined.split(","))) <= set(r.spans.split(","))
+
+
+def test_discovered_identifiers_induce_patterns(spark):
+    texts = [f"Please dial hotline +1 (476) 555-{1000 + i} today" for i in range(60)]
+    texts += [f"You may dial hotline 555-02{k:02d} now" for k in range(20)] + [f"It is my extension 555-02{k:02d}" for k in range(20)]
+    texts += ["It was his extension 555-0999", "It was his room 555-0998"]  # no seed ever stands behind "extension"
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r.doc_id: r for r in private.extract_private(docs).collect()}
+    assert [texts[100][s.start:s.end] for s in rows[100].added] == ["555-0999"] and not rows[101].added
+
+
+def test_long_words_and_long_neighbours(spark):
+    word, near = "User" + "x" * 70 + "1", "n" * 200
+    texts = [word, word.upper(), f"{near} {word} {near} tail"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("found", private.occurrences(F.col("text")))
+    found = {r.doc_id: r.found for r in docs.collect()}
+    assert len({f[0].instance for f in found.values()}) == 1
+    assert set(found[2][0].patterns) == {f"before {near}", f"after {near}"}
