@@ -15,7 +15,7 @@ import re
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .shared import count_parts, let, running, spans
+from .shared import count_parts, fresh, let, running, spans
 
 WORD = "[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]"
 NOT_WORD = "[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]"
@@ -198,16 +198,19 @@ def scan_licenses(docs: DataFrame, text: str = "text") -> DataFrame:
 
     n_words; base, array of (label, first and last word index, places); detections, array of (start, end, level, label, rule) in
     code points; score, 1 - product of (1 - weight of level) over the kept detections, at least 0.5 where a base phrase stands.
+    A column of docs that has this name already comes back as `own_license`, with underscores before it if there is one.
     """
+    own, taken = fresh(docs, "_lic_"), fresh(docs, "own_license")
+    docs = docs.withColumnsRenamed({c: taken for c in docs.columns if c.lower() == "license"})
     low = F.lower(F.coalesce(F.col(text), F.lit("")))
     body = F.coalesce(F.col(text), F.lit(""))
     keywords = [LICENSED, SPDX, *dict.fromkeys(k for *_, k in NOTICES)]
-    gated = docs.withColumn("_low", low)
-    hit = gated["_low"].contains(keywords[0])
+    gated = docs.withColumn(f"{own}low", low)
+    hit = gated[f"{own}low"].contains(keywords[0])
     for word in keywords[1:]:
-        hit = hit | gated["_low"].contains(word)
-    hit = hit | (gated["_low"].contains(UNDER) & body.rlike(_regex(f"(?:{VERBS}) {UNDER}")))
-    gated = gated.withColumn("_gate", hit)
+        hit = hit | gated[f"{own}low"].contains(word)
+    hit = hit | (gated[f"{own}low"].contains(UNDER) & body.rlike(_regex(f"(?:{VERBS}) {UNDER}")))
+    gated = gated.withColumn(f"{own}gate", hit)
     word_count = lambda s: count_parts(s, NOT_WORD)
 
     def places(phrase: str) -> Column:
@@ -222,18 +225,18 @@ def scan_licenses(docs: DataFrame, text: str = "text") -> DataFrame:
         return let(F.split(body, F.lit(pattern), -1), lambda gaps: F.when(F.size(gaps) > 1, numbered(gaps)))
 
     base = F.array(*[F.struct(F.lit(label).alias("label"), places(phrase).alias("at")) for phrase, label in BASE.items()])
-    found = F.when(gated["_gate"], F.filter(base, lambda b: b["at"].isNotNull()))
+    found = F.when(gated[f"{own}gate"], F.filter(base, lambda b: b["at"].isNotNull()))
     empty = F.array().cast("array<struct<label:string,at:array<bigint>>>")
     none = F.array().cast("array<struct<start:bigint,less_end:bigint,level:int,rule:int,label:string>>")
     scanned = (
-        gated.withColumn("_base", F.coalesce(found, empty))
-        .withColumn("_found", F.coalesce(F.when(gated["_gate"], let(_detections(body, F.col("_low")), _suppressed)), none))
+        gated.withColumn(f"{own}base", F.coalesce(found, empty))
+        .withColumn(f"{own}found", F.coalesce(F.when(gated[f"{own}gate"], let(_detections(body, F.col(f"{own}low")), _suppressed)), none))
     )
-    doubt = F.aggregate(F.col("_found"), F.lit(1.0), lambda a, d: a * F.when(d["level"] == 1, 1 - LEVEL_WEIGHT[1]).when(
+    doubt = F.aggregate(F.col(f"{own}found"), F.lit(1.0), lambda a, d: a * F.when(d["level"] == 1, 1 - LEVEL_WEIGHT[1]).when(
         d["level"] == 2, 1 - LEVEL_WEIGHT[2]).otherwise(1 - LEVEL_WEIGHT[3]))
-    score = F.greatest(1 - doubt, F.when(F.size("_base") > 0, F.lit(0.5)).otherwise(F.lit(0.0)))
-    detections = F.transform(F.col("_found"), lambda d: F.struct(
+    score = F.greatest(1 - doubt, F.when(F.size(f"{own}base") > 0, F.lit(0.5)).otherwise(F.lit(0.0)))
+    detections = F.transform(F.col(f"{own}found"), lambda d: F.struct(
         d["start"].alias("start"), (-d["less_end"]).alias("end"), d["level"].alias("level"), d["label"].alias("label"), d["rule"].alias("rule")))
     licence = F.struct(
-        word_count(body).alias("n_words"), F.col("_base").alias("base"), detections.alias("detections"), score.alias("score"))
-    return scanned.withColumn("license", licence).drop("_low", "_gate", "_base", "_found")
+        word_count(body).alias("n_words"), F.col(f"{own}base").alias("base"), detections.alias("detections"), score.alias("score"))
+    return scanned.withColumn("license", licence).drop(f"{own}low", f"{own}gate", f"{own}base", f"{own}found")

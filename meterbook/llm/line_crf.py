@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .samples import training_sample
-from .shared import portions
+from .shared import fresh, portions
 
 MOST_DOCS = 4_000
 STEPS = 150
@@ -227,9 +227,10 @@ def judge(docs: DataFrame, labels: DataFrame, id: str = "doc_id") -> DataFrame:
 
 
 def good_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, id: str = "doc_id") -> DataFrame:
-    """The rows of docs whose score reaches the threshold, with all their columns; rows with a null id are scored like others."""
-    model = train(docs, labels, id=id)
-    key = "_crf_text"
-    scored = score_quality(docs.withColumn(key, docs["text"]).withColumnRenamed("score", "_own_score") if "score" in docs.columns else docs.withColumn(key, docs["text"]), model, key)
+    """The rows of docs whose score reaches the threshold, with all their columns whatever their names; rows with a null id are scored like others."""
+    model, own = train(docs, labels, id=id), fresh(docs, "_crf_")
+    hidden = {c: f"{own}own_{c}" for c in docs.columns if c.lower() == "score"}
+    key = f"{own}text"
+    scored = score_quality(docs.withColumn(key, docs["text"]).withColumnsRenamed(hidden), model, key)
     kept = scored.filter(scored["score"] >= threshold).drop("score")
-    return kept.withColumnRenamed("_own_score", "score") if "score" in docs.columns else kept
+    return kept.withColumnsRenamed({new: old for old, new in hidden.items()}).select(*docs.columns)

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .shared import stored
+from .shared import fresh, stored
 
 TEMPERATURE = 0.5
 MOST_RATE = 16.0  # of one draw
@@ -50,17 +50,9 @@ def rates(docs: DataFrame, source: str = "source", text: str = "text", weights:
     return stored(weighed.select("of", "chars", "rate", "draws", below["all"].alias("below")))
 
 
-def _fresh(docs: DataFrame) -> str:
-    """A prefix that no column of docs has."""
-    prefix = "_mix_"
-    while any(c.lower().startswith(prefix) for c in docs.columns):
-        prefix = "_" + prefix
-    return prefix
-
-
 def replicate(docs: DataFrame, id: str = "doc_id", source: str = "source", text: str = "text", weights: dict[str, float] | None = None, seed: int = SEED) -> DataFrame:
     """docs with `copy` (from 1), `rate` and `order_key`, each row as often as its count says, in no order. docs must not have columns of these names."""
-    own = _fresh(docs)
+    own = fresh(docs, "_mix_")
     by = rates(docs, source, text, weights)
     by = by.withColumnsRenamed({c: own + c for c in by.columns})
     counted = docs.join(by, docs[source].eqNullSafe(by[f"{own}of"]))
@@ -76,7 +68,7 @@ def replicate(docs: DataFrame, id: str = "doc_id", source: str = "source", text:
 
 def mixed(docs: DataFrame, **options) -> DataFrame:
     """The mixture in its global order, with the columns of docs only, whatever their names."""
-    own, added = _fresh(docs), ("copy", "rate", "order_key")
+    own, added = fresh(docs, "_mix_"), ("copy", "rate", "order_key")
     hidden = {c: f"{own}own_{c}" for c in docs.columns if c.lower() in added}
     out = replicate(docs.withColumnsRenamed(hidden), **options)
     out = out.repartitionByRange("order_key").sortWithinPartitions("order_key").drop(*added)

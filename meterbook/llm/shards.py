@@ -6,7 +6,7 @@ the wanted byte count, until a candidate is within the tolerance. Then the rows
 driver: shards x probes numbers a round.
 
 Rows with equal texts have one hash and stay in one shard, unless a group is so large that it would break the byte law: then the splitter
-falls inside the group, between two ids. Rows equal in text and id cannot be told apart and stay together. Null text has no bytes and a null
+falls inside the group, between two ids (between their hashes, if ids are not whole numbers). Rows equal in text and id cannot be told apart and stay together. Null text has no bytes and a null
 id sorts first. An empty table gives no rows.
 
 Each shard is cut into ranges of keys for numbering: slots are row numbers in a range plus the exact rows of the ranges before it, so no task
@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from .shared import stored
 
@@ -83,9 +83,11 @@ def splitters(rows: DataFrame, column: str, targets: list[int], slack: int) -> l
 def shard_rows(docs: DataFrame, shards: int = SHARDS, id: str = "doc_id", text: str = "text", tolerance: float = TOLERANCE) -> DataFrame:
     """(id, key, size, text_crc32, shard, slot): one row per row of docs; sizes of shards differ by little, slots are gapless from 0."""
     body = F.coalesce(F.col(text), F.lit(""))
+    # splits a group of equal texts; ids that are no whole numbers are split by their hash
+    second = F.col(id).cast("long") if isinstance(docs.schema[id].dataType, T.IntegralType) else F.when(F.col(id).isNotNull(), F.xxhash64(id))
     rows = stored(docs.select(
         F.col(id).alias("id"), F.xxhash64(body).alias("key"), (F.octet_length(body) + F.lit(OVERHEAD)).cast("long").alias("size"),
-        F.crc32(F.encode(body, "UTF-8")).alias("text_crc32"), F.coalesce(F.col(id).cast("long"), F.lit(LOW)).alias("second")))
+        F.crc32(F.encode(body, "UTF-8")).alias("text_crc32"), F.coalesce(second, F.lit(LOW)).alias("second")))
     total = rows.agg(F.sum("size")).first()[0] or 0
     targets = [total * i // shards for i in range(1, shards)]
     slack = int(tolerance * total / shards)

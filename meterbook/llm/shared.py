@@ -42,6 +42,13 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def fresh(docs: DataFrame, prefix: str) -> str:
+    """The prefix, with more underscores if need be, so that no column of docs begins with it."""
+    while any(c.lower().startswith(prefix) for c in docs.columns):
+        prefix = "_" + prefix
+    return prefix
+
+
 def portions(batches: Iterator[pa.RecordBatch], rows: int = PORTION) -> Iterator[pa.RecordBatch]:
     """The same rows in smaller batches, so that a task holds Python objects of few texts at a time."""
     for batch in batches:

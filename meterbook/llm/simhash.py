@@ -24,13 +24,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .graph import components
-from .shared import portions, stored
+from .shared import fresh, portions, stored
 
-SHINGLE, STAGE_SHINGLE = 4, 5
-#: Bits in which linked fingerprints differ at most. Five bits still leave two or fewer to one half, so the same anchors serve.
-MOST_BITS, STAGE_BITS = 4, 5
+SHINGLE = 4
+#: Bits in which linked fingerprints differ at most. Up to five leave two or fewer to one half, so the same anchors serve.
+MOST_BITS = 4
 SEED = 42
 BLOCK = 1 << 15
+#: Fingerprints whose links a task remembers; beyond that it starts afresh and may repeat a link, which changes nothing.
+REMEMBERED = 500_000
 
 
 def fingerprint(text: bytes, size: int) -> int:
@@ -98,7 +100,7 @@ def links(fps: DataFrame, most_bits: int = MOST_BITS) -> DataFrame:
 
 
 def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Without links between parts that earlier links of the same task join already."""
+    """Without links between parts that remembered links of the same task join already."""
     parent: dict[int, int] = {}
 
     def root(x: int) -> int:
@@ -107,6 +109,8 @@ def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return x
 
     for batch in batches:
+        if len(parent) > REMEMBERED:
+            parent.clear()
         kept = []
         for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             x, y = root(a), root(b)
@@ -119,7 +123,9 @@ def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def near_groups(docs: DataFrame, size: int = SHINGLE, most_bits: int = MOST_BITS, id: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, text_key, fp, root): root is the same number for all documents that links connect."""
     rows = stored(fingerprints(docs, size, id, text))
-    joined = components(links(rows.select("fp").distinct(), most_bits))
+    # dealt by number, not by size: a task makes 156 replicas a half of each of its fingerprints
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    joined = components(links(rows.select("fp").distinct().repartition(tasks, "fp"), most_bits))
     return rows.join(joined, rows["fp"] == joined["a"], "left").select(
         rows["id"], "text_key", "fp", F.coalesce("root", rows["fp"]).alias("root"))
 
@@ -132,17 +138,19 @@ def component_ids(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Da
     return rows.join(least, "root").select(F.col("id").alias(id), "fp", "component_id")
 
 
-def one_of_each(docs: DataFrame, size: int = STAGE_SHINGLE, most_bits: int = STAGE_BITS, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of docs, with all columns, that have the smallest (id, text_key) of their component; of repeated rows one stays."""
+def one_of_each(docs: DataFrame, size: int = SHINGLE, most_bits: int = MOST_BITS, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of docs, with all columns whatever their names, that have the smallest (id, text_key) of their component; of repeated rows one stays."""
     rows = stored(near_groups(docs, size, most_bits, id, text))
     first = rows.groupBy("root").agg(F.min(F.struct("id", "text_key")).alias("first")).select("first.*")
-    repeats = rows.groupBy("id", "text_key").agg(F.count(F.lit(1)).alias("_copies"))
+    repeats = rows.groupBy("id", "text_key").agg(F.count(F.lit(1)).alias("copies"))
+    own = fresh(docs, "_near_")
+    first_id, key, copies = f"{own}id", f"{own}key", f"{own}copies"
     chosen = stored(first.join(repeats, first["id"].eqNullSafe(repeats["id"]) & (first["text_key"] == repeats["text_key"])).select(
-        first["id"].alias("_first"), first["text_key"].alias("_key"), "_copies"))
-    same = docs[id].eqNullSafe(F.col("_first")) & (F.xxhash64(F.coalesce(docs[text], F.lit(""))) == F.col("_key"))
+        first["id"].alias(first_id), first["text_key"].alias(key), F.col("copies").alias(copies)))
+    same = docs[id].eqNullSafe(F.col(first_id)) & (F.xxhash64(F.coalesce(docs[text], F.lit(""))) == F.col(key))
 
-    def kept(which: str) -> DataFrame:
+    def kept(which: Column) -> DataFrame:
         return docs.join(chosen.filter(which), same)
 
-    return kept("_copies = 1").drop("_first", "_key", "_copies").unionByName(
-        kept("_copies > 1").dropDuplicates(["_first", "_key"]).drop("_first", "_key", "_copies"))
+    once, more = kept(F.col(copies) == 1), kept(F.col(copies) > 1).dropDuplicates([first_id, key])
+    return once.unionByName(more).drop(first_id, key, copies)
