@@ -17,7 +17,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, over shingles of five words."""
+    """One document of each group of near duplicates, by the operator's own shingles and bits."""
     return simhash.one_of_each(docs).select(*docs.columns)
 
 
