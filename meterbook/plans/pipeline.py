@@ -6,10 +6,12 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.storage import run_folder, stored
+from ..functions.storage import remove, run_folder, stored
 from ..operators import allocation, line_revenue, line_rules, matching, rating, summaries
 from ..operators.invoice_rules import per_client, rule_lines
-from ..sources.feeds import merge_horizon, months_between, movement_union
+from ..operators.ordered import join_same
+from ..sources.feeds import merge_horizon, month_start, months_between, movement_union
+from .changes import GROUP, changed_groups, fingerprints, in_doubt
 from .upsert import MONTH, existing_table, only_unique, rewrite_months, write_table
 
 LINES = {
@@ -27,8 +29,9 @@ def run_pipeline(
     """Run everything as of a day and write it below the folder `out`; returns the tables by name.
 
     A run replaces whole months, from three months before `as_of` on, in all tables by month: what these months no
-    longer produce goes, older months stay as they were stored. A table that is not there yet gets all months that the
-    run reads. Intermediate tables lie in a folder below `out` that the run removes. With `views` each result is also a
+    longer produce goes, older months stay as they were stored. Of these months, those whose rule rows are as the run
+    before left them are not written again, and in the others only customers with other rule rows are rated again (see
+    `changes`). A table that is not there yet gets all months that the run reads. Intermediate tables lie in a folder below `out` that the run removes. With `views` each result is also a
     temporary view. `names` gives tables (and views) other names than the keys of the result.
     """
     spark = next(iter(sources.values())).sparkSession
@@ -62,21 +65,58 @@ def _run(
     def recent(df: DataFrame) -> DataFrame:
         return df.filter(F.col(MONTH) >= F.lit(horizon))
 
-    def by_month(name: str, make, *inputs: DataFrame) -> DataFrame:
-        """The table of make(*inputs), written for the recent months, or for all if it is new."""
-        if existing_table(spark, path(name)) is None:
-            return keep(name, rewrite_months(make(*inputs), path(name), []))
-        cut = recent(make(*map(recent, inputs)))
-        return keep(name, rewrite_months(cut, path(name), months_between(horizon, as_of)))
+    def month_last(df: DataFrame) -> DataFrame:
+        """As Spark reads tables by month."""
+        return df.select(*[c for c in df.columns if c != MONTH], MONTH)
 
     lines = table("invoice_lines", rule_lines(sources, as_of))
     rules_per_client = keep("invoice_rules", per_client(lines))
-    # matched once; duplicates are looked for before anything is replaced
-    matches = stored(matching.match_rules(movement_union(sources, as_of), matching.compile_rules(lines)))
-    fresh = only_unique(line_rules.all_rules(rules_per_client, matches), matching.MERGE_KEY, on_duplicate)
-    rules = by_month("rules", lambda: fresh)
+    matches = matching.match_rules(movement_union(sources, as_of), matching.compile_rules(lines))
+
+    marks_path = path("rule_marks")
+    old_rules, old_marks = existing_table(spark, path("rules")), existing_table(spark, marks_path)
+    whole = old_rules is None or old_marks is None
+    if whole:
+        # matched once; duplicates are looked for before anything is replaced
+        fresh = only_unique(line_rules.all_rules(rules_per_client, stored(matches)), matching.MERGE_KEY, on_duplicate)
+        marks, months = stored(fingerprints(recent(fresh), exact_cents, on_duplicate)), months_between(horizon, as_of)
+        remove(spark, marks_path)
+    else:
+        marks = stored(fingerprints(recent(line_rules.all_rules(rules_per_client, matches)), exact_cents, on_duplicate))
+        old_marks = old_marks.filter(F.col(MONTH).between(F.lit(horizon), F.lit(month_start(as_of))))
+        changed = stored(changed_groups(old_marks, marks))
+        months = sorted(r[0] for r in changed.select(MONTH).distinct().collect())  # one row per calendar month
+
+    def cut(df: DataFrame) -> DataFrame:
+        return recent(df) if whole else df.filter(F.col(MONTH).isin(months))
+
+    if not whole and months:
+        matches = stored(cut(matches))
+        fresh = only_unique(cut(line_rules.all_rules(rules_per_client, matches)), matching.MERGE_KEY, on_duplicate)
+        # a run that dies from here on leaves customer-months that the next one prices again
+        rewrite_months(in_doubt(cut(old_marks), changed), marks_path, months)
+
+    def by_month(name: str, make, *inputs: DataFrame, again: list[dt.date] | None = None) -> DataFrame:
+        """The table of make(*inputs), written for the months to replace (or those given), or for all if it is new."""
+        old = existing_table(spark, path(name))
+        if old is None:
+            return keep(name, rewrite_months(month_last(make(*inputs)), path(name), []))
+        if again is not None:
+            return keep(name, rewrite_months(month_last(recent(make(*map(recent, inputs)))), path(name), again))
+        if not months:
+            return keep(name, month_last(old))
+        return keep(name, rewrite_months(month_last(cut(make(*map(cut, inputs)))), path(name), months))
+
+    def rate(rules: DataFrame) -> DataFrame:
+        """The rated rows: those of customer-months that did not change as they are stored."""
+        old = None if whole else existing_table(spark, path("rated_usage"))
+        if old is None:
+            return rating.rate_transactions(rules, chunks)
+        rated = rating.rate_transactions(join_same(rules, changed, GROUP, "left_semi"), chunks)
+        return join_same(cut(old), changed, GROUP, "left_anti").unionByName(rated)
 
-    rated = by_month("rated_usage", lambda r: rating.rate_transactions(r, chunks), rules)
+    rules = by_month("rules", lambda: fresh)
+    rated = by_month("rated_usage", rate, rules)
     line_rows = table("line_rules", line_revenue.line_rule_rows(rules))
     base = {
         kind: by_month(name, lambda r, kind=kind: line_revenue.fixed_line_revenue(r, kind, exact_cents), line_rows)
@@ -95,7 +135,10 @@ def _run(
         table("true_up_revenue", line_revenue.true_up_mart(base["true_up"])),
     ]
     calculated = keep("revenue", allocation.revenue_calculated(*marts))
-    summary = by_month("calculated_summary", summaries.calculated_summary, calculated)
+    # it completes the months of a group between its first and last one, so it looks at all recent months at once
+    summary = by_month("calculated_summary", summaries.calculated_summary, calculated, again=months_between(horizon, as_of))
     invoiced = keep("invoiced_summary", summaries.invoiced_summary(sources))
     table("reconciliation", summaries.reconciliation(summary, invoiced))
+    if whole or months:
+        rewrite_months(cut(marks), marks_path, [] if whole else months)
     return tables

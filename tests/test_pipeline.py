@@ -1,6 +1,7 @@
 """The whole run, its repetition, and the shape of its plans."""
 
 import datetime as dt
+import pathlib
 import re
 
 import pytest
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 
 from checks import queries
 from meterbook.functions.storage import stored
+from meterbook.operators import allocation, rating
 from meterbook.operators.rating import rate_transactions
 from meterbook.plans.pipeline import run_pipeline
 from meterbook.sources.feeds import movement_union
@@ -41,6 +43,57 @@ def test_second_run_changes_nothing(sources, first_run):
     assert again["rated_usage"].sparkSession.table("revenue").count() == counts["revenue"]
 
 
+def no_rating(rules, chunks=None):
+    raise AssertionError("nothing is to be rated")
+
+
+def test_unchanged_sources_are_not_rated_again(sources, first_run, monkeypatch):
+    out, _, counts = first_run
+    written = {f: f.stat().st_mtime_ns for name in ("rules", "rated_usage", "month_shares", "usage_revenue") for f in pathlib.Path(out, name).rglob("*.parquet")}
+    monkeypatch.setattr(rating, "rate_transactions", no_rating)
+    again = run_pipeline(sources, AS_OF, out)
+    assert {name: df.count() for name, df in again.items()} == counts
+    assert written == {f: f.stat().st_mtime_ns for name in ("rules", "rated_usage", "month_shares", "usage_revenue") for f in pathlib.Path(out, name).rglob("*.parquet")}
+
+
+BY_MONTH = ["rules", "rated_usage", "month_shares", "usage_revenue", "fee_lines", "discount_lines", "true_up_lines", "calculated_summary", "reconciliation"]
+
+
+def equal(one, other, names=BY_MONTH):
+    for name in names:
+        assert one[name].columns == other[name].columns, name
+        assert one[name].exceptAll(other[name]).isEmpty() and other[name].exceptAll(one[name]).isEmpty(), name
+
+
+def test_only_changed_customers_are_rated_again_also_after_a_run_that_died(sources, first_run, tmp_path, monkeypatch):
+    whole = first_run[1]
+    movement = whole["rated_usage"].filter("mm_id is not null").groupBy("mm_id").agg(F.min("sequence_customer_id").alias("who"), F.min("transaction_month").alias("month")).orderBy("mm_id").first()
+    other = {name: df.withColumn("total_amount", F.when(F.col("id") == movement.mm_id, F.col("total_amount") + 1).otherwise(F.col("total_amount")).cast(df.schema["total_amount"].dataType))
+             if "total_amount" in df.columns else df for name, df in sources.items()}
+    out, rate, rated = str(tmp_path / "out"), rating.rate_transactions, []
+    run_pipeline(sources, AS_OF, out)
+
+    def counted(rules, chunks=None):
+        rated.append({tuple(r) for r in rules.select("transaction_month", "sequence_customer_id").distinct().collect()})
+        return rate(rules, chunks)
+
+    def broken(*_):
+        raise RuntimeError("an executor too many was lost")
+
+    monkeypatch.setattr(rating, "rate_transactions", counted)
+    with monkeypatch.context() as m:
+        m.setattr(allocation, "month_shares", broken)
+        with pytest.raises(RuntimeError):
+            run_pipeline(other, AS_OF, out)
+    groups = whole["rules"].select("transaction_month", "sequence_customer_id").distinct().count()
+    assert (movement.month, movement.who) in rated[0] and len(rated[0]) < groups / 4
+    # the sources are as before the run that died: what it wrote must go
+    equal(run_pipeline(sources, AS_OF, out), whole)
+    assert rated[1] == rated[0]
+    equal(run_pipeline(other, AS_OF, out), run_pipeline(other, AS_OF, str(tmp_path / "fresh")))
+    assert rated[2] == rated[0]
+
+
 def test_old_months_stay(sources, first_run):
     out, _, counts = first_run
     later = run_pipeline(sources, dt.date(1998, 5, 20), out)
@@ -80,9 +133,7 @@ def test_what_is_no_longer_charged_goes(spark, sources, tmp_path):
     fewer["customers"] = sources["customers"].filter(F.col("id") != gone)
     again = run_pipeline(fewer, AS_OF, out)
     fresh = run_pipeline(fewer, AS_OF, f"{out}-fresh")
-    for name in ("rules", "rated_usage", "month_shares", "usage_revenue", "fee_lines", "discount_lines", "true_up_lines", "calculated_summary", "reconciliation"):
-        # every month of the sample is recent, so a second run must equal a first one on the same sources
-        assert again[name].exceptAll(fresh[name]).isEmpty() and fresh[name].exceptAll(again[name]).isEmpty(), name
+    equal(again, fresh)  # every month of the sample is recent, so a second run must equal a first one on the same sources
     assert again["rated_usage"].filter((F.col("transaction_month") == march) & F.col("mm_id").isNotNull()).isEmpty()
     assert not before["rated_usage"].sparkSession.read.parquet(f"{out}/rules").filter(F.col("transaction_month") == march).isEmpty()
 
