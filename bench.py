@@ -20,6 +20,7 @@ from meterbook.functions.storage import stored  # noqa: E402
 from meterbook.operators import allocation, invoice_rules, line_rules, match_exact, matching, rating, summaries  # noqa: E402
 from meterbook.plans.pipeline import run_pipeline  # noqa: E402
 from meterbook.session import local_session  # noqa: E402
+from meterbook.sources.schemas import PROPERTIES  # noqa: E402
 from checks.sample import AS_OF  # noqa: E402
 
 RUNS = int(os.environ.get("BENCH_RUNS", "3"))
@@ -46,7 +47,7 @@ def main(scratch: str) -> None:
     spark.sparkContext.setCheckpointDir(scratch)
     s = stages(spark, folder)
     s.sources
-    exact = stored(s.exact)
+    exact = stored(match_exact.match_exact(s.exact_movements, s.exact_rules, CLIENT_MONTH, PROPERTIES, with_text=False))
     steps = {
         "invoice_rules": lambda: invoice_rules.invoice_rules(s.sources, AS_OF),
         "match_rules": lambda: matching.match_rules(s.movements, matching.compile_rules(s.lines)),

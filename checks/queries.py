@@ -150,9 +150,13 @@ class Stages:
     def exact(self) -> DataFrame:
         return match_exact.match_exact(self.exact_movements, self.exact_rules, CLIENT_MONTH, PROPERTIES)
 
+    @cached_property
+    def summarized(self) -> dict[str, DataFrame]:
+        return match_exact.rate_and_summarize(self.exact_movements, self.exact_rules, CLIENT_MONTH, PROPERTIES)
+
     @cached_property
     def exact_rated(self) -> DataFrame:
-        return stored(match_exact.revenue_by_match_count(self.exact, CLIENT_MONTH))
+        return self.summarized["rated"]
 
     @cached_property
     def orders(self) -> DataFrame:
@@ -228,7 +232,8 @@ def fixed_line_revenue(s: Stages) -> DataFrame:
 
 def exact_pairs(s: Stages) -> DataFrame:
     return s.exact.select("mm_id", *CLIENT_MONTH, F.posexplode_outer("matches").alias("pos", "m")).select(
-        "mm_id", *CLIENT_MONTH, F.col("pos").cast("bigint").alias("pos"), "m.*"
+        "mm_id", *CLIENT_MONTH, F.col("pos").cast("bigint").alias("pos"),
+        *[f"m.{f}" for f in ("match", "price_structure", "price_minimum_amount", "consumes_saas")],
     )
 
 
@@ -400,6 +405,7 @@ _QUERIES: dict[str, Callable[[Stages], DataFrame]] = {
     "top_matches": lambda s: match_exact.top_matches(s.exact_rated),
     "match_stats": lambda s: match_exact.match_statistics(s.exact),
     "per_match_totals": lambda s: match_exact.match_totals(s.exact_rated),
+    "rate_and_summarize": lambda s: s.summarized["summary"],
     "input_profile": lambda s: match_exact.input_profile(s.exact_movements, s.exact_rules),
     "flag_matches": flag_matches,
     "classify_payouts": lambda s: payouts.classify_payouts(
