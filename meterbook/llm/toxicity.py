@@ -43,6 +43,12 @@ ADDRESS = frozenset("you your yours u ur such tu toi vous du dich dein sie usted
 FEATURES = 9
 
 
+def _swapped(word: str) -> tuple[str, str]:
+    """The halves of a word of even length whose two middle letters change places."""
+    half = len(word) // 2
+    return word[:half - 1] + word[half], word[half - 1] + word[half + 1:]
+
+
 @dataclass
 class Trie:
     """Nodes are dictionaries by letter; "" holds the weight of a term that ends there, STEMS that of a stem, which any letters may follow."""
@@ -74,12 +80,21 @@ class Trie:
 
     def near_stem(self, word: str) -> bool:
         """Whether one edit may lead to a beginning that is a stem: it leaves the stem's first half, or its last half at most one letter off."""
+        if len(word) >= STEM[1] and STEM[1] % 2 == 0:  # letters swapped across the middle change both halves of the longest stems
+            half = STEM[1] // 2
+            head, tail = _swapped(word[:STEM[1]])
+            if head in self.heads and (STEM[1], 0, tail) in self.middles and len(head) == half:
+                return True
         return len(word) >= STEM[0] - 1 and (any(word[:n // 2] in self.heads for n in range(STEM[0], STEM[1] + 1)) or any(
             (n, shift, word[n - n // 2 + shift:n + shift]) in self.middles for n in range(STEM[0], STEM[1] + 1) for shift in (-1, 0, 1)))
 
     def near(self, word: str) -> bool:
-        """Whether one edit may lead to a term: an edit leaves the first or the last half as it is."""
+        """Whether one edit (letters swapped with their neighbours are one) may lead to a term: an edit leaves the first or the last half as it is."""
         n = len(word)
+        if n >= LEAST_FUZZY and n % 2 == 0:  # but letters swapped across the middle change both
+            head, tail = _swapped(word)
+            if head in self.starts and tail in self.ends:
+                return True
         return n >= LEAST_FUZZY - 1 and any(word[:h] in self.starts or word[-h:] in self.ends for h in range(max(2, (n - 1) // 2), (n + 1) // 2 + 1))
 
     def best_stem(self, word: str) -> tuple[float, int]:
@@ -87,9 +102,9 @@ class Trie:
         masks: dict[str, int] = {}
         for i, c in enumerate(word):
             masks[c] = masks.get(c, 0) | 1 << i
-        found, stack = (0.0, 2), [(self.root, 1, 0b11, 0)]
+        found, stack = (0.0, 2), [(self.root, 1, 0b11, 0, 0)]
         while stack:
-            node, exact, edited, depth = stack.pop()
+            node, exact, edited, swap, depth = stack.pop()
             if STEMS in node:
                 edits = 0 if exact else 1
                 if (edits == 0 or depth >= LEAST_FUZZY) and (-edits, node[STEMS]) > (-found[1], found[0]):
@@ -98,9 +113,9 @@ class Trie:
                 if len(c) == 1:
                     hit = masks.get(c, 0)
                     step = (exact & hit) << 1
-                    after = (((edited & hit) << 1) | (exact << 1) | exact | (step << 1)) & ((2 << len(word)) - 1)
+                    after = (((edited & hit) << 1) | (exact << 1) | exact | (step << 1) | ((swap & hit) << 2)) & ((2 << len(word)) - 1)
                     if step | after:
-                        stack.append((child, step, after, depth + 1))
+                        stack.append((child, step, after, exact & (hit >> 1), depth + 1))
         return found
 
     def best(self, word: str) -> tuple[float, int]:
@@ -109,9 +124,9 @@ class Trie:
         for i, c in enumerate(word):
             masks[c] = masks.get(c, 0) | 1 << i
         accept, found = 1 << len(word), (0.0, 2)
-        stack = [(self.root, 1, 0b11, 0)]
+        stack = [(self.root, 1, 0b11, 0, 0)]
         while stack:
-            node, exact, edited, depth = stack.pop()
+            node, exact, edited, swap, depth = stack.pop()
             if "" in node and (exact | edited) & accept:
                 edits = 0 if exact & accept else 1
                 if (edits == 0 or depth >= LEAST_FUZZY) and (-edits, node[""]) > (-found[1], found[0]):
@@ -120,9 +135,9 @@ class Trie:
                 if len(c) == 1:
                     hit = masks.get(c, 0)
                     step = (exact & hit) << 1
-                    after = ((edited & hit) << 1) | (exact << 1) | exact | (step << 1)
+                    after = ((edited & hit) << 1) | (exact << 1) | exact | (step << 1) | ((swap & hit) << 2)
                     if step | after:
-                        stack.append((child, step, after, depth + 1))
+                        stack.append((child, step, after, exact & (hit >> 1), depth + 1))
         return found
 
 

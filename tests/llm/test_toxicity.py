@@ -7,12 +7,16 @@ from meterbook.llm.queries import op8_toxicity
 
 
 def edits(a, b):
-    row = list(range(len(b) + 1))
+    """Least number of letters added, left out, changed, or swapped with their neighbours."""
+    rows = [list(range(len(b) + 1))]
     for i, x in enumerate(a, 1):
-        last, row[0] = row[0], i
+        row = [i]
         for j, y in enumerate(b, 1):
-            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
-    return row[-1]
+            row.append(min(rows[-1][j] + 1, row[j - 1] + 1, rows[-1][j - 1] + (x != y)))
+            if i > 1 and j > 1 and x == b[j - 2] and y == a[i - 2]:
+                row[j] = min(row[j], rows[-2][j - 2] + 1)
+        rows.append(row)
+    return rows[-1][-1]
 
 
 def test_automaton_equals_edit_distance():
@@ -29,7 +33,7 @@ def test_automaton_equals_edit_distance():
 
 def test_misspelled_stems_and_quotation():
     lexicon = toxicity.Lexicon({"scoundrel": 1.0, "fool": 0.8}, {"vilif": 0.9})
-    assert lexicon.look("scoundrel") == (1.0, 0) and lexicon.look("scoundrle") is None and lexicon.look("scondrel") == (1.0, 1)
+    assert lexicon.look("scoundrel") == (1.0, 0) and lexicon.look("scoundrle") == (1.0, 1) and lexicon.look("scondrel") == (1.0, 1)
     assert lexicon.look("sc0undrel") == (1.0, 0) and lexicon.look("sc0undrels") == (1.0, 1) and lexicon.look("vilification") == (0.9, 2) and lexicon.look("foul") is None
     plain = toxicity.features("You are a scoundrel and more", lexicon)
     quoted = toxicity.features('They said "scoundrel" once and more', lexicon)
@@ -57,6 +61,15 @@ def test_odd_texts_and_missing_labels(spark):
     assert len({r.score for r in none}) == 1
 
 
+def test_swapped_letters_are_found_wherever_they_are():
+    lexicon = toxicity.Lexicon({"scoundrel": 1.0, "worthless": 0.9, "villains": 0.8}, {"despic": 0.7})
+    for word, weight in (("scoundrel", 1.0), ("villains", 0.8), ("despic", 0.7)):
+        for i in range(len(word) - 1):
+            if word[i] != word[i + 1]:
+                assert lexicon.look(word[:i] + word[i + 1] + word[i] + word[i + 2:]) == (weight, 1), (word, i)
+    assert lexicon.look("wrothless") == (0.9, 1) and lexicon.look("dsepicable") == (0.7, 1) and lexicon.look("csodunrel") is None
+
+
 def test_stems_are_found_misspelled_and_disguised():
     lexicon = toxicity.Lexicon({"scoundrel": 1.0, "vilifying": 0.7}, {"vilif": 0.9, "fool": 0.8})
     assert lexicon.look("v1lification") == (0.9, 2) and lexicon.look("vilofication") == (0.9, 1) and lexicon.look("f00lish") == (0.8, 2)
