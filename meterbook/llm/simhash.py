@@ -123,9 +123,10 @@ def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def near_groups(docs: DataFrame, size: int = SHINGLE, most_bits: int = MOST_BITS, id: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, text_key, fp, root): root is the same number for all documents that links connect."""
     rows = stored(fingerprints(docs, size, id, text))
-    # dealt by number, not by size: a task makes 156 replicas a half of each of its fingerprints
+    # dealt by number, not by size: a task makes 156 replicas a half of each of its fingerprints; by another expression
+    # than the one they are grouped by, or Spark leaves this out
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    joined = components(links(rows.select("fp").distinct().repartition(tasks, "fp"), most_bits))
+    joined = components(links(rows.select("fp").distinct().repartition(tasks, F.xxhash64("fp")), most_bits))
     return rows.join(joined, rows["fp"] == joined["a"], "left").select(
         rows["id"], "text_key", "fp", F.coalesce("root", rows["fp"]).alias("root"))
 
