@@ -3,7 +3,7 @@
 A source with target weight w gets the repetition rate w * all characters / its characters. Every document takes a uniform number from a hash of seed and id,
 inverts the Poisson distribution with its source's rate at that number, and is repeated that many times, perhaps not at all. So a
 document's count depends on nothing but itself and its source's rate: tasks can be lost and repeated. Copies are then ordered by a hash over
-all of the data: a range exchange and a sort.
+all of the data: an exchange at equal borders of the hash and a sort.
 
 Weights are a parameter (source to weight); without them a source's weight is its share of characters to the power TEMPERATURE. Rates are what the weights
 ask for; a rate over MOST_RATE is the sum of independent draws of equal rates that are not over it. A null source is a source of its own; null texts have no characters, and every document of a source without
@@ -66,10 +66,17 @@ def replicate(docs: DataFrame, id: str = "doc_id", source: str = "source", text:
     return copies.withColumnRenamed(f"{own}rate", "rate").withColumn("order_key", key).drop(*[own + c for c in ("of", "chars", "draws", "below", "count")])
 
 
+def in_order(copies: DataFrame, key: str = "order_key") -> DataFrame:
+    """Rows in the global order of the key, a uniform hash: dealt at equal borders of its first 32 bits, so nothing is sampled first."""
+    tasks = int(copies.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    first = F.conv(F.substring(key, 1, 8), 16, 10).cast("long")
+    return copies.repartitionById(tasks, F.shiftright(first * F.lit(tasks), 32).cast("int")).sortWithinPartitions(key)
+
+
 def mixed(docs: DataFrame, **options) -> DataFrame:
     """The mixture in its global order, with the columns of docs only, whatever their names."""
     own, added = fresh(docs, "_mix_"), ("copy", "rate", "order_key")
     hidden = {c: f"{own}own_{c}" for c in docs.columns if c.lower() in added}
     out = replicate(docs.withColumnsRenamed(hidden), **options)
-    out = out.repartitionByRange("order_key").sortWithinPartitions("order_key").drop(*added)
+    out = in_order(out).drop(*added)
     return out.withColumnsRenamed({new: old for old, new in hidden.items()}).select(*docs.columns)

@@ -49,7 +49,7 @@ def op5_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every copy of every document in the mixture, with its place in the global order."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     copies = mixing.replicate(docs).select("doc_id", "source", F.col("copy").cast("long").alias("copy"), F.round("rate", 6).alias("rate"), "order_key")
-    return copies.repartitionByRange("order_key").sortWithinPartitions("order_key")
+    return mixing.in_order(copies)
 
 
 def op6_simhash_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:

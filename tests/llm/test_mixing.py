@@ -31,6 +31,14 @@ def test_counts_follow_the_distribution(spark):
     assert set(mixing.mixed(docs).columns) == set(docs.columns)
 
 
+def test_one_exchange_gives_the_global_order(spark, small):
+    out = queries.op5_poisson_mixing(spark, small)
+    keys = [r.order_key for r in out.collect()]
+    parts = out.select(F.spark_partition_id().alias("p")).distinct().count()
+    assert keys == sorted(keys) and parts == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert "rangepartitioning" not in out._jdf.queryExecution().executedPlan().toString()
+
+
 def test_null_source_null_text_and_empty(spark):
     docs = spark.createDataFrame([(1, None, None), (2, "abc", None), (None, "x" * 1000, "b"), (4, "", "c")], "doc_id long, text string, source string")
     kept = mixing.mixed(docs).collect()
