@@ -17,7 +17,7 @@ from meterbook.functions.storage import shared_folder, stored
 from meterbook.operators import (
     allocation, invoice_rules, line_revenue, line_rules, match_exact, matching, payouts, rating, summaries,
 )
-from meterbook.plans.upsert import rewrite_months, upsert
+from meterbook.plans.upsert import publish_view, rewrite_months, upsert, write_table
 from meterbook.sources import feeds
 from checks.sample import AS_OF, sample_sources
 from meterbook.sources.schemas import PRICE_STRUCTURE, PROPERTIES
@@ -182,6 +182,14 @@ def feed_window_scan(s: Stages) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def read_sources(s: Stages) -> DataFrame:
+    """What is in the columns of all sources, written to folders of their own and opened by name."""
+    folder = f"{shared_folder(s.spark)}/sources-{uuid.uuid4().hex}"
+    for name, df in s.sources.items():
+        write_table(df, f"{folder}/{name}")
+    return feeds.source_profile(feeds.read_sources(s.spark, {name: f"{folder}/{name}" for name in s.sources}))
+
+
 def client_pull(s: Stages) -> DataFrame:
     parts = [
         feeds.client_pull(s.sources[f], CLIENT, dt.date(1998, 2, 1), dt.date(1998, 2, 28)) for f in feeds.FEEDS
@@ -280,6 +288,24 @@ def incremental_run(s: Stages) -> DataFrame:
     return rewrite_months(recent, path, feeds.months_between(first, last))
 
 
+def table_sink(s: Stages) -> DataFrame:
+    """The latest invoice lines as another session reads them, where a table of other rows and columns was before."""
+    path = f"{shared_folder(s.spark)}/lines-{uuid.uuid4().hex}"
+    write_table(s.line_rows, path)
+    write_table(s.lines, path)
+    return s.spark.newSession().read.parquet(path).select(
+        "sequence_customer_id", "invoice_line_item_id", "group_id", "product_name", "usage_metric", "price_minimum_amount",
+        "net_total", "billing_month", "price_structure_json",
+    )
+
+
+def view_sink(s: Stages) -> DataFrame:
+    """The rules per client as another session finds them under their name."""
+    name = f"rules_{uuid.uuid4().hex}"
+    publish_view(s.rules, name)
+    return s.spark.newSession().table(f"global_temp.{name}")
+
+
 def fn_date(s: Stages) -> DataFrame:
     day = F.to_date("o_orderdate")
     return s.orders.select(
@@ -359,6 +385,7 @@ def fn_json(s: Stages) -> DataFrame:
 
 
 _QUERIES: dict[str, Callable[[Stages], DataFrame]] = {
+    "read_sources": read_sources,
     "feed_window_scan": feed_window_scan,
     "movement_union": lambda s: s.movements,
     "client_pull": client_pull,
@@ -414,6 +441,8 @@ _QUERIES: dict[str, Callable[[Stages], DataFrame]] = {
         s.sources, CLIENT, dt.date(1998, 2, 1), dt.date(1998, 2, 28)),
     "upsert_incremental": upsert_incremental,
     "incremental_run": incremental_run,
+    "table_sink": table_sink,
+    "view_sink": view_sink,
     "fn_date": fn_date,
     "fn_conditional": fn_conditional,
     "fn_numeric": fn_numeric,

@@ -23,15 +23,12 @@ def phase_in_force(period_start: str) -> Column:
 
 
 def priced_lines(sources: dict[str, DataFrame], as_of: dt.date) -> DataFrame:
-    """Every invoice line of the window with its price, the price phase in force, its metric and its customer."""
+    """Every invoice line of the window with its price and the price phase in force."""
     first, last = billing_window(as_of)
     invoice = sources["invoices"].filter(on_days("billing_period_start", first, last)).alias("invoice")
     line = sources["invoice_line_items"].alias("line")
     price = sources["prices"].alias("price")
     phase = sources["billing_schedule_phase_prices"].alias("phase")
-    metric = sources["usage_metrics"].alias("metric")
-    customer = sources["customers"].alias("customer")
-    sales = sources["sales_customers"].alias("sales")
     joined = (
         invoice.join(line, F.col("invoice.id") == F.col("line.invoice_id"), "left")
         .join(price, F.col("line.price_id") == F.col("price.id"), "left")
@@ -40,9 +37,6 @@ def priced_lines(sources: dict[str, DataFrame], as_of: dt.date) -> DataFrame:
             (F.col("price.id") == F.col("phase.price_id")) & phase_in_force("invoice.billing_period_start"),
             "left",
         )
-        .join(metric, F.col("metric.id") == F.get_json_object("phase.price_structure", "$.usageMetricId"), "left")
-        .join(customer, F.col("invoice.customer_id") == F.col("customer.id"), "left")
-        .join(sales, F.col("customer.id") == F.col("sales.sequence_id"), "left")
         # after the joins on purpose: a line whose only phase is archived disappears
         .filter(F.col("line.deleted_at").isNull() & F.col("phase.phase_archived_at").isNull())
     )
@@ -51,18 +45,12 @@ def priced_lines(sources: dict[str, DataFrame], as_of: dt.date) -> DataFrame:
     zero = F.lit(0).cast("decimal(18,2)")
     return joined.select(
         F.col("invoice.customer_id").alias("sequence_customer_id"),
-        F.col("customer.customer_aliases").alias("raw_client_id"),
-        F.col("customer.legal_name").alias("sequence_client_name"),
         F.col("line.id").alias("invoice_line_item_id"),
         F.col("price.id").alias("price_id"),
-        F.col("sales.group_id").alias("group_id"),
         F.col("phase.status").alias("status"),
         F.col("phase.price_minimum_amount").alias("price_minimum_amount"),
         F.col("phase.price_minimum_amount").isNotNull().alias("consumes_saas"),
         F.col("phase.price_structure").alias("price_structure"),
-        F.col("metric.name").alias("usage_metric"),
-        F.col("metric.property_filters").alias("property_filters"),
-        F.col("metric.properties_to_negate").alias("properties_to_negate"),
         month_of("invoice.billing_period_start").alias("billing_month"),
         F.col("line.modified_at").alias("modified_at"),
         is_discount.alias("is_discount"),
@@ -92,14 +80,47 @@ def latest_lines(lines: DataFrame) -> DataFrame:
         F.col("invoice_line_item_id").asc_nulls_last(),
         F.col("price_structure").asc_nulls_last(),
         F.col("price_minimum_amount").asc_nulls_last(),
-        F.col("group_id").asc_nulls_last(),
+        F.col("status").asc_nulls_last(),
     )
     return lines.withColumn("rn", F.row_number().over(newest)).filter("rn = 1").drop("_period_start", "_invoice_calculated_at")
 
 
+def _one_each(table: DataFrame, key: str) -> DataFrame:
+    """One row per key, the smallest by its other columns, so that joining the table never multiplies lines."""
+    others = [c for c in table.columns if c != key]
+    ranked = [x for c in others for x in (F.col(c).isNull().alias(f"no_{c}"), F.col(c))]
+    return table.groupBy(key).agg(F.min(F.struct(*ranked)).alias("least")).select(key, *[f"least.{c}" for c in others])
+
+
+def described(lines: DataFrame, sources: dict[str, DataFrame]) -> DataFrame:
+    """The lines with their metric, their customer and its group; a customer, metric or group that is not there leaves NULL."""
+    metric = _one_each(sources["usage_metrics"].select("id", "name", "property_filters", "properties_to_negate"), "id").alias("metric")
+    customer = _one_each(sources["customers"].select("id", "legal_name", "customer_aliases"), "id").alias("customer")
+    sales = _one_each(sources["sales_customers"].select("sequence_id", "group_id"), "sequence_id").alias("sales")
+    joined = (
+        lines.alias("line")
+        .join(metric, F.col("metric.id") == F.get_json_object("line.price_structure", "$.usageMetricId"), "left")
+        .join(customer, F.col("line.sequence_customer_id") == F.col("customer.id"), "left")
+        .join(sales, F.col("customer.id") == F.col("sales.sequence_id"), "left")
+    )
+    return joined.select(
+        "line.sequence_customer_id",
+        F.col("customer.customer_aliases").alias("raw_client_id"),
+        F.col("customer.legal_name").alias("sequence_client_name"),
+        "line.invoice_line_item_id", "line.price_id", "sales.group_id", "line.status", "line.price_minimum_amount",
+        "line.consumes_saas", "line.price_structure",
+        F.col("metric.name").alias("usage_metric"),
+        "metric.property_filters", "metric.properties_to_negate",
+        *[f"line.{c}" for c in lines.columns[lines.columns.index("billing_month"):]],
+    )
+
+
 def rule_lines(sources: dict[str, DataFrame], as_of: dt.date) -> DataFrame:
-    """The latest invoice lines with their checked JSON, before they are repeated per client."""
-    return latest_lines(priced_lines(sources, as_of)).withColumns({
+    """The latest invoice lines with their checked JSON, before they are repeated per client.
+
+    Lines are ranked when they have their price; only the latest ones meet metrics, customers and groups.
+    """
+    return described(latest_lines(priced_lines(sources, as_of)), sources).withColumns({
         "property_filters_json": valid_json("property_filters"),
         "price_structure_json": valid_json("price_structure"),
     })

@@ -10,9 +10,9 @@ from ..functions.storage import remove, run_folder, stored
 from ..operators import allocation, line_revenue, line_rules, matching, rating, summaries
 from ..operators.invoice_rules import per_client, rule_lines
 from ..operators.ordered import join_same
-from ..sources.feeds import merge_horizon, month_start, months_between, movement_union
+from ..sources.feeds import instant, merge_horizon, month_start, months_between, movement_union
 from .changes import GROUP, changed_groups, fingerprints, in_doubt
-from .upsert import MONTH, existing_table, only_unique, rewrite_months, write_table
+from .upsert import MONTH, existing_table, only_unique, publish_view, rewrite_months, write_table
 
 LINES = {
     "fee": "fee_lines",
@@ -32,7 +32,7 @@ def run_pipeline(
     longer produce goes, older months stay as they were stored. Of these months, those whose rule rows are as the run
     before left them are not written again, and in the others only customers with other rule rows are rated again (see
     `changes`). A table that is not there yet gets all months that the run reads. Intermediate tables lie in a folder below `out` that the run removes. With `views` each result is also a
-    temporary view. `names` gives tables (and views) other names than the keys of the result.
+    temporary view, in `global_temp` for other sessions too. Invoices of older months are read by the first run only. `names` gives tables (and views) other names than the keys of the result.
     """
     spark = next(iter(sources.values())).sparkSession
     with run_folder(spark, out):
@@ -55,9 +55,7 @@ def _run(
 
     def keep(name: str, df: DataFrame) -> DataFrame:
         tables[name] = df
-        if views:
-            df.createOrReplaceTempView(label(name))
-        return df
+        return publish_view(df, label(name)) if views else df
 
     def table(name: str, df: DataFrame) -> DataFrame:
         return keep(name, write_table(df, path(name)))
@@ -136,8 +134,12 @@ def _run(
     ]
     calculated = keep("revenue", allocation.revenue_calculated(*marts))
     # it completes the months of a group between its first and last one, so it looks at all recent months at once
-    summary = by_month("calculated_summary", summaries.calculated_summary, calculated, again=months_between(horizon, as_of))
-    invoiced = keep("invoiced_summary", summaries.invoiced_summary(sources))
+    recent_months = months_between(horizon, as_of)
+    summary = by_month("calculated_summary", summaries.calculated_summary, calculated, again=recent_months)
+    invoices = sources["invoices"]
+    if existing_table(spark, path("invoiced_summary")) is not None:  # older invoices are summed up already
+        invoices = invoices.filter(F.col("billing_period_start") >= instant(horizon))
+    invoiced = by_month("invoiced_summary", lambda: summaries.invoiced_summary({**sources, "invoices": invoices}), again=recent_months)
     table("reconciliation", summaries.reconciliation(summary, invoiced))
     if whole or months:
         rewrite_months(cut(marks), marks_path, [] if whole else months)

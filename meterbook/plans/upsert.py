@@ -59,6 +59,13 @@ def write_table(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def publish_view(df: DataFrame, name: str) -> DataFrame:
+    """A view for this session, and as `global_temp.<name>` for all sessions of the application."""
+    df.createOrReplaceTempView(name)
+    df.createOrReplaceGlobalTempView(name)
+    return df
+
+
 def replace_months(df: DataFrame, path: str) -> DataFrame:
     """Write the months that occur in `df` in place of what the table at `path` has for them; others stay."""
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(MONTH).parquet(path)

@@ -8,23 +8,45 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .schemas import SOURCES, conform
+from .schemas import SOURCES, conform, problems
 
 FEEDS = ["payout_transactions", "payin_transactions", "dac_transactions", "balance_recharges"]
 
 
-def read_sources(spark: SparkSession, locations: dict[str, str]) -> dict[str, DataFrame]:
+def read_sources(spark: SparkSession, locations: dict[str, str], *, pad: bool = False) -> dict[str, DataFrame]:
     """Open the source tables: a location with a slash is a Parquet path, any other a catalog table.
 
-    Tables that are not used may be left out. Columns that are not declared are never read.
+    Tables that are not used may be left out. Columns that are not declared are never read. All tables are compared with
+    their declared columns before any row is read; one ValueError lists every missing column (with `pad` they are NULL
+    instead) and every column of a type whose values would not survive the cast. Whole numbers may stand for decimals
+    and text, narrower scales for wider ones, dates for times; times with a zone are read in the session's. A decimal of
+    more digits is accepted, and a value that does not fit then stops the job.
     """
     unknown = set(locations) - set(SOURCES)
     if unknown:
         raise ValueError(f"unknown sources: {sorted(unknown)}")
-    return {
-        name: conform(spark.read.parquet(where) if "/" in where else spark.table(where), SOURCES[name])
-        for name, where in locations.items()
-    }
+    opened = {name: spark.read.parquet(where) if "/" in where else spark.table(where) for name, where in locations.items()}
+    wrong = [
+        f"{name}.{text}" for name, df in opened.items() for text in problems(df, SOURCES[name])
+        if not (pad and " is missing (" in text)
+    ]
+    if wrong:
+        raise ValueError("sources do not have their declared columns: " + "; ".join(wrong))
+    return {name: conform(df, SOURCES[name]) for name, df in opened.items()}
+
+
+def source_profile(sources: dict[str, DataFrame]) -> DataFrame:
+    """(source, entries, field, kind, filled, smallest, largest) of all columns, the ends as text; each table is read once."""
+    def profile(name: str, df: DataFrame) -> DataFrame:
+        facts = [
+            F.struct(F.lit(f.name).alias("field"), F.lit(f.dataType.simpleString()).alias("kind"), F.count(f.name).alias("filled"),
+                     F.min(f.name).cast("string").alias("smallest"), F.max(f.name).cast("string").alias("largest")).alias(f"of_{f.name}")
+            for f in df.schema.fields
+        ]
+        one = df.agg(F.count(F.lit(1)).alias("entries"), *facts)
+        return one.select(F.lit(name).alias("source"), "entries", F.inline(F.array(*[f"of_{c}" for c in df.columns])))
+
+    return reduce(DataFrame.unionByName, [profile(name, df) for name, df in sources.items()])
 
 
 def month_start(day: dt.date) -> dt.date:

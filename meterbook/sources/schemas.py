@@ -117,3 +117,29 @@ def conform(df: DataFrame, row: T.StructType, *extra: str) -> DataFrame:
         (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in row.fields
     ]
     return df.select(*columns, *extra)
+
+
+def _readable(have: T.DataType, declared: T.DataType) -> bool:
+    """Whether every value of the type `have` means the same after a cast to the declared type."""
+    if have == declared:
+        return True
+    whole = isinstance(have, T.IntegralType)
+    if isinstance(declared, T.StringType):
+        return whole or isinstance(have, (T.StringType, T.VarcharType, T.CharType, T.BooleanType, T.DateType))
+    if isinstance(declared, T.LongType):
+        return whole or (isinstance(have, T.DecimalType) and have.scale == 0)
+    if isinstance(declared, T.DecimalType):
+        return whole or (isinstance(have, T.DecimalType) and have.scale <= declared.scale)
+    if isinstance(declared, T.TimestampNTZType):
+        return isinstance(have, (T.TimestampType, T.DateType))
+    return False
+
+
+def problems(df: DataFrame, row: T.StructType) -> list[str]:
+    """What keeps `df` from being read as the declared row: its missing columns and those of other types."""
+    have = {f.name: f.dataType for f in df.schema.fields}
+    out = [f"{f.name} is missing ({f.dataType.simpleString()})" for f in row.fields if f.name not in have]
+    return out + [
+        f"{f.name} is {have[f.name].simpleString()}, not {f.dataType.simpleString()}"
+        for f in row.fields if f.name in have and not _readable(have[f.name], f.dataType)
+    ]

@@ -40,7 +40,8 @@ def test_second_run_changes_nothing(sources, first_run):
     out, before, counts = first_run
     again = run_pipeline(sources, AS_OF, out, views=True)
     assert {name: df.count() for name, df in again.items()} == counts
-    assert again["rated_usage"].sparkSession.table("revenue").count() == counts["revenue"]
+    spark = again["rated_usage"].sparkSession
+    assert spark.table("revenue").count() == spark.newSession().table("global_temp.revenue").count() == counts["revenue"]
 
 
 def no_rating(rules, chunks=None):
@@ -56,7 +57,7 @@ def test_unchanged_sources_are_not_rated_again(sources, first_run, monkeypatch):
     assert written == {f: f.stat().st_mtime_ns for name in ("rules", "rated_usage", "month_shares", "usage_revenue") for f in pathlib.Path(out, name).rglob("*.parquet")}
 
 
-BY_MONTH = ["rules", "rated_usage", "month_shares", "usage_revenue", "fee_lines", "discount_lines", "true_up_lines", "calculated_summary", "reconciliation"]
+BY_MONTH = ["rules", "rated_usage", "month_shares", "usage_revenue", "fee_lines", "discount_lines", "true_up_lines", "calculated_summary", "invoiced_summary", "reconciliation"]
 
 
 def equal(one, other, names=BY_MONTH):
@@ -65,8 +66,8 @@ def equal(one, other, names=BY_MONTH):
         assert one[name].exceptAll(other[name]).isEmpty() and other[name].exceptAll(one[name]).isEmpty(), name
 
 
-def test_only_changed_customers_are_rated_again_also_after_a_run_that_died(sources, first_run, tmp_path, monkeypatch):
-    whole = first_run[1]
+def test_only_changed_customers_are_rated_again_also_after_a_run_that_died(spark, sources, first_run, tmp_path, monkeypatch):
+    whole = {name: spark.read.parquet(f"{first_run[0]}/{name}") for name in BY_MONTH}  # later runs have replaced files of the first
     movement = whole["rated_usage"].filter("mm_id is not null").groupBy("mm_id").agg(F.min("sequence_customer_id").alias("who"), F.min("transaction_month").alias("month")).orderBy("mm_id").first()
     other = {name: df.withColumn("total_amount", F.when(F.col("id") == movement.mm_id, F.col("total_amount") + 1).otherwise(F.col("total_amount")).cast(df.schema["total_amount"].dataType))
              if "total_amount" in df.columns else df for name, df in sources.items()}
@@ -105,6 +106,17 @@ def test_old_months_stay(sources, first_run):
     assert not january.isEmpty() and january.filter("price_minimum_revenue is not null").count() > 0
 
 
+def test_older_invoices_are_not_summed_up_again(sources, tmp_path):
+    out, as_of, horizon = str(tmp_path), dt.date(1998, 5, 20), dt.datetime(1998, 2, 1)
+    before = run_pipeline(sources, as_of, out)["invoiced_summary"].collect()
+    voided = dict(sources)
+    voided["invoices"] = sources["invoices"].withColumn("status", F.when(F.col("customer_id") == "seq_1", "VOIDED").otherwise(F.col("status")))
+    after = run_pipeline(voided, as_of, out)["invoiced_summary"].collect()
+    kept = [r for r in before if r.customer_id != "seq_1" or r.transaction_month < horizon.date()]
+    assert sorted(map(str, after)) == sorted(map(str, kept)) and len(kept) < len(before)
+    assert any(r.customer_id == "seq_1" for r in after)
+
+
 def test_many_chunks_change_nothing_and_no_folder_stays(sources, first_run, tmp_path):
     names = {"rules": "all_the_rules"}
     tables = run_pipeline(sources, AS_OF, str(tmp_path), chunks=60, names=names)

@@ -4,6 +4,7 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 from toys import source_tables
 
 from meterbook.operators.invoice_rules import invoice_rules
@@ -11,7 +12,7 @@ from meterbook.operators.line_revenue import fixed_line_revenue, platform_fee_ma
 from meterbook.operators.line_rules import all_rules, discount_rules, platform_fee_rules, true_up_rules, unmatched_true_ups
 from meterbook.operators.payouts import classify_payouts
 from meterbook.operators.summaries import invoiced_summary, reconciliation
-from meterbook.sources.feeds import billing_window, merge_horizon, movement_union, read_sources
+from meterbook.sources.feeds import billing_window, merge_horizon, movement_union, read_sources, source_profile
 from meterbook.sources.schemas import SOURCES
 
 AS_OF = dt.date(2025, 5, 15)
@@ -191,3 +192,46 @@ def test_sources_are_read_with_their_declared_columns(spark, tmp_path):
     assert read_sources(spark, {"prices": f"{tmp_path}/prices"})["prices"].schema == SOURCES["prices"]
     with pytest.raises(ValueError):
         read_sources(spark, {"nothing": "x"})
+
+
+def test_one_error_lists_all_that_is_wrong_with_the_sources(spark, tmp_path):
+    spark.createDataFrame([("p1", [1])], "id string, product_name array<int>").write.parquet(f"{tmp_path}/prices")
+    spark.createDataFrame([("s1",)], "sequence_id string").write.parquet(f"{tmp_path}/sales")
+    spark.createDataFrame([("i", 1.5)], "id string, net_total double").write.parquet(f"{tmp_path}/lines")
+    places = {"prices": f"{tmp_path}/prices", "sales_customers": f"{tmp_path}/sales", "invoice_line_items": f"{tmp_path}/lines"}
+    with pytest.raises(ValueError) as error:
+        read_sources(spark, places)
+    for part in ("prices.product_name is array<int>, not string", "sales_customers.group_id is missing", "net_total is double, not decimal(18,2)"):
+        assert part in str(error.value)
+    padded = read_sources(spark, {"sales_customers": places["sales_customers"]}, pad=True)["sales_customers"]
+    assert padded.collect() == [("s1", None)] and padded.schema == SOURCES["sales_customers"]
+    with pytest.raises(ValueError, match="is double"):
+        read_sources(spark, places, pad=True)
+
+
+def test_types_that_keep_every_value_are_cast(spark, tmp_path):
+    rows = spark.sql("select 7 as id, 'c' as customer_id, timestamp_ntz'2025-05-01 00:00:00' as billing_period_start, date'2025-05-31' as billing_period_end, "
+                     "cast(null as timestamp_ntz) as calculated_at, true as status, 1 as more")
+    rows.write.parquet(f"{tmp_path}/invoices")
+    invoices = read_sources(spark, {"invoices": f"{tmp_path}/invoices"})["invoices"]
+    assert invoices.schema == SOURCES["invoices"]
+    assert invoices.first() == ("7", "c", MAY, dt.datetime(2025, 5, 31), None, "true")
+    profile = {r.field: r for r in source_profile({"invoices": invoices}).collect()}
+    assert (profile["calculated_at"].entries, profile["calculated_at"].filled, profile["calculated_at"].smallest) == (1, 0, None)
+    assert profile["billing_period_end"].largest == "2025-05-31 00:00:00"
+
+
+def test_lines_are_ranked_before_they_meet_customers(spark):
+    text = invoice_rules(contract(spark), AS_OF)._jdf.queryExecution().optimizedPlan().toString()
+    depth = {part: min(i for i, line in enumerate(text.splitlines()) if part in line) for part in ("legal_name", "WindowGroupLimit", "Window [")}
+    above = text.splitlines()[:depth["Window ["]]
+    assert sum("Join LeftOuter" in line for line in above) == 3 and depth["WindowGroupLimit"] > depth["Window ["]
+
+
+def test_repeated_customers_and_metrics_do_not_multiply_lines(spark):
+    sources = contract(spark)
+    for name in ("customers", "sales_customers", "usage_metrics"):
+        more = sources[name].withColumn(sources[name].columns[-1], F.lit("zzz"))
+        sources[name] = sources[name].unionByName(more)
+    rules = invoice_rules(sources, AS_OF).orderBy("client_id").collect()
+    assert [(r.client_id, r.group_id) for r in rules] == [("c1", "g1"), ("c2", "g1")]
