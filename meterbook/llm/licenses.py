@@ -111,6 +111,139 @@ NOTICES = [
     ("proprietary", 2, "unauthori[sz]ed (?:copying|reproduction|distribution)", "unauthori"),
 ]
 
+#: Sentences of license bodies and standard notices, as label and words; whatever stands between words, line ends and comment marks
+#: too, is a separator. Each tells its license, or its family where versions share it.
+SIGNATURES = [
+    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction"),
+    ("mit", "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software"),
+    ("mit", "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement"),
+    ("mit", "in no event shall the authors or copyright holders be liable for any claim damages or other liability whether in an action of contract tort or otherwise"),
+    ("mit-0", "copies of the software and to permit persons to whom the software is furnished to do so the software is provided as is without warranty of any kind"),
+    ("x11", "in no event shall the x consortium be liable for any claim damages or other liability"),
+    ("x11", "shall not be used in advertising or otherwise to promote the sale use or other dealings in this software without prior written authorization"),
+    ("ncsa", "to deal with the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software"),
+    ("ncsa", "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimers"),
+    ("ncsa", "in no event shall the contributors or copyright holders be liable for any claim damages or other liability"),
+    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"),
+    ("bsd", "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer"),
+    ("bsd", "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution"),
+    ("bsd", "this software is provided by the copyright holders and contributors as is and any express or implied warranties including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed"),
+    ("bsd", "this software is provided by the regents and contributors as is and any express or implied warranties"),
+    ("bsd", "this software is provided by the author as is and any express or implied warranties"),
+    ("bsd", "in no event shall the copyright holder or contributors be liable for any direct indirect incidental special exemplary or consequential damages"),
+    ("bsd-2-clause", "should not be interpreted as representing official policies either expressed or implied of the freebsd project"),
+    ("bsd-3-clause", "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission"),
+    ("bsd-3-clause", "neither the name of the university nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission"),
+    ("bsd-3-clause", "the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission"),
+    ("bsd-3-clause", "the name of the author may not be used to endorse or promote products derived from this software without specific prior written permission"),
+    ("bsd-4-clause", "all advertising materials mentioning features or use of this software must display the following acknowledgement"),
+    ("0bsd", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted the software is provided as is"),
+    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies"),
+    ("isc", "permission to use copy modify and distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies"),
+    ("isc", "the software is provided as is and the author disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness"),
+    ("isc", "the software is provided as is and isc disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness"),
+    ("isc", "in no event shall the author be liable for any special direct indirect or consequential damages or any damages whatsoever resulting from loss of use data or profits"),
+    ("hpnd", "permission to use copy modify and distribute this software and its documentation for any purpose and without fee is hereby granted provided that the above copyright notice appear in all copies"),
+    ("hpnd", "and that both that copyright notice and this permission notice appear in supporting documentation"),
+    ("postgresql", "permission to use copy modify and distribute this software and its documentation for any purpose without fee and without a written agreement is hereby granted"),
+    ("postgresql", "in no event shall the university of california be liable to any party for direct indirect special incidental or consequential damages including lost profits"),
+    ("apache-1.1", "the end user documentation included with the redistribution if any must include the following acknowledgment"),
+    ("apache-1.1", "must not be used to endorse or promote products derived from this software without prior written permission for written permission please contact apache apache org"),
+    ("apache-1.1", "products derived from this software may not be called apache nor may apache appear in their name without prior written permission of the apache software foundation"),
+    ("apache-2.0", "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied"),
+    ("apache-2.0", "see the license for the specific language governing permissions and limitations under the license"),
+    ("apache-2.0", "license shall mean the terms and conditions for use reproduction and distribution as defined by sections 1 through 9 of this document"),
+    ("apache-2.0", "licensor shall mean the copyright owner or entity authorized by the copyright owner that is granting the license"),
+    ("apache-2.0", "each contributor hereby grants to you a perpetual worldwide non exclusive no charge royalty free irrevocable copyright license to reproduce prepare derivative works of"),
+    ("apache-2.0", "irrevocable except as stated in this section patent license to make have made use offer to sell sell import and otherwise transfer the work"),
+    ("apache-2.0", "you must give any other recipients of the work or derivative works a copy of this license"),
+    ("apache-2.0", "this license does not grant permission to use the trade names trademarks service marks or product names of the licensor"),
+    ("zlib", "this software is provided as is without any express or implied warranty in no event will the authors be held liable for any damages arising from the use of this software"),
+    ("zlib", "permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely subject to the following restrictions"),
+    ("zlib", "the origin of this software must not be misrepresented you must not claim that you wrote the original software"),
+    ("zlib", "altered source versions must be plainly marked as such and must not be misrepresented as being the original software"),
+    ("zlib", "this notice may not be removed or altered from any source distribution"),
+    ("mpl-1.1", "the contents of this file are subject to the mozilla public license version 1 1"),
+    ("mpl-1.1", "see the license for the specific language governing rights and limitations under the license"),
+    ("mpl-1.1", "the initial developer hereby grants you a world wide royalty free non exclusive license subject to third party intellectual property claims"),
+    ("mpl-1.1", "covered code is provided under this license on an as is basis without warranty of any kind either expressed or implied"),
+    ("mpl-2.0", "this source code form is subject to the terms of the mozilla public license v 2 0"),
+    ("mpl-2.0", "covered software means source code form to which the initial contributor has attached the notice in exhibit a"),
+    ("mpl-2.0", "any modifications that you create or to which you contribute must be under the terms of this license"),
+    ("mpl-2.0", "this source code form is incompatible with secondary licenses as defined by the mozilla public license"),
+    ("mpl-2.0", "covered software is provided under this license on an as is basis without warranty of any kind either expressed implied or statutory"),
+    ("gpl", "everyone is permitted to copy and distribute verbatim copies of this license document but changing it is not allowed"),
+    ("gpl", "this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose"),
+    ("gpl", "you should have received a copy of the gnu general public license along with this program"),
+    ("gpl", "there is no warranty for the program to the extent permitted by applicable law"),
+    ("gpl-2.0", "under the terms of the gnu general public license as published by the free software foundation either version 2 of the license"),
+    ("gpl-2.0", "under the terms of the gnu general public license version 2 as published by the free software foundation"),
+    ("gpl-2.0", "the licenses for most software are designed to take away your freedom to share and change it by contrast the gnu general public license is intended to guarantee your freedom to share and change free software"),
+    ("gpl-2.0", "you may copy and distribute verbatim copies of the program s source code as you receive it in any medium provided that you conspicuously and appropriately publish on each copy an appropriate copyright notice and disclaimer of warranty"),
+    ("gpl-2.0", "contains or is derived from the program or any part thereof to be licensed as a whole at no charge to all third parties under the terms of this license"),
+    ("gpl-2.0", "because the program is licensed free of charge there is no warranty for the program to the extent permitted by applicable law"),
+    ("gpl-3.0", "under the terms of the gnu general public license as published by the free software foundation either version 3 of the license"),
+    ("gpl-3.0", "the gnu general public license is a free copyleft license for software and other kinds of works"),
+    ("gpl-3.0", "designed to take away your freedom to share and change the works by contrast the gnu general public license is intended to guarantee your freedom to share and change all versions of a program"),
+    ("gpl", "you may convey verbatim copies of the program s source code as you receive it in any medium provided that you conspicuously and appropriately publish on each copy an appropriate copyright notice"),
+    ("lgpl-2.1", "gnu lesser general public license as published by the free software foundation either version 2 1 of the license"),
+    ("lgpl-2.1", "the implied warranty of merchantability or fitness for a particular purpose see the gnu lesser general public license for more details"),
+    ("lgpl-2.1", "you should have received a copy of the gnu lesser general public license along with this library"),
+    ("lgpl-2.1", "a work that contains no derivative of any portion of the library but is designed to work with the library by being compiled or linked with it"),
+    ("lgpl-3.0", "gnu lesser general public license as published by the free software foundation either version 3 of the license"),
+    ("lgpl-3.0", "this version of the gnu lesser general public license incorporates the terms and conditions of version 3 of the gnu general public license"),
+    ("lgpl-3.0", "you may convey a covered work under sections 3 and 4 of this license without being bound by section 3 of the gnu gpl"),
+    ("agpl-3.0", "gnu affero general public license as published by the free software foundation either version 3 of the license"),
+    ("agpl-3.0", "the gnu affero general public license is a free copyleft license for software and other kinds of works"),
+    ("agpl-3.0", "designed to take away your freedom to share and change the works by contrast our general public licenses are intended to guarantee your freedom"),
+    ("agpl-3.0", "notwithstanding any other provision of this license if you modify the program your modified version must prominently offer all users interacting with it remotely"),
+    ("gfdl-1.3", "permission is granted to copy distribute and or modify this document under the terms of the gnu free documentation license version 1 3"),
+    ("epl-1.0", "this program and the accompanying materials are made available under the terms of the eclipse public license v1 0"),
+    ("epl-2.0", "this program and the accompanying materials are made available under the terms of the eclipse public license 2 0"),
+    ("cpl-1.0", "the accompanying program is provided under the terms of this common public license"),
+    ("cddl-1.0", "the contents of this file are subject to the terms of the common development and distribution license"),
+    ("cddl-1.0", "covered software is provided under this license on an as is basis without warranty of any kind either expressed or implied including without limitation warranties that the covered software is free of defects"),
+    ("bsl-1.0", "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license"),
+    ("bsl-1.0", "unless such copies or derivative works are solely in the form of machine executable object code generated by a source language processor"),
+    ("bsl-1.0", "in no event shall the copyright holders or anyone distributing the software be liable for any damages or other liability whether in contract tort or otherwise"),
+    ("unlicense", "this is free and unencumbered software released into the public domain"),
+    ("unlicense", "dedicate any and all copyright interest in the software to the public domain"),
+    ("wtfpl", "everyone is permitted to copy and distribute verbatim or modified copies of this license document and changing it is allowed as long as the name is changed"),
+    ("ofl-1.1", "this font software is licensed under the sil open font license version 1 1"),
+    ("ofl-1.1", "must be distributed entirely under this license and must not be distributed under any other license"),
+    ("ofl-1.1", "unless explicit written permission is granted by the corresponding copyright holder"),
+    ("artistic-1.0", "such that the copyright holder maintains some semblance of artistic control over the development of the package"),
+    ("artistic-2.0", "this license establishes the terms under which a given free software package may be copied modified distributed and or redistributed"),
+    ("ms-pl", "this license governs use of the accompanying software if you use the software you accept this license"),
+    ("ms-rl", "in source code or binary format you must provide recipients the source code to that file along with a copy of this license"),
+    ("upl-1.0", "permission is hereby granted to any person obtaining a copy of this software associated documentation and or data collectively the software free of charge"),
+    ("blueoak-1.0.0", "this license gives everyone as much permission to work with this software as possible while protecting contributors from liability"),
+    ("cc0-1.0", "dedicated the work to the public domain by waiving all of his or her rights to the work worldwide under copyright law"),
+    ("cc0-1.0", "waives abandons and surrenders all of affirmer s copyright and related rights"),
+    ("cc-by-4.0", "licensed under a creative commons attribution 4 0 international license"),
+    ("cc-by-sa-4.0", "licensed under a creative commons attribution sharealike 4 0 international license"),
+    ("cc-by-nc-4.0", "licensed under a creative commons attribution noncommercial 4 0 international license"),
+    ("cc-by-nd-4.0", "licensed under a creative commons attribution noderivatives 4 0 international license"),
+    ("cc-by-nc-sa-4.0", "licensed under a creative commons attribution noncommercial sharealike 4 0 international license"),
+    ("cc-by-nc-nd-4.0", "licensed under a creative commons attribution noncommercial noderivatives 4 0 international license"),
+    ("cc-by-3.0", "licensed under a creative commons attribution 3 0 unported license"),
+    ("cc-by-sa-3.0", "licensed under a creative commons attribution sharealike 3 0 unported license"),
+    ("cc-by-nc-3.0", "licensed under a creative commons attribution noncommercial 3 0 unported license"),
+    ("psf-2.0", "psf hereby grants licensee a nonexclusive royalty free world wide license to reproduce analyze test perform and or display publicly"),
+    ("php-3.01", "the name php must not be used to endorse or promote products derived from this software without prior written permission"),
+    ("w3c", "this work is being provided by the copyright holders under the following license"),
+    ("zpl-2.1", "names of the copyright holders must not be used to endorse or promote products derived from this software without prior written permission from the copyright holders"),
+    ("busl-1.1", "the licensor hereby grants you the right to copy modify create derivative works redistribute and make non production use of the licensed work"),
+    ("sspl-1.0", "you must make the service source code available via network download to everyone at no charge under the terms of this license"),
+    ("eupl-1.2", "applies to the work as defined below which is provided under the terms of this licence"),
+    ("odbl-1.0", "license to use the database for the duration of any applicable copyright and database rights"),
+    ("lppl-1.3c", "may be distributed and or modified under the conditions of the latex project public license"),
+    ("mulanpsl-2.0", "licensed under mulan psl v2 you can use this software according to the terms and conditions of the mulan psl v2"),
+]
+
+#: Words of the gate for signatures: each signature has one of them.
+SIGNS = ["licen", "copyright", "hereby", "warrant", "redistribut", "liable", "permission", "domain", "advertising", "altered", "misrepresented", "freebsd", "derivative", "exhibit"]
+
 #: Words of the gate; every text with a detection has one of them, a notice's keyword, or a verb before "under".
 LICENSED, SPDX, UNDER = "licen", "spdx", "under"
 VERBS = "licensed|released|distributed|available|provided|published|redistribute it and or modify it"
@@ -147,10 +280,11 @@ def _spellings(name: str) -> list[str]:
 
 
 def rules() -> list[dict]:
-    """All rules in their order: tags, notices that say what holds, bare names. A tag per license, three per spelling."""
+    """All rules in their order: tags, sentences of bodies, notices that say what holds, bare names. A tag per license, three per spelling."""
     out = []
     for label, spdx, _ in NAMES:
         out.append((label, 1, f"(?i)spdx-license-identifier:?[ \t]++{spdx}(?![A-Za-z0-9.+-])", SPDX))
+    out += [(label, 2, _regex(words), _keyword(words)) for label, words in SIGNATURES]
     spelled = [(label, s, _keyword(s)) for label, _, name in NAMES for s in _spellings(name)]
     for label, name, keyword in spelled:
         out.append((label, 2, _regex(f"(?:{VERBS}) under (?:the )?(?:terms of (?:the )?)?{name}(?: licen[cs]e)?"), keyword))
@@ -204,7 +338,7 @@ def scan_licenses(docs: DataFrame, text: str = "text") -> DataFrame:
     docs = docs.withColumnsRenamed({c: taken for c in docs.columns if c.lower() == "license"})
     low = F.lower(F.coalesce(F.col(text), F.lit("")))
     body = F.coalesce(F.col(text), F.lit(""))
-    keywords = [LICENSED, SPDX, *dict.fromkeys(k for *_, k in NOTICES)]
+    keywords = list(dict.fromkeys([LICENSED, SPDX, *SIGNS, *(k for *_, k in NOTICES)]))
     gated = docs.withColumn(f"{own}low", low)
     hit = gated[f"{own}low"].contains(keywords[0])
     for word in keywords[1:]:

@@ -108,3 +108,69 @@ def test_gate_and_keywords_skip_no_rule(spark):
     ('provided "as is", without\n * \n * warranty', "as-is-disclaimer"), ("(c) 2020 Somebody", "copyright-notice"), ("© 2020 Somebody", "copyright-notice")])
 def test_wrapped_and_unlicensed_words(spark, text, label):
     assert [d.label for d in scanned(spark, [text])[0].license.detections] == [label]
+
+
+def wrapped(words):
+    """A sentence as it stands in a source file: capitals, commas, and a comment mark where its lines end."""
+    parts = words.split(" ")
+    lines = [" ".join(parts[i:i + 7]) for i in range(0, len(parts), 7)]
+    return "/*\n * " + ",\n * ".join(line.upper() if n % 2 else line for n, line in enumerate(lines)) + ".\n */"
+
+
+def test_every_signature_is_found_under_its_label_and_once(spark):
+    assert len(licenses.SIGNATURES) >= 100 and len({w for _, w in licenses.SIGNATURES}) == len(licenses.SIGNATURES)
+    assert {label for label, _ in licenses.SIGNATURES} <= {label for label, *_ in licenses.NAMES}
+    assert all(any(sign in words for sign in licenses.SIGNS) for _, words in licenses.SIGNATURES)
+    texts = [wrapped(words) for _, words in licenses.SIGNATURES]
+    for row, text, (label, words) in zip(scanned(spark, texts), texts, licenses.SIGNATURES, strict=True):
+        longest = max(row.license.detections, key=lambda d: d.end - d.start)
+        assert longest.label == label and longest.level == 2, (words, row.license.detections)
+        assert (longest.start, longest.end) == (text.lower().index(words.split(" ")[0], 3), len(text) - 4), words
+
+
+BODIES = {
+    "mit": """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.""",
+    "isc": """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH
+REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY
+AND FITNESS.""",
+    "0bsd": """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE COPYRIGHT HOLDER WILL NOT PAY.""",
+    "zlib": """// The origin of this software must not be misrepresented; you must not
+//    claim that you wrote the original software.
+// This notice may not be removed or altered from any source distribution.""",
+    "bsd": """# Redistribution and use in source and binary forms, with or without
+# modification, are permitted provided that the following conditions are met:""",
+}
+
+
+def test_bodies_without_their_name(spark):
+    rows = scanned(spark, list(BODIES.values()))
+    for row, label in zip(rows, BODIES, strict=True):
+        assert {d.label for d in row.license.detections} == {label}
+    assert rows[0].license.score > 0.99
+
+
+def test_sentences_that_are_cut_short_are_not_found(spark):
+    texts = [" ".join(words.split(" ")[:-1]) for _, words in licenses.SIGNATURES]
+    for row, text, (label, words) in zip(scanned(spark, texts), texts, licenses.SIGNATURES, strict=True):
+        shorter = {other for other, w in licenses.SIGNATURES if w in text}
+        full = next(r["rule"] for r in licenses.rules() if r["pattern"] == licenses._regex(words))
+        assert full not in {d.rule for d in row.license.detections}, (label, shorter)
