@@ -59,3 +59,12 @@ def stored(df: DataFrame) -> DataFrame:
     path = f"{folder}/meterbook-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def merged(df: DataFrame) -> DataFrame:
+    """One side of a join that grows with the input: joined by sort and merge, never collected for a broadcast.
+
+    Spark takes the size of stored rows from their files. Repeated texts and lists take up a hundredth of their size
+    there, so it would broadcast tables that the driver cannot hold.
+    """
+    return df.hint("merge")
