@@ -61,6 +61,14 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def dealt(df: DataFrame, *keys: str) -> DataFrame:
+    """The rows dealt by keys to as many tasks as the session has shuffle partitions.
+
+    Spark would join tasks by the compressed size of what they read. Repeated texts are forty times larger in memory.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def merged(df: DataFrame) -> DataFrame:
     """One side of a join that grows with the input: joined by sort and merge, never collected for a broadcast.
 

@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.columns import month_of, valid_json
+from ..functions.storage import dealt, merged
 from ..sources.feeds import billing_window, instant, on_days
 
 OPEN_END = dt.date(2099, 1, 1)
@@ -30,10 +31,10 @@ def priced_lines(sources: dict[str, DataFrame], as_of: dt.date) -> DataFrame:
     price = sources["prices"].alias("price")
     phase = sources["billing_schedule_phase_prices"].alias("phase")
     joined = (
-        invoice.join(line, F.col("invoice.id") == F.col("line.invoice_id"), "left")
-        .join(price, F.col("line.price_id") == F.col("price.id"), "left")
+        invoice.join(merged(line), F.col("invoice.id") == F.col("line.invoice_id"), "left")
+        .join(merged(price), F.col("line.price_id") == F.col("price.id"), "left")
         .join(
-            phase,
+            merged(phase),
             (F.col("price.id") == F.col("phase.price_id")) & phase_in_force("invoice.billing_period_start"),
             "left",
         )
@@ -73,6 +74,7 @@ def latest_lines(lines: DataFrame) -> DataFrame:
 
     A missing time counts as latest. Period and calculation are the invoice's; a line may be billed for another period.
     """
+    lines = dealt(lines, "sequence_customer_id")
     newest = Window.partitionBy("sequence_customer_id", "_period_start", "is_discount", "product_name").orderBy(
         F.col("_invoice_calculated_at").desc_nulls_first(),
         F.col("modified_at").desc_nulls_first(),
@@ -97,11 +99,12 @@ def described(lines: DataFrame, sources: dict[str, DataFrame]) -> DataFrame:
     metric = _one_each(sources["usage_metrics"].select("id", "name", "property_filters", "properties_to_negate"), "id").alias("metric")
     customer = _one_each(sources["customers"].select("id", "legal_name", "customer_aliases"), "id").alias("customer")
     sales = _one_each(sources["sales_customers"].select("sequence_id", "group_id"), "sequence_id").alias("sales")
+    # the short rows meet first, so that the lines stay as they are dealt by customer
+    known = customer.join(merged(sales), F.col("customer.id") == F.col("sales.sequence_id"), "left")
     joined = (
         lines.alias("line")
         .join(metric, F.col("metric.id") == F.get_json_object("line.price_structure", "$.usageMetricId"), "left")
-        .join(customer, F.col("line.sequence_customer_id") == F.col("customer.id"), "left")
-        .join(sales, F.col("customer.id") == F.col("sales.sequence_id"), "left")
+        .join(merged(known), F.col("line.sequence_customer_id") == F.col("customer.id"), "left")
     )
     return joined.select(
         "line.sequence_customer_id",
