@@ -52,6 +52,11 @@ def shared(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def unhashed(rows: DataFrame) -> DataFrame:
+    """The rows, stored without the hash of their match: it would take up most of the room."""
+    return matching.hashed(stored(rows.drop("hash_match")), rows.columns)
+
+
 class Stages:
     """The steps of one data set. Those that the pipeline stores as tables are stored here too, once."""
 
@@ -78,17 +83,21 @@ class Stages:
     def compiled(self) -> DataFrame:
         return matching.compile_rules(self.lines)
 
+    @cached_property
+    def contracts(self) -> DataFrame:
+        return matching.compile_rules(self.lines, clients=False)
+
     @cached_property
     def matches(self) -> DataFrame:
-        return matching.match_rules(self.movements, self.compiled)
+        return matching.match_rules(self.movements, self.contracts)
 
     @cached_property
     def all_rules(self) -> DataFrame:
-        return stored(line_rules.all_rules(self.rules, self.matches))
+        return unhashed(line_rules.all_rules(self.rules, self.matches))
 
     @cached_property
     def rated(self) -> DataFrame:
-        return stored(rating.rate_transactions(self.all_rules))
+        return unhashed(rating.rate_transactions(self.all_rules))
 
     @cached_property
     def line_rows(self) -> DataFrame:
@@ -198,7 +207,7 @@ def client_pull(s: Stages) -> DataFrame:
 
 
 def match_reason(s: Stages) -> DataFrame:
-    return matching.match_rules(s.movements, s.compiled, with_reason=True).select(
+    return matching.match_rules(s.movements, s.contracts, with_reason=True).select(
         "mm_id", "client_id", "matched_product_name", "should_be_charged", "match_reason"
     )
 

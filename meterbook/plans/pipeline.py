@@ -69,7 +69,7 @@ def _run(
 
     lines = table("invoice_lines", rule_lines(sources, as_of))
     rules_per_client = keep("invoice_rules", per_client(lines))
-    matches = matching.match_rules(movement_union(sources, as_of), matching.compile_rules(lines))
+    matches = matching.match_rules(movement_union(sources, as_of), matching.compile_rules(lines, clients=False))
 
     marks_path = path("rule_marks")
     old_rules, old_marks = existing_table(spark, path("rules")), existing_table(spark, marks_path)

@@ -3,6 +3,8 @@
 import pytest
 from toys import movements, usage_rules
 
+from pyspark.sql import functions as F
+
 from meterbook.operators.matching import compile_rules, match_rules
 
 COUNTRY = '{"country":["MX"]}'
@@ -43,3 +45,16 @@ def test_reason(spark):
     rule = {"property_filters_json": '{"flow":["A"],"country":["MX"]}', "properties_to_negate": '["country"]'}
     pairs = match_rules(movements(spark, {"flow": "A", "country": "CO"}), compile_rules(usage_rules(spark, rule)), with_reason=True)
     assert [r[0] for r in pairs.select("match_reason").collect()] == ["FLOW, NOT_COUNTRY"]
+
+
+def test_rules_per_contract_line_match_like_rules_per_client(spark):
+    lines = usage_rules(spark, {"property_filters_json": '{"flow":["A"]}'}, {"product_name": "Q"}, {"product_name": "R", "price_structure_month": None})
+    lines = lines.drop("client_id").withColumn("raw_client_id", F.when(F.col("product_name") != "Q", "c1,c2,c1").otherwise("c1"))
+    moved = movements(spark, *[{"client_id": c, "flow": f} for c in ("c1", "c2", "c3") for f in ("A", "B")])
+    per_client = match_rules(moved, compile_rules(lines))
+    contracts = compile_rules(lines, clients=False)
+    assert contracts.count() == 3 and "client_id" not in contracts.columns
+    whole = match_rules(moved, contracts)
+    assert whole.columns == per_client.columns and whole.count() == per_client.count() == 6
+    assert whole.exceptAll(per_client).isEmpty() and per_client.exceptAll(whole).isEmpty()
+    assert "Broadcast" not in whole._jdf.queryExecution().executedPlan().toString()
