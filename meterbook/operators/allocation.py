@@ -10,6 +10,9 @@ from ..sources.schemas import LINE_PRICE, REVENUE, REVENUE_ROW, conform
 from .line_revenue import GROUP
 from .matching import NON_USAGE_PRODUCTS
 
+#: Customer-months that are sent to all executors, about 250 MB; more of them are joined by a shuffle.
+BROADCAST_ROWS = 2_000_000
+
 
 def month_shares(rated: DataFrame) -> DataFrame:
     """Per customer and month: how many transactions share the fee and the minimum, and the least minimum left.
@@ -42,7 +45,8 @@ def _share(total: str, parts: str) -> Column:
 def allocate(rated: DataFrame, fee_totals: DataFrame, shares: DataFrame) -> DataFrame:
     """Revenue rows of the rated transactions with their shares of the month's fee and unused minimum."""
     monthly = shares.join(fee_totals, GROUP, "left")
-    joined = rated.join(monthly, GROUP, "left")
+    few = shares.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    joined = rated.join(F.broadcast(monthly) if few else monthly, GROUP, "left")
     takes_part = ~F.upper("matched_product_name").isin("PLATFORM FEE", "DISCOUNT")
     nothing = F.lit(0).cast(REVENUE)
     fee = F.when(takes_part & (F.col("trx_receiving_platform_fee") > 0), _share("total_platform_fee", "trx_receiving_platform_fee"))

@@ -1,9 +1,10 @@
 """Running and whole-group sums over ordered groups of any size.
 
-A window function hands a whole group to one task, and one customer-month may hold a large part of all rows. So rows are
-placed once by range of group and order, and stored with the number of their range, the chunk. Windows run per group
-and chunk. A chunk holds many small groups or a piece of a large one; only its first and its last group can go on in
-another chunk. The rows of those few groups are stored apart, once. Their sums per chunk form a small table, whose
+A window function hands a whole group to one task, and one customer-month may hold a large part of all rows. So the rows
+of groups that are larger than a chunk's share of all rows are placed by range of group and order, and stored with the
+number of their range, the chunk; all other groups are whole, in chunk 0, and only dealt for the windows. Windows run
+per group and chunk. A chunk holds a piece of a large group or several of them; only its first and its last group can go
+on in another chunk. The rows of those few groups are stored apart, once. Their sums per chunk form a small table, whose
 running sums are added to the rows. So all rows pass the windows once, and what is carried is worked out beside them
 from the rows that lie in cut groups. Groups of every size take this one path, and the result does not depend on where
 the borders lie.
@@ -21,6 +22,9 @@ from ..functions.storage import stored
 
 CHUNK = "_chunk"
 
+#: Rows that a task sorts in memory: a few hundred megabytes of rule rows.
+CHUNK_ROWS = 200_000
+
 
 def _same_keys(keys: list[str]) -> Column:
     return reduce(Column.__and__, [same(F.col(k), F.col(f"_r_{k}")) for k in keys])
@@ -47,19 +51,21 @@ class Sums(NamedTuple):
 class Groups:
     """Rows placed in chunks, and how to run sums over their groups."""
 
-    def __init__(self, rows: DataFrame, keys: list[str]):
+    def __init__(self, whole: DataFrame, placed: DataFrame, keys: list[str], chunks: int):
+        """Rows of whole groups, and stored ones of groups that may be cut."""
         self.keys = keys
-        # one shuffle by group and chunk serves the windows of groups and of parts of groups
-        self.rows = rows.repartition(*keys, CHUNK)
+        # one shuffle by group and chunk serves the windows of groups and of parts of groups; with a number of tasks of
+        # its own, as Spark would join tasks by compressed size until their rows no longer fit in memory
+        self.rows = whole.unionByName(placed).repartition(chunks, *keys, CHUNK)
         # compared as the rows are placed: unknown keys last
         group = F.struct(*[c for k in keys for c in (F.col(k).isNull().alias(f"no_{k}"), F.col(k))])
-        ends = rows.groupBy(CHUNK).agg(F.min(group).alias("first"), F.max(group).alias("last"))
+        ends = placed.groupBy(CHUNK).agg(F.min(group).alias("first"), F.max(group).alias("last"))
         seen = ends.select(CHUNK, F.explode(F.array_distinct(F.array("first", "last"))).alias("group"))
         # two rows per chunk at most
         crossing = seen.groupBy("group").count().filter("count > 1").select(*[f"group.{k}" for k in keys])
         #: the rows of groups that lie in several chunks, and the same dealt for windows
-        self.cut_rows = stored(join_same(rows, crossing, keys, "left_semi"))
-        self.cut = self.cut_rows.repartition(*keys, CHUNK)
+        self.cut_rows = stored(join_same(placed, crossing, keys, "left_semi"))
+        self.cut = self.cut_rows.repartition(chunks, *keys, CHUNK)
 
     def _window(self, keys: list[str], order: list[str]):
         return Window.partitionBy(*keys, CHUNK).orderBy(*ascending(order))
@@ -121,11 +127,17 @@ class Groups:
 
 
 def place(df: DataFrame, keys: list[str], order: list[str], chunks: int | None = None) -> Groups:
-    """Place rows by range of keys and order, in as many chunks as the session has shuffle partitions.
+    """Place the rows of large groups by range of keys and order, and leave the others whole.
 
-    Rows equal in `order` are peers and stay together. The placed rows are stored before use, so that a chunk keeps its
-    rows whatever is recomputed.
+    There are as many chunks as the session has shuffle partitions, or more, so that one has CHUNK_ROWS at most on
+    average. A group is large if it has more rows than that average; there are fewer of these than chunks. Rows equal in
+    `order` are peers and stay together. The placed rows are stored before use, so that a chunk keeps its rows whatever
+    is recomputed; the others need no place and are shuffled once, for the windows.
     """
-    chunks = chunks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = df.repartitionByRange(chunks, *ascending([*keys, *order])).withColumn(CHUNK, F.spark_partition_id())
-    return Groups(stored(placed), keys)
+    sizes = stored(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")))
+    rows = sizes.agg(F.sum("_rows")).first()[0] or 0
+    chunks = chunks or max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // CHUNK_ROWS))
+    large = stored(sizes.filter(F.col("_rows") * chunks > rows).select(*keys))
+    whole = join_same(df, large, keys, "left_anti").withColumn(CHUNK, F.lit(0))
+    ranges = join_same(df, large, keys, "left_semi").repartitionByRange(chunks, *ascending([*keys, *order]))
+    return Groups(whole, stored(ranges.withColumn(CHUNK, F.spark_partition_id() + 1)), keys, chunks)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.columns import pricing
 from ..functions.storage import stored
 from ..sources.schemas import REVENUE, RULE_ROW
-from .matching import NON_USAGE_PRODUCTS
+from .matching import NON_USAGE_PRODUCTS, hashed
 from .ordered import CHUNK, Groups, Sums, join_same, place
 
 # The month comes first: rated rows leave the windows in the order in which a table of months is written.
@@ -270,30 +270,35 @@ def _tiers(cut: Cut) -> DataFrame:
 
 
 def _placed(rules: DataFrame, chunks: int | None) -> Cut:
-    return Cut(place(charged_usage(rules), GROUP, KEY_ORDER, chunks))
+    # a match's hash comes from columns that stay, and no shuffle can compress it
+    return Cut(place(charged_usage(rules).drop("hash_match"), GROUP, KEY_ORDER, chunks))
+
 
 
 def rate_transactions(rules: DataFrame, chunks: int | None = None) -> DataFrame:
     """Rated usage with the minimum applied, one row per charged match.
 
-    Rows are placed in chunks along month, customer and time; customer-months of any size go through the same windows
-    per chunk (see `ordered`). `chunks` defaults to the session's shuffle partitions.
+    Rows of large customer-months are placed in chunks along month, customer and time; customer-months of any size go
+    through the same windows per chunk (see `ordered`). `chunks` defaults to the session's shuffle partitions, or more
+    for many rows. `hash_match` is made anew from its columns.
     """
     cut = _placed(rules, chunks)
     priced = accumulate(_tiers(cut).withColumn("revenue", _revenue()), cut)
     # rows without a price count in the order and in the minimum, then leave
-    return apply_minimum(priced).filter("kept").select(*RATED_COLUMNS)
+    return hashed(apply_minimum(priced).filter("kept"), RATED_COLUMNS)
 
 
 def running_counts(rules: DataFrame, chunks: int | None = None) -> DataFrame:
     """Only the running counts and amounts, per product and (the order) per customer-month."""
     cut = _placed(rules, chunks)
-    return cut.groups.running(count_transactions(cut.groups.rows, cut), _order(), cut.order).select(
+    counted = cut.groups.running(count_transactions(cut.groups.rows, cut), _order(), cut.order)
+    return hashed(counted, [
         *RULE_ROW.fieldNames(), "transaction_count", "global_transaction_order", "cumulative_amount",
         "cumulative_amount_before",
-    )
+    ])
 
 
 def tier_selection(rules: DataFrame, chunks: int | None = None) -> DataFrame:
     """The rated rows' tiers before revenue: own tier, effective tier and what its bound applies to."""
-    return _tiers(_placed(rules, chunks)).filter("kept").drop("kept", CHUNK)
+    chosen = _tiers(_placed(rules, chunks)).filter("kept").drop("kept", CHUNK)
+    return hashed(chosen, [*RULE_ROW.fieldNames(), *[c for c in chosen.columns if c not in RULE_ROW.fieldNames()]])

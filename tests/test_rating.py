@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from toys import by_id, linear, rule_rows, tiered
 
+from meterbook.operators import ordered
 from meterbook.operators.allocation import allocate, month_shares
 from meterbook.operators import rating
 from meterbook.operators.rating import rate_transactions, tier_selection
@@ -142,3 +143,17 @@ def test_rows_pass_the_windows_once(spark):
     rules = rule_rows(spark, [{"price_structure_json": tiered("VOLUME", *FLAT)}] * 20)
     plan = rate_transactions(rules, 4)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("RepartitionByExpression") == 1 and plan.count("Window [") <= 6 and "LeftSemi" not in plan
+
+
+def test_only_groups_larger_than_a_chunk_are_placed(spark):
+    rows = [{"sequence_customer_id": "big"}] * 90 + [{"sequence_customer_id": f"s{n}"} for n in range(30)]
+    groups = ordered.place(rule_rows(spark, rows), rating.GROUP, rating.KEY_ORDER, 4)
+    chunks = {(r[0], r[1]) for r in groups.rows.select("sequence_customer_id", ordered.CHUNK).collect()}
+    assert {c for s, c in chunks if s != "big"} == {0} and len({c for s, c in chunks if s == "big"}) > 1 and ("big", 0) not in chunks
+    assert groups.rows.count() == 120 and groups.cut_rows.count() == 90
+
+
+def test_chunks_grow_with_the_rows_and_their_number_holds(spark, monkeypatch):
+    monkeypatch.setattr(ordered, "CHUNK_ROWS", 10)
+    rated = rate_transactions(rule_rows(spark, [{"sequence_customer_id": f"s{n % 40}"} for n in range(120)]))
+    assert rated.rdd.getNumPartitions() == 12 and rated.count() == 120
