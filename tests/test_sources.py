@@ -235,3 +235,11 @@ def test_repeated_customers_and_metrics_do_not_multiply_lines(spark):
         sources[name] = sources[name].unionByName(more)
     rules = invoice_rules(sources, AS_OF).orderBy("client_id").collect()
     assert [(r.client_id, r.group_id) for r in rules] == [("c1", "g1"), ("c2", "g1")]
+
+
+def test_tables_that_grow_are_joined_by_merge_and_lines_dealt_once(spark):
+    from meterbook.operators.invoice_rules import rule_lines
+
+    planned = rule_lines(source_tables(spark), dt.date(2025, 5, 15))._jdf.queryExecution()
+    assert planned.optimizedPlan().toString().count("strategy=merge") == 5  # all but the usage metrics
+    assert planned.executedPlan().toString().count("REPARTITION_BY_NUM") == 1
