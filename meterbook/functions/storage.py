@@ -64,7 +64,7 @@ def stored(df: DataFrame) -> DataFrame:
 def dealt(df: DataFrame, *keys: str) -> DataFrame:
     """The rows dealt by keys to as many tasks as the session has shuffle partitions.
 
-    Spark would join tasks by the compressed size of what they read. Repeated texts are forty times larger in memory.
+    Spark would join tasks by the compressed size of what they read. Repeated texts are far larger in memory.
     """
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
 
@@ -72,7 +72,7 @@ def dealt(df: DataFrame, *keys: str) -> DataFrame:
 def merged(df: DataFrame) -> DataFrame:
     """One side of a join that grows with the input: joined by sort and merge, never collected for a broadcast.
 
-    Spark takes the size of stored rows from their files. Repeated texts and lists take up a hundredth of their size
+    Spark takes the size of stored rows from their files. Repeated texts and lists take up little room
     there, so it would broadcast tables that the driver cannot hold.
     """
     return df.hint("merge")

@@ -10,7 +10,7 @@ from ..sources.schemas import LINE_PRICE, REVENUE, REVENUE_ROW, conform
 from .line_revenue import GROUP
 from .matching import NON_USAGE_PRODUCTS
 
-#: Customer-months that are sent to all executors, about 250 MB; more of them are joined by a shuffle.
+#: Customer-months that are sent to all executors, by estimate 250 MB; more of them are joined by a shuffle.
 BROADCAST_ROWS = 2_000_000
 
 
