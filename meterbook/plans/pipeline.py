@@ -32,13 +32,28 @@ def run_pipeline(
     longer produce goes, older months stay as they were stored. Of these months, those whose rule rows are as the run
     before left them are not written again, and in the others only customers with other rule rows are rated again (see
     `changes`). A table that is not there yet gets all months that the run reads. Intermediate tables lie in a folder below `out` that the run removes. With `views` each result is also a
-    temporary view, in `global_temp` for other sessions too. Invoices of older months are read by the first run only. `names` gives tables (and views) other names than the keys of the result.
+    temporary view, in `global_temp` for other sessions too. Invoices of older months are summed up by the first run, and
+    again when their customers have left, come or changed their names. `names` gives tables (and views) other names than the keys of the result.
     """
     spark = next(iter(sources.values())).sparkSession
     with run_folder(spark, out):
         return _run(sources, as_of, out, exact_cents, on_duplicate, chunks, views, names or {})
 
 
+def _named_otherwise(older: DataFrame, invoices: DataFrame, customers: DataFrame) -> bool:
+    """Whether customers of the older invoices have left, come or changed their names since the rows of `older` were summed up."""
+    stored_names = older.select("customer_id", "legal_name").distinct()
+    names = customers.select(F.col("id").alias("customer_id"), "legal_name").distinct()
+    known = stored_names.filter("customer_id is not null")
+    if not join_same(known, names, ["customer_id", "legal_name"], "left_anti").isEmpty():
+        return True
+    if stored_names.filter("customer_id is null").isEmpty():
+        return False
+    # rows of unknown customers: one of them may be known by now
+    come = invoices.select("customer_id").distinct().join(names.select("customer_id"), "customer_id", "left_semi")
+    return not come.join(known, "customer_id", "left_anti").isEmpty()
+
+
 def _run(
     sources: dict[str, DataFrame], as_of: dt.date, out: str, exact_cents: bool, on_duplicate: str, chunks: int | None,
     views: bool, names: dict[str, str],
@@ -94,13 +109,14 @@ def _run(
         # a run that dies from here on leaves customer-months that the next one prices again
         rewrite_months(in_doubt(cut(old_marks), changed), marks_path, months)
 
-    def by_month(name: str, make, *inputs: DataFrame, again: list[dt.date] | None = None) -> DataFrame:
-        """The table of make(*inputs), written for the months to replace (or those given), or for all if it is new."""
+    def by_month(name: str, make, *inputs: DataFrame, again: list[dt.date] | None = None, since: dt.date = horizon) -> DataFrame:
+        """The table of make(*inputs), written for the months to replace (or those given, from `since` on), or for all if it is new."""
         old = existing_table(spark, path(name))
         if old is None:
             return keep(name, rewrite_months(month_last(make(*inputs)), path(name), []))
         if again is not None:
-            return keep(name, rewrite_months(month_last(recent(make(*map(recent, inputs)))), path(name), again))
+            rows = make(*map(recent, inputs)).filter(F.col(MONTH) >= F.lit(since))
+            return keep(name, rewrite_months(month_last(rows), path(name), again))
         if not months:
             return keep(name, month_last(old))
         return keep(name, rewrite_months(month_last(cut(make(*map(cut, inputs)))), path(name), months))
@@ -136,10 +152,17 @@ def _run(
     # it completes the months of a group between its first and last one, so it looks at all recent months at once
     recent_months = months_between(horizon, as_of)
     summary = by_month("calculated_summary", summaries.calculated_summary, calculated, again=recent_months)
-    invoices = sources["invoices"]
-    if existing_table(spark, path("invoiced_summary")) is not None:  # older invoices are summed up already
-        invoices = invoices.filter(F.col("billing_period_start") >= instant(horizon))
-    invoiced = by_month("invoiced_summary", lambda: summaries.invoiced_summary({**sources, "invoices": invoices}), again=recent_months)
+    invoices, summed = sources["invoices"], existing_table(spark, path("invoiced_summary"))
+    invoiced_months = recent_months
+    if summed is not None:
+        older = invoices.filter((F.col("status") != "VOIDED") & (F.col("billing_period_start") < instant(horizon)))
+        if _named_otherwise(summed.filter(F.col(MONTH) < F.lit(horizon)), older, sources["customers"]):
+            invoiced_months = sorted(r[0] for r in summed.select(MONTH).distinct().collect() if r[0])  # one row per calendar month
+        else:  # older invoices are summed up already
+            invoices = invoices.filter(F.col("billing_period_start") >= instant(horizon))
+    invoiced = by_month(
+        "invoiced_summary", lambda: summaries.invoiced_summary({**sources, "invoices": invoices}), again=invoiced_months,
+        since=invoiced_months[0])
     table("reconciliation", summaries.reconciliation(summary, invoiced))
     if whole or months:
         rewrite_months(cut(marks), marks_path, [] if whole else months)

@@ -161,3 +161,16 @@ def test_no_query_multiplies_tables(spark, small):
         text = plan(query(spark, small))
         assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text, name
         assert "Python" not in text, name
+
+
+def test_older_invoices_follow_their_customers(sources, tmp_path):
+    out, as_of, horizon = str(tmp_path / "out"), dt.date(1998, 5, 20), dt.date(1998, 2, 1)
+    run_pipeline(sources, as_of, out)
+    name = F.when(F.col("id") == "seq_1", "Another name").otherwise(F.col("legal_name"))
+    other = {**sources, "customers": sources["customers"].filter("id <> 'seq_2'").withColumn("legal_name", name)}
+    renamed = run_pipeline(other, as_of, out)["invoiced_summary"]
+    old = renamed.filter(F.col("transaction_month") < F.lit(horizon))
+    assert {r.legal_name for r in old.filter("customer_id = 'seq_1'").collect()} == {"Another name"}
+    assert old.filter("customer_id = 'seq_2'").isEmpty() and not old.filter("customer_id is null").isEmpty()
+    back = run_pipeline(sources, as_of, out)
+    equal(back, run_pipeline(sources, as_of, str(tmp_path / "fresh")), ["invoiced_summary", "reconciliation"])
