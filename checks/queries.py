@@ -54,7 +54,7 @@ def shared(spark: SparkSession) -> SparkSession:
 
 def unhashed(rows: DataFrame) -> DataFrame:
     """The rows, stored without the hash of their match: it would take up most of the room."""
-    return matching.hashed(stored(rows.drop("hash_match")), rows.columns)
+    return matching.hashed(stored(rows.drop("hash_match"), "zstd"), rows.columns)
 
 
 class Stages:
@@ -139,7 +139,7 @@ class Stages:
     def calculated(self) -> DataFrame:
         return stored(allocation.revenue_calculated(
             self.allocated, self.fee_mart, self.discount_mart, self.true_up_mart
-        ))
+        ), "zstd")
 
     @cached_property
     def invoiced(self) -> DataFrame:

@@ -22,6 +22,12 @@ GROUP_ORDER = [*KEY_ORDER, "price_structure_json", "client_id"]
 PRODUCT_KEY_ORDER = ["local_created_at", "mm_id", "amount"]
 PRODUCT_ORDER = [*PRODUCT_KEY_ORDER, "price_structure_json", "client_id"]
 
+# What a contract line says, alike in all its rows; `pricing` is the first of them in typed form.
+TEXTS = ["price_structure_json", "property_filters_json", "properties_to_negate"]
+
+#: Bytes of different texts that are sent to all executors.
+BROADCAST_BYTES = 16_000_000
+
 RATED_COLUMNS = [
     *RULE_ROW.fieldNames(), "transaction_count", "global_transaction_order", "cumulative_amount",
     "cumulative_amount_before", "pricing_type", "linear_price_per_unit", "linear_is_percentage", "tier_price",
@@ -270,9 +276,24 @@ def _tiers(cut: Cut) -> DataFrame:
 
 
 def _placed(rules: DataFrame, chunks: int | None) -> Cut:
-    # a match's hash comes from columns that stay, and no shuffle can compress it
-    return Cut(place(charged_usage(rules).drop("hash_match"), GROUP, KEY_ORDER, chunks))
+    """The charged rows, placed for the windows.
 
+    The texts of a contract line are the widest part of its rows. As long as all different ones fit in BROADCAST_BYTES, rows
+    are placed and shuffled with a key of 128 bits in their place, and find them again where the windows are. Otherwise they
+    stay in the rows.
+    """
+    # a match's hash comes from columns that stay, and no shuffle can compress it
+    usage = charged_usage(rules).drop("hash_match")
+    texts = stored(usage.select(*TEXTS).distinct())
+    if (texts.agg(F.sum(sum(F.coalesce(F.octet_length(c), F.lit(0)) for c in TEXTS))).first()[0] or 0) > BROADCAST_BYTES:
+        return Cut(place(usage, GROUP, KEY_ORDER, chunks))
+    # the hash passes over NULLs, so it is told where they are
+    known = [F.col(c).isNotNull() for c in TEXTS]
+    keys = {f"_text_{seed}": F.xxhash64(F.lit(seed), *TEXTS, *known) for seed in (1, 2)}
+    groups = place(usage.withColumns(keys).drop(*TEXTS, "pricing"), GROUP, KEY_ORDER, chunks)
+    told = F.broadcast(texts.withColumns({**keys, "pricing": pricing("price_structure_json")}))
+    groups.rows, groups.cut = (rows.join(told, list(keys), "left").drop(*keys) for rows in (groups.rows, groups.cut))
+    return Cut(groups)
 
 
 def rate_transactions(rules: DataFrame, chunks: int | None = None) -> DataFrame:

@@ -157,3 +157,21 @@ def test_chunks_grow_with_the_rows_and_their_number_holds(spark, monkeypatch):
     monkeypatch.setattr(ordered, "CHUNK_ROWS", 10)
     rated = rate_transactions(rule_rows(spark, [{"sequence_customer_id": f"s{n % 40}"} for n in range(120)]))
     assert rated.rdd.getNumPartitions() == 12 and rated.count() == 120
+
+
+def test_texts_of_contract_lines_are_not_shuffled_with_the_rows(spark, monkeypatch):
+    kinds = [linear("0.5", True), tiered("VOLUME", *FLAT), None]
+    rows = [{
+        "price_structure_json": kinds[n % 3], "property_filters_json": [None, '{"flow":["A"]}'][n % 2], "properties_to_negate": [None, "", "flow"][n // 2 % 3],
+        "matched_product_name": f"P{n % 3}", "amount": n, "sequence_customer_id": "hot" if n % 3 else None,
+    } for n in range(60)]
+    rules = rule_rows(spark, rows)
+    keyed = rate_transactions(rules, 4)
+    repartition = keyed._jdf.queryExecution().optimizedPlan().toString().split("RepartitionByExpression")[1]
+    assert "Project" in repartition and "_text_1" in repartition
+    monkeypatch.setattr(rating, "BROADCAST_BYTES", 0)
+    carried = rate_transactions(rules, 4)
+    assert "_text_1" not in carried._jdf.queryExecution().optimizedPlan().toString()
+    assert keyed.count() == carried.count() > 0
+    assert keyed.exceptAll(carried).isEmpty() and carried.exceptAll(keyed).isEmpty()
+    assert {r[0] for r in keyed.select("properties_to_negate").distinct().collect()} == {None, "", "flow"}
