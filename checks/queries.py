@@ -93,7 +93,8 @@ class Stages:
 
     @cached_property
     def all_rules(self) -> DataFrame:
-        return unhashed(line_rules.all_rules(self.rules, self.matches))
+        matches = unhashed(self.matches)  # matched once
+        return matches.unionByName(unhashed(line_rules.rules_of_lines(self.rules, matches)))
 
     @cached_property
     def rated(self) -> DataFrame:

@@ -78,12 +78,16 @@ def unmatched_true_ups(true_ups: DataFrame, saas_counts: DataFrame) -> DataFrame
     ).select(*true_ups.columns)
 
 
-def all_rules(invoice_rules: DataFrame, matches: DataFrame) -> DataFrame:
-    """Every rule row: usage matches, platform fees, true-ups that apply, discounts."""
+def rules_of_lines(invoice_rules: DataFrame, matches: DataFrame) -> DataFrame:
+    """The rule rows that come from lines: platform fees, true-ups that apply, discounts."""
     families = [
-        matches,
         platform_fee_rules(invoice_rules),
         unmatched_true_ups(true_up_rules(invoice_rules), saas_match_counts(matches)),
         discount_rules(invoice_rules),
     ]
     return reduce(DataFrame.unionByName, families)
+
+
+def all_rules(invoice_rules: DataFrame, matches: DataFrame) -> DataFrame:
+    """Every rule row: usage matches and those of lines. The matches are read twice, so they had better be stored."""
+    return matches.unionByName(rules_of_lines(invoice_rules, matches))

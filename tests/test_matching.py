@@ -5,6 +5,9 @@ from toys import movements, usage_rules
 
 from pyspark.sql import functions as F
 
+from checks import queries
+from meterbook.functions.storage import stored
+from meterbook.operators import line_rules
 from meterbook.operators.matching import compile_rules, match_rules
 
 COUNTRY = '{"country":["MX"]}'
@@ -58,3 +61,18 @@ def test_rules_per_contract_line_match_like_rules_per_client(spark):
     assert whole.columns == per_client.columns and whole.count() == per_client.count() == 6
     assert whole.exceptAll(per_client).isEmpty() and per_client.exceptAll(whole).isEmpty()
     assert "Broadcast" not in whole._jdf.queryExecution().executedPlan().toString()
+
+
+def test_movements_are_matched_once_for_all_rules(spark, small, monkeypatch):
+    s, plans = queries.Stages(spark, small), []
+    s.lines  # stored before
+
+    def noted(df, *codec):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return stored(df, *codec)
+
+    monkeypatch.setattr(queries, "stored", noted)
+    found = s.all_rules
+    assert sum("Join Inner" in line and "_raw_client_id" in line for text in plans for line in text.splitlines()) == 1
+    whole = line_rules.all_rules(s.rules, s.matches).select(*found.columns)
+    assert found.count() == whole.count() and found.exceptAll(whole).isEmpty()
