@@ -105,3 +105,15 @@ def test_empty_table_and_clashing_columns(spark):
     assert phrases.collocations(docs_of(spark, [("en", "a")]).limit(0)).collect() == []
     extra = docs_of(spark, [("en", "x y. " * 20)]).withColumns({n: F.lit(1) for n in ("piece", "at", "id", "phrase", "n", "rank", "first", "second", "words", "cut")})
     assert rows(phrases.collocations(extra)) == expected([("en", "x y. " * 20)])
+
+
+def test_words_come_in_the_order_that_tables_are_sorted_by(spark):
+    docs = docs_of(spark, [("en", f"a b, c{n % 7} d; e f g") for n in range(300)])
+    words = phrases.occurrences(docs, 5)
+    plan = words._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Sort [piece") > plan.index("Generate posexplode")
+    placed = words.withColumn("part", F.spark_partition_id()).withColumn("row", F.monotonically_increasing_id()).collect()
+    by_part = {}
+    for r in sorted(placed, key=lambda r: r.row):
+        by_part.setdefault(r.part, []).append((r.piece, r.at))
+    assert len(by_part) > 1 and all(v == sorted(v) for v in by_part.values())
