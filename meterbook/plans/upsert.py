@@ -9,7 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..functions.columns import same
-from ..functions.storage import files, remove, stored
+from ..functions.storage import files, merged, remove, stored
 
 MONTH = "transaction_month"
 
@@ -39,7 +39,8 @@ def upsert(old: DataFrame, new: DataFrame, keys: list[str], on_duplicate: str =
     on_duplicate, for new rows with one complete key: "error", "first" (in a fixed order) or "keep".
     """
     new = only_unique(new, keys, on_duplicate)
-    replaced = new.select(*[F.col(k).alias(f"_k_{k}") for k in keys]).distinct()  # copies leave before the shuffle
+    # never broadcast: stored keys look small by their files. Copies do no harm in this join, and removing them is a shuffle more.
+    replaced = merged(new.select(*[F.col(k).alias(f"_k_{k}") for k in keys]))
     condition = reduce(Column.__and__, [same(F.col(k), F.col(f"_k_{k}")) for k in keys])
     return old.join(replaced, condition, "left_anti").unionByName(new)
 

@@ -90,3 +90,11 @@ def test_runs_in_several_threads_keep_their_own_folders(spark, tmp_path):
         thread.join()
     assert all(f"/{name}/_meterbook-run-" in where and rows == [(name, "x", MAY, 1)] for name, (where, rows) in seen.items()) and len(seen) == 2
     assert not any(list((tmp_path / name).glob("_meterbook-run-*")) for name in seen if (tmp_path / name).is_dir())
+
+
+def test_keys_are_merged_not_broadcast(spark):
+    old, new = frame(spark, ("a", "x", MAY, 1), ("b", "x", MAY, 1), (None, "x", MAY, 1)), frame(spark, ("a", "x", MAY, 2), ("a", "x", MAY, 2), (None, "x", MAY, 3))
+    found = upsert(old, new, KEYS, on_duplicate="keep")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastExchange" not in plan and "HashAggregate" not in plan
+    assert content(found) == content(frame(spark, ("a", "x", MAY, 2), ("a", "x", MAY, 2), ("b", "x", MAY, 1), (None, "x", MAY, 3)))
