@@ -117,3 +117,21 @@ def test_words_come_in_the_order_that_tables_are_sorted_by(spark):
     for r in sorted(placed, key=lambda r: r.row):
         by_part.setdefault(r.part, []).append((r.piece, r.at))
     assert len(by_part) > 1 and all(v == sorted(v) for v in by_part.values())
+
+
+def test_texts_are_dealt_whole_and_breaks_part_their_words(spark):
+    made = [("en", "Ab  c\t d,e .. ÉTÉ Ünter\n\x0b!?f"), ("en", "\t, ,"), ("en", None), ("de", " a  b ")]
+    words = phrases.occurrences(docs_of(spark, made), 3)
+    plan = words._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate posexplode") < plan.index("RepartitionByExpression") and plan.count("Generate") == 1  # no row per piece is shuffled
+    runs = {}
+    for r in sorted(words.collect(), key=lambda r: (r.piece, r.at)):
+        of_text = runs.setdefault((r.lang, r.piece), [])
+        if of_text and of_text[-1][0] + 1 == r.at:
+            of_text[-1] = (r.at, [*of_text[-1][1], r.phrase])
+        else:
+            of_text.append((r.at, [r.phrase]))
+    assert sorted((lang, [run for _, run in found]) for (lang, _), found in runs.items()) == [
+        ("de", [["a", "b"]]), ("en", [["ab", "c", "d"], ["e"], ["ÉtÉ", "Ünter"], ["f"]])]
+    assert {(r.lang, r.phrase): r.n for r in phrases.count_words(docs_of(spark, made)).collect()} == {
+        ("de", "a"): 1, ("de", "b"): 1, **{("en", w): 1 for w in ("ab", "c", "d", "e", "ÉtÉ", "Ünter", "f")}}
