@@ -7,7 +7,7 @@ import datetime as dt
 import shutil
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator, Mapping
 from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -57,6 +57,24 @@ def unhashed(rows: DataFrame) -> DataFrame:
     return matching.hashed(stored(rows.drop("hash_match"), "zstd"), rows.columns)
 
 
+class StoredTables(Mapping):
+    """Tables by name, each stored when it is first asked for."""
+
+    def __init__(self, tables: dict[str, DataFrame]):
+        self._tables, self._stored = tables, {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._stored:
+            self._stored[name] = stored(self._tables[name])
+        return self._stored[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._tables)
+
+    def __len__(self) -> int:
+        return len(self._tables)
+
+
 class Stages:
     """The steps of one data set. Those that the pipeline stores as tables are stored here too, once."""
 
@@ -64,8 +82,8 @@ class Stages:
         self.spark, self.sf_dir = shared(spark), sf_dir
 
     @cached_property
-    def sources(self) -> dict[str, DataFrame]:
-        return {name: stored(df) for name, df in sample_sources(self.spark, self.sf_dir).items()}
+    def sources(self) -> Mapping[str, DataFrame]:
+        return StoredTables(sample_sources(self.spark, self.sf_dir))
 
     @cached_property
     def lines(self) -> DataFrame:
@@ -94,7 +112,7 @@ class Stages:
     @cached_property
     def all_rules(self) -> DataFrame:
         matches = unhashed(self.matches)  # matched once
-        return matches.unionByName(unhashed(line_rules.rules_of_lines(self.rules, matches)))
+        return matches.unionByName(unhashed(line_rules.rules_of_lines(self.lines, matches)))
 
     @cached_property
     def rated(self) -> DataFrame:

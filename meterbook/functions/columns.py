@@ -50,10 +50,14 @@ def valid_json(text: str) -> Column:
     return F.when(F.try_parse_json(text).isNotNull(), F.col(text))
 
 
+#: The default, but with an option given Spark parses a text once, and not once for each field that is used.
+ONCE = {"mode": "PERMISSIVE"}
+
+
 def array_lists(text: str) -> Column:
     """The property filters as a struct of string arrays; a filter that is not an array becomes NULL."""
     schema = T.StructType([T.StructField(p, T.ArrayType(T.StringType())) for p in PROPERTIES])
-    return F.from_json(text, schema)
+    return F.from_json(text, schema, ONCE)
 
 
 def whole(text: Column) -> Column:
@@ -62,7 +66,7 @@ def whole(text: Column) -> Column:
 
 def pricing(text: str) -> Column:
     """A price structure parsed into typed fields (see `schemas.PRICING`)."""
-    parsed = F.from_json(text, PRICE_STRUCTURE)
+    parsed = F.from_json(text, PRICE_STRUCTURE, ONCE)
     tiers = F.transform(
         parsed["tiers"],
         lambda t: F.struct(

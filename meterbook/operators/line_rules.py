@@ -9,14 +9,20 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.columns import month_of, pricing
 from ..functions.columns import row_key
 from ..sources.schemas import RULE_ROW, conform
+from .invoice_rules import per_client
 from .matching import MERGE_KEY
 
 
-def _line_rows(lines: DataFrame, name: Column, structure: Column, client: Column) -> DataFrame:
+def _line_rows(lines: DataFrame, name: Column, structure: Column, *, client: bool = True) -> DataFrame:
+    """Rule rows of invoice lines, which come per client or, better, before that step: JSON is then parsed once per
+    line and the result repeated per client. Without `client` the rows do not say whose they are."""
+    repeated = "client_id" not in lines.columns
+    if repeated:
+        lines = lines.filter(F.col("raw_client_id").isNotNull())
     rows = lines.select(
         F.lit(None).cast("string").alias("mm_id"),
         F.lit(None).cast("decimal(18,2)").alias("amount"),
-        client.cast("string").alias("client_id"),
+        "raw_client_id" if repeated else "client_id",
         "sequence_customer_id", "group_id",
         F.col("month").cast("timestamp_ntz").alias("local_created_at"),
         name.alias("matched_product_name"),
@@ -28,7 +34,9 @@ def _line_rows(lines: DataFrame, name: Column, structure: Column, client: Column
         F.col("month").cast("timestamp_ntz").alias("local_updated_at"),
     )
     rows = rows.withColumns({"hash_match": row_key(*MERGE_KEY), "pricing": pricing("price_structure_json")})
-    return conform(rows, RULE_ROW, "pricing")
+    if repeated:
+        rows = per_client(rows)
+    return conform(rows if client else rows.drop("client_id"), RULE_ROW, "pricing")
 
 
 def _net_total_as(pricing_type: str) -> Column:
@@ -45,20 +53,20 @@ def platform_fee_rules(invoice_rules: DataFrame) -> DataFrame:
         (F.upper("product_name") == "PLATFORM FEE")
         & (F.get_json_object("price_structure_json", "$.pricingType") == "FIXED")
     )
-    return _line_rows(lines, F.col("product_name"), F.col("price_structure_json"), F.col("client_id"))
+    return _line_rows(lines, F.col("product_name"), F.col("price_structure_json"))
 
 
 def discount_rules(invoice_rules: DataFrame) -> DataFrame:
     """Discount lines, named `title||product`."""
     lines = invoice_rules.filter(F.upper("title").isin("DISCOUNT", "NEW DISCOUNT"))
     suffix = F.when(F.col("product_name").isNotNull(), F.concat(F.lit("||"), F.col("product_name"))).otherwise("")
-    return _line_rows(lines, F.concat("title", suffix), _net_total_as("FIXED"), F.col("client_id"))
+    return _line_rows(lines, F.concat("title", suffix), _net_total_as("FIXED"))
 
 
 def true_up_rules(invoice_rules: DataFrame) -> DataFrame:
     """All true-up lines; `unmatched_true_ups` keeps those that apply."""
     lines = invoice_rules.filter(F.upper("title") == "TRUE UP CHARGE")
-    return _line_rows(lines, F.col("title"), _net_total_as("TRUE_UP_CHARGE"), F.lit(None))
+    return _line_rows(lines, F.col("title"), _net_total_as("TRUE_UP_CHARGE"), client=False)
 
 
 def saas_match_counts(matches: DataFrame) -> DataFrame:

@@ -83,7 +83,7 @@ def _run(
         return df.select(*[c for c in df.columns if c != MONTH], MONTH)
 
     lines = table("invoice_lines", rule_lines(sources, as_of))
-    rules_per_client = keep("invoice_rules", per_client(lines))
+    keep("invoice_rules", per_client(lines))
     matches = matching.match_rules(movement_union(sources, as_of), matching.compile_rules(lines, clients=False))
 
     marks_path = path("rule_marks")
@@ -91,11 +91,11 @@ def _run(
     whole = old_rules is None or old_marks is None
     if whole:
         # matched once; duplicates are looked for before anything is replaced
-        fresh = only_unique(line_rules.all_rules(rules_per_client, stored(matches)), matching.MERGE_KEY, on_duplicate)
+        fresh = only_unique(line_rules.all_rules(lines, stored(matches)), matching.MERGE_KEY, on_duplicate)
         marks, months = stored(fingerprints(recent(fresh), exact_cents, on_duplicate)), months_between(horizon, as_of)
         remove(spark, marks_path)
     else:
-        marks = stored(fingerprints(recent(line_rules.all_rules(rules_per_client, matches)), exact_cents, on_duplicate))
+        marks = stored(fingerprints(recent(line_rules.all_rules(lines, matches)), exact_cents, on_duplicate))
         old_marks = old_marks.filter(F.col(MONTH).between(F.lit(horizon), F.lit(month_start(as_of))))
         changed = stored(changed_groups(old_marks, marks))
         months = sorted(r[0] for r in changed.select(MONTH).distinct().collect())  # one row per calendar month
@@ -105,7 +105,7 @@ def _run(
 
     if not whole and months:
         matches = stored(cut(matches))
-        fresh = only_unique(cut(line_rules.all_rules(rules_per_client, matches)), matching.MERGE_KEY, on_duplicate)
+        fresh = only_unique(cut(line_rules.all_rules(lines, matches)), matching.MERGE_KEY, on_duplicate)
         # a run that dies from here on leaves customer-months that the next one prices again
         rewrite_months(in_doubt(cut(old_marks), changed), marks_path, months)
 
