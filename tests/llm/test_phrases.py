@@ -79,6 +79,60 @@ def test_shuffled_joins_give_the_same(spark, pairs):
     assert rows(phrases.collocations(docs_of(spark, pairs), broadcast_rows=0)) == expected(pairs)
 
 
+@pytest.mark.parametrize("broadcast_rows", [1, 3, 8])
+@pytest.mark.parametrize("longest", [3, 4])
+def test_more_frequent_phrases_than_are_broadcast(spark, pairs, longest, broadcast_rows):
+    found = phrases.collocations(docs_of(spark, pairs), longest=longest, broadcast_rows=broadcast_rows)
+    assert rows(found) == expected(pairs, longest=longest)
+
+
+def test_occurrences_are_never_shuffled_by_phrase(spark, pairs, monkeypatch):
+    plans, numbered = [], phrases._numbered
+
+    def planned(rows, frequent, keys, buckets, most, number=None):
+        relation = numbered(rows, frequent, keys, buckets, most, number)
+        kept = rows.join(F.broadcast(frequent), keys) if number is None else phrases._likely(rows.withColumn("id", number), frequent, most)
+        plans.append((number is not None, kept._jdf.queryExecution().optimizedPlan().toString()))
+        return relation
+
+    monkeypatch.setattr(phrases, "_numbered", planned)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # only what the code itself asks for
+    try:
+        assert rows(phrases.collocations(docs_of(spark, pairs), broadcast_rows=8)) == expected(pairs)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert [large for large, _ in plans] == [True, True]
+    words, pairs_of_words = (plan for _, plan in plans)
+    assert words.count("Join") == words.count("strategy=broadcast") == 2 and words.count("RepartitionByExpression") == 1
+    assert pairs_of_words.count("Join") == 2 and pairs_of_words.count("strategy=broadcast") == 1  # the other one is of the table's buckets
+
+
+def test_few_other_rows_pass_and_all_frequent_ones_do(spark):
+    ids = spark.range(100_000).select(F.xxhash64("id").alias("id"), (F.col("id") < 5_000).alias("often"))
+    passed = phrases._likely(ids, ids.filter("often").select("id"), 1_000)
+    found = {r["often"]: r["count"] for r in passed.groupBy("often").count().collect()}
+    assert found[True] == 5_000 and found[False] < 0.1 * 95_000  # 64,000 bits
+
+
+def test_words_whose_hashes_collide_get_other_ones(spark, monkeypatch):
+    words = spark.createDataFrame([("en", "a"), ("en", "b"), ("en", "c")], "lang string, phrase string")
+    plain, seeds = F.xxhash64, []
+
+    def colliding(seed, *columns):
+        seeds.append(seed)
+        return F.lit(7).cast("long") if len(seeds) == 1 else plain(seed, *columns)
+
+    monkeypatch.setattr(phrases.F, "xxhash64", colliding)
+    hashes = [r[0] for r in words.select(phrases._word_hash(words)).collect()]
+    assert len(set(hashes)) == 3 and all(h < 0 for h in hashes) and len(seeds) == 3
+
+
+def test_common_words_are_the_most_frequent_within_the_limit(spark):
+    words = spark.createDataFrame([("a", 9), ("b", 7), ("c", 5), ("d", 5), ("e", 3)], "phrase string, n long")
+    common = lambda most: "".join(sorted(r.phrase for r in phrases._common(words, most).collect()))
+    assert [common(most) for most in (0, 1, 2, 3, 4, 9)] == ["", "a", "ab", "ab", "abcd", "abcde"]
+
+
 def test_products_beyond_64_bits(spark):
     big = 4_000_000_000_000
     found = phrases.strengths(spark.createDataFrame(
