@@ -13,7 +13,7 @@ from functools import cached_property, reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from meterbook.functions.columns import array_lists, greatest_or_null, pricing, row_key, valid_json
-from meterbook.functions.storage import shared_folder, stored
+from meterbook.functions.storage import dealt, shared_folder, stored
 from meterbook.operators import (
     allocation, invoice_rules, line_revenue, line_rules, match_exact, matching, payouts, rating, summaries,
 )
@@ -299,10 +299,9 @@ def flag_matches(s: Stages) -> DataFrame:
 def upsert_incremental(s: Stages) -> DataFrame:
     """Stored rules of all months but the newest values, merged with the rules of the last three months."""
     columns = [*matching.MERGE_KEY, "transaction_month", "price_minimum_amount", "should_be_charged"]
-    stored = s.all_rules.select(*columns).distinct().withColumn("price_minimum_amount", F.lit(None).cast("decimal(18,2)"))
-    recent = s.all_rules.select(*columns).distinct().filter(
-        F.col("transaction_month") >= F.lit(feeds.merge_horizon(dt.date(1998, 5, 15)))
-    )
+    rows = dealt(s.all_rules.select(*columns), *matching.MERGE_KEY).distinct()  # dealt once, for this and for the merge
+    stored = rows.withColumn("price_minimum_amount", F.lit(None).cast("decimal(18,2)"))
+    recent = rows.filter(F.col("transaction_month") >= F.lit(feeds.merge_horizon(dt.date(1998, 5, 15))))
     return upsert(stored, recent, matching.MERGE_KEY, on_duplicate="keep")
 
 

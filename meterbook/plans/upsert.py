@@ -41,8 +41,17 @@ def upsert(old: DataFrame, new: DataFrame, keys: list[str], on_duplicate: str =
     new = only_unique(new, keys, on_duplicate)
     # never broadcast: stored keys look small by their files. Copies do no harm in this join, and removing them is a shuffle more.
     replaced = merged(new.select(*[F.col(k).alias(f"_k_{k}") for k in keys]))
-    condition = reduce(Column.__and__, [same(F.col(k), F.col(f"_k_{k}")) for k in keys])
-    return old.join(replaced, condition, "left_anti").unionByName(new)
+    # complete keys, nearly all, meet by plain equality: rows that were dealt by the key are then not dealt again
+    equal = reduce(Column.__and__, [F.col(k) == F.col(f"_k_{k}") for k in keys])
+    alike = reduce(Column.__and__, [same(F.col(k), F.col(f"_k_{k}")) for k in keys])
+    whole, new_whole = (reduce(Column.__and__, [F.col(f"{mark}{k}").isNotNull() for k in keys]) for mark in ("", "_k_"))
+    kept = [
+        old.filter(whole).join(replaced.filter(new_whole), equal, "left_anti"),
+        old.filter(~whole).join(replaced.filter(~new_whole), alike, "left_anti"),
+    ]
+    # in the same two parts, so that the first is the very rows that the merge reads
+    added = [new.filter(whole), new.filter(~whole)]
+    return reduce(DataFrame.unionByName, [*kept, *added])
 
 
 def existing_table(spark: SparkSession, path: str) -> DataFrame | None:

@@ -98,3 +98,17 @@ def test_keys_are_merged_not_broadcast(spark):
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "BroadcastExchange" not in plan and "HashAggregate" not in plan
     assert content(found) == content(frame(spark, ("a", "x", MAY, 2), ("a", "x", MAY, 2), ("b", "x", MAY, 1), (None, "x", MAY, 3)))
+
+
+def test_rows_dealt_by_their_key_are_not_dealt_again(spark):
+    rows = spark.createDataFrame([(f"m{n}", n, MAY) for n in range(40)] + [(None, 7, MAY)], "mm_id string, amount long, transaction_month date")
+    rows = rows.repartition(4, "mm_id", "amount").distinct()
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # the plan with its reused exchanges
+    try:
+        found = upsert(rows, rows.filter("amount > 5"), ["mm_id", "amount"], on_duplicate="keep")
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    whole = plan.split("Union")[1].split("coalesce(mm_id")[0]  # up to the join of incomplete keys
+    assert "SortMergeJoin" in whole and "ENSURE_REQUIREMENTS" not in whole and "REPARTITION_BY_NUM" in whole
+    assert sorted(r.amount for r in found.collect()) == sorted([*range(40), 7])
