@@ -154,11 +154,13 @@ class Stages:
     def true_up_mart(self) -> DataFrame:
         return line_revenue.true_up_mart(self.base("true_up"))
 
+    @cached_property
+    def revenue(self) -> DataFrame:
+        return allocation.revenue_calculated(self.allocated, self.fee_mart, self.discount_mart, self.true_up_mart)
+
     @cached_property
     def calculated(self) -> DataFrame:
-        return stored(allocation.revenue_calculated(
-            self.allocated, self.fee_mart, self.discount_mart, self.true_up_mart
-        ), "zstd")
+        return stored(self.revenue, "zstd")  # for those that read it more than once
 
     @cached_property
     def invoiced(self) -> DataFrame:
@@ -441,7 +443,7 @@ _QUERIES: dict[str, Callable[[Stages], DataFrame]] = {
     "fee_mart": lambda s: s.fee_mart,
     "discount_mart": lambda s: s.discount_mart,
     "true_up_mart": lambda s: s.true_up_mart,
-    "revenue_calculated": lambda s: s.calculated,
+    "revenue_calculated": lambda s: s.revenue,
     "product_summary": lambda s: summaries.product_summary(s.calculated),
     "saas_group_months": lambda s: summaries.saas_group_months(s.calculated),
     "remaining_minimum_summary": lambda s: summaries.remaining_minimum_summary(s.calculated),

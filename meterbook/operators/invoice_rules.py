@@ -99,12 +99,13 @@ def described(lines: DataFrame, sources: dict[str, DataFrame]) -> DataFrame:
     metric = _one_each(sources["usage_metrics"].select("id", "name", "property_filters", "properties_to_negate"), "id").alias("metric")
     customer = _one_each(sources["customers"].select("id", "legal_name", "customer_aliases"), "id").alias("customer")
     sales = _one_each(sources["sales_customers"].select("sequence_id", "group_id"), "sequence_id").alias("sales")
-    # the short rows meet first, so that the lines stay as they are dealt by customer
-    known = customer.join(merged(sales), F.col("customer.id") == F.col("sales.sequence_id"), "left")
+    owner = F.col("line.sequence_customer_id")
     joined = (
         lines.alias("line")
         .join(metric, F.col("metric.id") == F.get_json_object("line.price_structure", "$.usageMetricId"), "left")
-        .join(merged(known), F.col("line.sequence_customer_id") == F.col("customer.id"), "left")
+        .join(merged(customer), owner == F.col("customer.id"), "left")
+        # by the line's own customer, so that the lines stay as they are dealt; a group without a customer is not known
+        .join(merged(sales), (owner == F.col("sales.sequence_id")) & F.col("customer.id").isNotNull(), "left")
     )
     return joined.select(
         "line.sequence_customer_id",

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.columns import pricing
 from ..functions.storage import stored
 from ..sources.schemas import REVENUE, RULE_ROW
 from .matching import NON_USAGE_PRODUCTS, hashed
-from .ordered import CHUNK, Groups, Sums, join_same, place
+from .ordered import CHUNK, Groups, Sums, ascending, join_same, place
 
 # The month comes first: rated rows leave the windows in the order in which a table of months is written.
 GROUP = ["transaction_month", "sequence_customer_id"]
@@ -28,6 +28,11 @@ TEXTS = ["price_structure_json", "property_filters_json", "properties_to_negate"
 #: Bytes of different texts that are sent to all executors.
 BROADCAST_BYTES = 16_000_000
 
+TEXT_KEYS = ["_text_1", "_text_2"]
+
+# What the windows sort by and work out prices from; the other columns pass them in one.
+USED = [*GROUP_ORDER, *GROUP, "price_minimum_amount", "consumes_saas", "should_be_charged", "pricing"]
+
 RATED_COLUMNS = [
     *RULE_ROW.fieldNames(), "transaction_count", "global_transaction_order", "cumulative_amount",
     "cumulative_amount_before", "pricing_type", "linear_price_per_unit", "linear_is_percentage", "tier_price",
@@ -80,8 +85,15 @@ class Cut:
     and the sums of revenue are plain aggregates.
     """
 
-    def __init__(self, groups: Groups):
-        self.groups = groups
+    def __init__(self, groups: Groups, texts: DataFrame | None = None):
+        self.groups, self._texts = groups, texts
+
+    def whole(self, rows: DataFrame) -> DataFrame:
+        """The rows with the columns that passed the windows in one, and with their texts."""
+        rows = rows.select("*", "_others.*").drop("_others")
+        if self._texts is None:
+            return rows
+        return rows.drop("price_structure_json").join(F.broadcast(self._texts), TEXT_KEYS, "left").drop(*TEXT_KEYS)
 
     def _sums(self, rows: DataFrame, *specs: Sums, **more: Column) -> DataFrame:
         """Per product and chunk; sums of customer-months are sums of these."""
@@ -167,22 +179,22 @@ def choose_tiers(counted: DataFrame, groups: Groups) -> DataFrame:
     is tiered; all linear ones do.
     """
     tiered = F.col("pricing_type").isin("VOLUME", "GRADUATED")
+    tier = F.get("pricing.tiers", F.col("_choice.tier.position"))
+    linear = F.col("pricing_type") == "LINEAR"
     ranked = counted.withColumn("pricing_type", F.upper("pricing.pricing_type")).withColumn(
         "_choice",
         F.when(tiered, F.struct(_tier_rank().alias("tier"), F.col("transaction_count").alias("n"))),
-    )
-    ranked = groups.among_peers(ranked, PRODUCT, PRODUCT_KEY_ORDER, {"_best": F.min("_choice")})
-    tier = F.get("pricing.tiers", F.col("_choice.tier.position"))
-    linear = F.col("pricing_type") == "LINEAR"
-    return ranked.withColumn("_tier", F.when(tiered, tier)).withColumns({
-        "kept": F.coalesce(linear | (tiered & (F.col("_choice") == F.col("_best"))), F.lit(False)),
+    ).withColumn("_tier", F.when(tiered, tier)).withColumns({
         "linear_price_per_unit": F.when(linear, F.col("pricing.unit_price")),
         "linear_is_percentage": F.when(linear, F.col("pricing.is_percentage")),
         "tier_price": F.col("_tier.price"),
         "tier_fee": F.col("_tier.fee"),
         "tier_upper_bound": F.col("_tier.upper_bound"),
         "tier_is_percentage": F.col("_tier.is_percentage"),
-    }).drop("_choice", "_best", "_tier", "pricing")
+    }).drop("_tier", "pricing")  # price lists pass no window but the first
+    ranked = groups.among_peers(ranked, PRODUCT, PRODUCT_KEY_ORDER, {"_best": F.min("_choice")})
+    kept = F.coalesce(linear | (tiered & (F.col("_choice") == F.col("_best"))), F.lit(False))
+    return ranked.withColumn("kept", kept).drop("_choice", "_best")
 
 
 def mark_first_copies(chosen: DataFrame, groups: Groups) -> DataFrame:
@@ -275,25 +287,35 @@ def _tiers(cut: Cut) -> DataFrame:
     return reprice_volume(mark_first_copies(chosen, groups), cut)
 
 
+def _packed(rows: DataFrame) -> DataFrame:
+    """The rows with all columns that the windows do not use in one: they are copied as a whole, not one by one."""
+    return rows.select(*[c for c in rows.columns if c in USED], F.struct(*[c for c in rows.columns if c not in USED]).alias("_others"))
+
+
 def _placed(rules: DataFrame, chunks: int | None) -> Cut:
-    """The charged rows, placed for the windows.
+    """The charged rows, placed for the windows; `Cut.whole` gives what passed these its columns back.
 
     The texts of a contract line are the widest part of its rows. As long as all different ones fit in BROADCAST_BYTES, rows
-    are placed and shuffled with a key of 128 bits in their place, and find them again where the windows are. Otherwise they
+    are placed, shuffled and sorted with a key of 128 bits in their place, and find them again after the windows. For these
+    each price structure is the number of its place among all, in their order, which sorts as the text does. Otherwise texts
     stay in the rows.
     """
     # a match's hash comes from columns that stay, and no shuffle can compress it
     usage = charged_usage(rules).drop("hash_match")
     texts = stored(usage.select(*TEXTS).distinct())
     if (texts.agg(F.sum(sum(F.coalesce(F.octet_length(c), F.lit(0)) for c in TEXTS))).first()[0] or 0) > BROADCAST_BYTES:
-        return Cut(place(usage, GROUP, KEY_ORDER, chunks))
+        return Cut(place(_packed(usage), GROUP, KEY_ORDER, chunks))
     # the hash passes over NULLs, so it is told where they are
     known = [F.col(c).isNotNull() for c in TEXTS]
-    keys = {f"_text_{seed}": F.xxhash64(F.lit(seed), *TEXTS, *known) for seed in (1, 2)}
-    groups = place(usage.withColumns(keys).drop(*TEXTS, "pricing"), GROUP, KEY_ORDER, chunks)
-    told = F.broadcast(texts.withColumns({**keys, "pricing": pricing("price_structure_json")}))
-    groups.rows, groups.cut = (rows.join(told, list(keys), "left").drop(*keys) for rows in (groups.rows, groups.cut))
-    return Cut(groups)
+    keys = {key: F.xxhash64(F.lit(seed), *TEXTS, *known) for seed, key in enumerate(TEXT_KEYS, 1)}
+    groups = place(_packed(usage.withColumns(keys).drop(*TEXTS, "pricing")), GROUP, KEY_ORDER, chunks)
+    order = F.dense_rank().over(Window.orderBy(*ascending(["price_structure_json"])))  # of few rows
+    told = F.broadcast(stored(texts.withColumns(keys).select(*TEXT_KEYS, order.alias("_order"), pricing("price_structure_json").alias("pricing"))
+                              .withColumnRenamed("_order", "price_structure_json")))
+    groups.rows, groups.cut = (
+        rows.join(told, [F.col(f"_others.{key}") == told[key] for key in TEXT_KEYS], "left").drop(*[told[key] for key in TEXT_KEYS])
+        for rows in (groups.rows, groups.cut))
+    return Cut(groups, texts.withColumns(keys))
 
 
 def rate_transactions(rules: DataFrame, chunks: int | None = None) -> DataFrame:
@@ -306,14 +328,14 @@ def rate_transactions(rules: DataFrame, chunks: int | None = None) -> DataFrame:
     cut = _placed(rules, chunks)
     priced = accumulate(_tiers(cut).withColumn("revenue", _revenue()), cut)
     # rows without a price count in the order and in the minimum, then leave
-    return hashed(apply_minimum(priced).filter("kept"), RATED_COLUMNS)
+    return hashed(cut.whole(apply_minimum(priced).filter("kept")), RATED_COLUMNS)
 
 
 def running_counts(rules: DataFrame, chunks: int | None = None) -> DataFrame:
     """Only the running counts and amounts, per product and (the order) per customer-month."""
     cut = _placed(rules, chunks)
     counted = cut.groups.running(count_transactions(cut.groups.rows, cut), _order(), cut.order)
-    return hashed(counted, [
+    return hashed(cut.whole(counted), [
         *RULE_ROW.fieldNames(), "transaction_count", "global_transaction_order", "cumulative_amount",
         "cumulative_amount_before",
     ])
@@ -321,5 +343,6 @@ def running_counts(rules: DataFrame, chunks: int | None = None) -> DataFrame:
 
 def tier_selection(rules: DataFrame, chunks: int | None = None) -> DataFrame:
     """The rated rows' tiers before revenue: own tier, effective tier and what its bound applies to."""
-    chosen = _tiers(_placed(rules, chunks)).filter("kept").drop("kept", CHUNK)
+    cut = _placed(rules, chunks)
+    chosen = cut.whole(_tiers(cut).filter("kept").drop("kept", CHUNK))
     return hashed(chosen, [*RULE_ROW.fieldNames(), *[c for c in chosen.columns if c not in RULE_ROW.fieldNames()]])

@@ -175,3 +175,13 @@ def test_texts_of_contract_lines_are_not_shuffled_with_the_rows(spark, monkeypat
     assert keyed.count() == carried.count() > 0
     assert keyed.exceptAll(carried).isEmpty() and carried.exceptAll(keyed).isEmpty()
     assert {r[0] for r in keyed.select("properties_to_negate").distinct().collect()} == {None, "", "flow"}
+
+
+def test_texts_and_unused_columns_pass_no_window_of_their_own(spark):
+    rows = [{"price_structure_json": tiered("VOLUME", *FLAT), "amount": n, "property_filters_json": f'{{"flow":["{n % 3}"]}}'} for n in range(9)]
+    rated = rate_transactions(rule_rows(spark, rows), 4)
+    lines = rated._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    windows = [n for n, line in enumerate(lines) if "Window [" in line]
+    between = lines[windows[0]:windows[-1]]
+    assert any("_others" in line for line in between) and not any(c in line for line in between for c in ("property_filters_json", "origin_bank"))
+    assert {r[0] for r in rated.select("property_filters_json").collect()} == {f'{{"flow":["{n}"]}}' for n in range(3)}
